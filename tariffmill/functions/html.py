@@ -79,29 +79,26 @@ def extract_metadata(text: Column, patterns: dict[str, str] | None = None) -> Co
 def last_wins_map(entries: Column) -> Column:
     """Map from an array of (key, value): the last value of a key, at the place of its first one.
 
-    Sorting keeps this at n log n for pages with many keys, and needs no session setting.
+    Sorting keys and places keeps this at n log n for pages with many keys, and needs no session setting.
     """
 
-    def merged(ordered: Column) -> Column:
-        firsts = F.filter(ordered, lambda e, i: ~_key_at(ordered, i - 1).eqNullSafe(e["key"]))
-        lasts = F.filter(ordered, lambda e, i: ~_key_at(ordered, i + 1).eqNullSafe(e["key"]))
+    def key_at(ordered: Column, i: Column) -> Column:
+        return F.get(ordered, i)["key"]
+
+    def spans(ordered: Column) -> Column:
+        """First and last place of each key."""
+        firsts = F.filter(ordered, lambda e, i: ~key_at(ordered, i - 1).eqNullSafe(e["key"]))
+        lasts = F.filter(ordered, lambda e, i: ~key_at(ordered, i + 1).eqNullSafe(e["key"]))
         return F.zip_with(
-            firsts,
-            lasts,
-            lambda a, b: F.struct(a["pos"].alias("pos"), a["key"].alias("key"), b["value"].alias("value")),
+            firsts, lasts, lambda a, b: F.struct(a["pos"].alias("first"), b["pos"].alias("last"))
         )
 
-    placed = F.transform(
-        entries, lambda e, i: F.struct(e["key"].alias("key"), i.alias("pos"), e["value"].alias("value"))
-    )
-    unique = F.array_sort(let(F.array_sort(placed), merged))
-    return F.map_from_entries(
-        F.transform(unique, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
-    )
-
+    def build(bound: Column) -> Column:
+        placed = F.transform(bound, lambda e, i: F.struct(e["key"].alias("key"), i.alias("pos")))
+        unique = F.array_sort(let(F.array_sort(placed), spans))
+        return F.map_from_entries(F.transform(unique, lambda s: F.get(bound, s["last"])))
 
-def _key_at(ordered: Column, i: Column) -> Column:
-    return F.get(ordered, i)["key"]
+    return let(entries, build)
 
 
 def extract_key_values(text: Column) -> Column:

@@ -13,6 +13,7 @@ from tariffmill import patterns as P
 from tariffmill.functions.text import (
     clean_label,
     contains_any,
+    each,
     either,
     let,
     parse_french_date,
@@ -248,24 +249,25 @@ def level_lines(segments: Column, level: str) -> Column:
     )
 
 
-def level_label(lines: Column, fallback: Column, rules: Rules = DEFAULT_RULES) -> Column:
-    """Joined and cleaned label lines, or the fallback where nothing is left."""
-    joined = F.array_join(lines, " ")
-    return F.coalesce(clean_label(strip_boilerplate(joined, rules), rules), fallback)
-
-
 def hierarchy_labels(
     text: Column, hs_code: Column, designation: Column, rules: Rules = DEFAULT_RULES
 ) -> Column:
-    """Struct of hs4_label, hs6_label, hs8_label and hs10_label."""
-    fallback = {level: F.lit(MISSING) for level in LEVELS} | {"HS10": designation}
-    return let(
-        hierarchy_segments(hierarchy_lines(text), hs_code),
-        lambda segments: F.struct(*[
-            level_label(level_lines(segments, level), fallback[level], rules).alias(f"{level.lower()}_label")
-            for level in LEVELS
-        ]),
-    )
+    """Struct of hs4_label, hs6_label, hs8_label and hs10_label: joined and cleaned label lines.
+
+    Where no label is left, the last one is the designation and the others are the missing marker.
+    """
+
+    def joined(segments: Column) -> Column:
+        texts = [F.array_join(level_lines(segments, level), " ") for level in LEVELS]
+        return each(texts, lambda t: clean_label(strip_boilerplate(t, rules), rules))
+
+    def named(labels: Column) -> Column:
+        fallback = [F.lit(MISSING)] * 3 + [designation]
+        return F.struct(*[
+            F.coalesce(labels[i], fallback[i]).alias(f"{level.lower()}_label") for i, level in enumerate(LEVELS)
+        ])
+
+    return let(let(hierarchy_segments(hierarchy_lines(text), hs_code), joined), named)
 
 
 def final_designation(hs10_label: Column, designation: Column) -> Column:

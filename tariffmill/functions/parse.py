@@ -48,16 +48,15 @@ def code_and_label(
 
     def from_key(given: Column) -> Column:
         whole, parts = strip(given), F.split(given, "-", 2)
-        patterned = pair(
-            F.regexp_extract(whole, split_pattern, 1),
-            strip_boilerplate(strip(F.regexp_extract(whole, split_pattern, 2)), rules),
-        )
-        dashed = pair(strip(F.get(parts, 0)), strip_boilerplate(strip(F.get(parts, 1)), rules))
-        return (
-            F.when(F.rlike(whole, F.lit(split_pattern)), patterned)
-            .when(F.size(parts) == 2, dashed)
-            .otherwise(pair(F.lit(MISSING), F.lit(MISSING)))
-        )
+        split = F.when(
+            F.rlike(whole, F.lit(split_pattern)),
+            pair(F.regexp_extract(whole, split_pattern, 1), F.regexp_extract(whole, split_pattern, 2)),
+        ).when(F.size(parts) == 2, pair(F.get(parts, 0), F.get(parts, 1)))
+        return let(split, cleaned)
+
+    def cleaned(split: Column) -> Column:
+        found = pair(strip(split["code"]), strip_boilerplate(strip(split["label"]), rules))
+        return F.when(split.isNull(), pair(F.lit(MISSING), F.lit(MISSING))).otherwise(found)
 
     given = blank_to_null(F.try_element_at(key_values, F.lit(key)))
     from_text = let(blank_to_null(F.regexp_extract(text, code_pattern, 1)), labelled)

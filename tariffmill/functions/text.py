@@ -21,15 +21,17 @@ _FULL_WIDTH = "".join(chr(i - 0x21 + 0xFF01) for i in range(0x21, 0x7F))
 _CURLY = "‘’‚‛“”„‟"
 _STRAIGHT = "''''\"\"\"\""
 _CONTROL = r"[\x00-\x08\x0e-\x1b\x7f]|\x1b\[[0-9;]*m"
-_UNUSUAL = r"[^\x09-\x0d\x1c-\x7e\x{a0}-\x{17f}]"
 
-# UTF-8 text read as Windows-1252: the byte after the lead byte, seen as a character.
-_TAIL_BYTES = [bytes([b]) for b in range(0x80, 0xC0)]
-_SEEN_TAIL = "".join(b.decode("cp1252", errors="replace").replace("�", chr(b[0])) for b in _TAIL_BYTES)
-_TRUE_C3 = "".join((b"\xc3" + b).decode("utf-8") for b in _TAIL_BYTES)
-_TRUE_C2 = "".join((b"\xc2" + b).decode("utf-8") for b in _TAIL_BYTES)
-# General punctuation, three bytes in UTF-8.
-_PUNCTUATION = ["–", "—", "‘", "’", "“", "”", "•", "…", "€", "œ", "Œ"]
+# UTF-8 read as Windows-1252: the characters that bytes 0x80 to 0xBF then show as.
+_BYTES_1252 = {b: bytes([b]).decode("cp1252", errors="ignore") or chr(b) for b in range(0x80, 0xC0)}
+_SHOWN = "".join(c for b, c in _BYTES_1252.items() if c != chr(b))
+_MEANT = "".join(chr(b) for b, c in _BYTES_1252.items() if c != chr(b))
+_TAIL = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in _BYTES_1252.values()) + "]"
+# Lead bytes of the Latin letters and of general punctuation; others occur in sound French text.
+_GARBLED = f"[ÂÃÅ]{_TAIL}|â[€‚]{_TAIL}"
+_PIECE = f"{_GARBLED}|[^ÂÃÅâ]+|[ÂÃÅâ]"
+# Characters beyond plain Latin text, and the lead characters above: only such texts need work.
+_UNUSUAL = r"[^\x09-\x0d\x1c-\x7e\x{a0}-\x{c1}\x{c4}\x{c6}-\x{e1}\x{e3}-\x{17f}]"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -64,41 +66,18 @@ def blank_to_null(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 
 
-def _repair_after(text: Column, lead: str, true_chars: str) -> Column:
-    def fix(piece: Column, i: Column) -> Column:
-        first, rest = F.substring(piece, 1, 1), piece.substr(F.lit(2), F.length(piece))
-        return (
-            F.when(i == 0, piece)
-            .when(
-                (piece != "") & F.contains(F.lit(_SEEN_TAIL), first),
-                F.concat(F.translate(first, _SEEN_TAIL, true_chars), rest),
-            )
-            .otherwise(F.concat(F.lit(lead), piece))
-        )
-
-    return F.array_join(F.transform(F.split(text, lead), fix), "")
-
-
 def fix_mojibake(text: Column) -> Column:
-    """Repair common UTF-8-read-as-Windows-1252 sequences; other texts pass one cheap test only."""
-    return let(text, lambda t: F.when(F.rlike(t, F.lit("[ÃÂâÅ]")), _repair(t)).otherwise(t))
+    """Repair Latin letters and punctuation that were UTF-8 and read as Windows-1252."""
 
+    def repair(piece: Column) -> Column:
+        encoded = F.encode(F.translate(piece, _SHOWN, _MEANT), "ISO-8859-1")
+        return F.when(F.rlike(piece, F.lit(f"^(?:{_GARBLED})")), F.decode(encoded, "UTF-8")).otherwise(piece)
 
-def _repair(text: Column) -> Column:
-    punctuated = text
-    for char in _PUNCTUATION:
-        seen = char.encode("utf-8").decode("cp1252", errors="ignore")
-        if len(seen) == len(char.encode("utf-8")):
-            punctuated = F.replace(punctuated, F.lit(seen), F.lit(char))
-    return _repair_after(_repair_after(punctuated, "Ã", _TRUE_C3), "Â", _TRUE_C2)
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_PIECE), F.lit(0)), repair), "")
 
 
 def fix_characters(text: Column) -> Column:
     """Straight quotes, plain ligatures and widths, no control characters."""
-    return let(text, lambda t: F.when(F.rlike(t, F.lit(_UNUSUAL)), _plain(t)).otherwise(t))
-
-
-def _plain(text: Column) -> Column:
     plain = F.translate(text, _CURLY + _FULL_WIDTH, _STRAIGHT + _HALF_WIDTH)
     for ligature, letters in (("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬀ", "ff")):
         plain = F.replace(plain, F.lit(ligature), F.lit(letters))
@@ -107,7 +86,10 @@ def _plain(text: Column) -> Column:
 
 def normalize_text(text: Column) -> Column:
     """Repair the encoding, normalise characters, collapse white space; empty becomes NULL."""
-    return blank_to_null(collapse_whitespace(fix_characters(fix_mojibake(text))))
+    repaired = let(
+        text, lambda t: F.when(F.rlike(t, F.lit(_UNUSUAL)), fix_characters(fix_mojibake(t))).otherwise(t)
+    )
+    return blank_to_null(collapse_whitespace(repaired))
 
 
 def regex_rules(text: Column, rules: Sequence[tuple[str, str]]) -> Column:
@@ -132,6 +114,11 @@ def clean_label(text: Column, rules: Rules = DEFAULT_RULES) -> Column:
     return normalize_text(regex_rules(text, rules.label_rules))
 
 
+def each(values: Sequence[Column], body: Callable[[Column], Column]) -> Column:
+    """Array of a body applied to several values; the body stands in the plan once."""
+    return F.transform(F.array(*values), lambda value: body(value))
+
+
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 

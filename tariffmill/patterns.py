@@ -110,7 +110,7 @@ class Rules:
     fallback_split: str = r"^(\d{1,2})\s*-\s*(.+)$"
     # label starts after the previous item, a stop sign or a digit, so scanning stays linear
     tax_main: str = (
-        r"(?:\G|^|(?<=[():%0-9]))\s*(\p{L}[^():%]*?)\s*\(\s*([^():%]+?)\s*\)\s*:\s*"
+        r"(?:\G|^|(?<=[():%0-9]))\s*(\**\p{L}[^():%]*?)\s*\(\s*([^():%]+?)\s*\)\s*:\s*"
         r"(\d+(?:[.,]\d+)?(?:\s*%)?)"
     )
     tax_code_from_key: str = r"\(\s*([^)]+?)\s*\)"

@@ -13,6 +13,8 @@ def build_session(app_name: str = "tariffmill", **conf: str) -> SparkSession:
     defaults = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
+        # call-site tracking of every column function doubles the time to build these wide plans
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
     }

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from bindings import render as R
-from bindings.registry import query, table
+from bindings.registry import query, spread_table, table
 from tariffmill.functions import html, lines, parse
 from tariffmill.functions.jsontext import json_text, spaced_json_text
 from tariffmill.operators import flatten, report
@@ -21,11 +21,11 @@ _FACTS = f"WITH facts AS ({R.SQL_PART_FACTS})"
 
 def _part(spark, d):
     """Part facts with the rendered position text and key-values."""
-    return R.part_facts(table(spark, d, "part")).withColumn("text", R.position_text()).withColumn("pairs", R.position_pairs())
+    return R.part_facts(spread_table(spark, d, "part")).withColumn("text", R.position_text()).withColumn("pairs", R.position_pairs())
 
 
 def _raw(spark, d):
-    return R.raw_records(table(spark, d, "part"))
+    return R.raw_records(spread_table(spark, d, "part"))
 
 
 def _products(spark, d):
@@ -37,7 +37,8 @@ def _products(spark, d):
 
 def _line_items(spark, d):
     docs = lines.parse_documents(R.line_documents_text())
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.posexplode(docs).alias("pos", "item"))
+    columns = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")
+    return spread_table(spark, d, "lineitem", *columns).select("l_orderkey", "l_linenumber", F.posexplode(docs).alias("pos", "item"))
 
 
 @query("parse_documents", R.SQL_LINE_DOCUMENTS)
@@ -55,7 +56,7 @@ def dedupe_items(spark, d):
 
 
 def _agreements(spark, d):
-    return table(spark, d, "customer").withColumn("text", R.agreements_text())
+    return spread_table(spark, d, "customer").withColumn("text", R.agreements_text())
 
 
 @query("parse_agreements", R.SQL_AGREEMENTS)
@@ -87,13 +88,13 @@ def classify_agreement_line(spark, d):
     '01/02/2026 14:37:33', '(*) Taux du Régime du Droit Commun', '(*)')""")
 def filter_agreement_noise(spark, d):
     kept = lines.agreement_lines(F.col("text"))
-    return _agreements(spark, d).select("c_custkey", F.explode(kept).alias("line"))
+    return _agreements(spark, d).select("c_custkey", F.explode(lines.text_lines(kept)).alias("line"))
 
 
 @query("parse_history", R.SQL_HISTORY)
 def parse_history(spark, d):
     found = lines.parse_history(R.history_text())
-    return table(spark, d, "orders").select("o_orderkey", F.posexplode(found).alias("pos", "h")).select(
+    return spread_table(spark, d, "orders", "o_orderkey", "o_orderdate").select("o_orderkey", F.posexplode(found).alias("pos", "h")).select(
         "o_orderkey", "pos", "h.date", "h.raw"
     )
 

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tariffmill.sources.readers import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -24,3 +26,9 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """A table for costly row-by-row work, on all cores even where its file has one row group."""
+    df = table(spark, sf_dir, name)
+    return spread(df.select(*columns) if columns else df)

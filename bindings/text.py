@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bindings.registry import query, table
+from bindings.registry import query, spread_table, table
 from bindings.render import joined, page
 from tariffmill.functions import html, lines, text
 from tariffmill.operators.tables import extract_tables
@@ -18,7 +18,7 @@ _CLEAN = "nullif(trim(regexp_replace({}, '\\s+', ' ', 'g')), '')"
 
 
 def _documents(spark, d, **columns):
-    return table(spark, d, "documents").select("doc_id", *[c.alias(n) for n, c in columns.items()])
+    return spread_table(spark, d, "documents", "doc_id", "text").select("doc_id", *[c.alias(n) for n, c in columns.items()])
 
 
 @query("explode_lines", """
@@ -27,7 +27,7 @@ def _documents(spark, d, **columns):
     FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))
   WHERE trim(line) <> ''""")
 def explode_lines(spark, d):
-    return lines.explode_lines(table(spark, d, "documents"), "text", "doc_id")
+    return lines.explode_lines(spread_table(spark, d, "documents", "doc_id", "text"), "text", "doc_id")
 
 
 @query("unit_of_measure", """
@@ -93,7 +93,7 @@ def parse_french_date(spark, d):
         .when(F.col("o_orderkey") % 2 == 0, worded)
         .otherwise(F.date_format(day, "dd/MM/yyyy"))
     )
-    return table(spark, d, "orders").select("o_orderkey", text.parse_french_date(written).alias("date"))
+    return spread_table(spark, d, "orders", "o_orderkey", "o_orderdate").select("o_orderkey", text.parse_french_date(written).alias("date"))
 
 
 @query("clean_cell", "SELECT c_custkey, c_name || ' du ' || c_mktsegment AS cell FROM customer")
@@ -137,7 +137,7 @@ def src_pages_query(spark, d):
 
 @query("html_to_text", f"SELECT page_id, {_TEXT} AS raw_text FROM pages")
 def html_to_text(spark, d):
-    return table(spark, d, "pages").select("page_id", html.html_to_text(F.col("html")).alias("raw_text"))
+    return spread_table(spark, d, "pages", "page_id", "html").select("page_id", html.html_to_text(F.col("html")).alias("raw_text"))
 
 
 @query("nav_links", """
@@ -150,7 +150,7 @@ def html_to_text(spark, d):
   SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INTEGER) AS "order", name FROM firsts""".replace("\\\\", "\\"))
 def nav_links(spark, d):
     links = html.nav_links(F.col("html"))
-    return table(spark, d, "pages").select("page_id", F.posexplode(links).alias("order", "name"))
+    return spread_table(spark, d, "pages", "page_id", "html").select("page_id", F.posexplode(links).alias("order", "name"))
 
 
 _NAMES = ["Droits et Taxes", "Historique Droit d'Importation", "Accords et Convention", "Position tarifaire", "Imprimer"]
@@ -171,7 +171,7 @@ _NAMES = ["Droits et Taxes", "Historique Droit d'Importation", "Accords et Conve
       ELSE 'regulatory' END END AS section_type FROM scored""")
 def section_type(spark, d):
     name = F.element_at(F.array(*map(F.lit, _NAMES)), (F.col("page_id") % 5 + 1).cast("int"))
-    return table(spark, d, "pages").select("page_id", html.section_type(name, F.col("html")).alias("section_type"))
+    return spread_table(spark, d, "pages", "page_id", "html").select("page_id", html.section_type(name, F.col("html")).alias("section_type"))
 
 
 @query("scrape_status", """
@@ -179,7 +179,7 @@ def section_type(spark, d):
 def scrape_status(spark, d):
     error = F.when(F.col("page_id") % 10 == 0, "timed out")
     main = F.when(F.col("page_id") % 7 != 0, F.col("html"))
-    return table(spark, d, "pages").select("page_id", html.scrape_status(error, main).alias("scrape_status"))
+    return spread_table(spark, d, "pages", "page_id", "html").select("page_id", html.scrape_status(error, main).alias("scrape_status"))
 
 
 @query("extract_tables", """
@@ -194,7 +194,7 @@ def extract_tables_query(spark, d):
         "<tr><td><b>", F.col("c_name"), "</b> &amp; fils</td><td>x<td></tr><tr><td></td><td>0%</td></tr>",
         "<tr><td>", F.col("c_mktsegment"), "<script>var a;</script></td><td>", rate, "</td><td>hors</td></tr></TABLE>",
     )
-    pages = table(spark, d, "customer").select("c_custkey", markup.alias("html"))
+    pages = spread_table(spark, d, "customer").select("c_custkey", markup.alias("html"))
     tables = extract_tables(pages, "c_custkey", "html")
     rows = tables.select(
         "c_custkey", "table_no", "row_count", F.posexplode(F.arrays_zip("rows", "numbers")).alias("row_no", "cell")
@@ -221,4 +221,4 @@ def extract_key_values(spark, d):
         "reste sans valeur",
     )
     pairs = html.extract_key_values(written)
-    return table(spark, d, "part").select("p_partkey", F.explode(pairs).alias("key", "value"))
+    return spread_table(spark, d, "part").select("p_partkey", F.explode(pairs).alias("key", "value"))

@@ -1,106 +1,107 @@
 """Line-by-line parsing of record text.
 
-A record's text is one cell, so its lines are worked on in place with array functions: no explode,
-no shuffle, no window over a record key, and a hot or repeated key costs nothing.
+A record's text is one cell, so its lines are worked on in place: no explode, no shuffle, no window
+over a record key, and a hot or repeated key costs nothing. Most of the work is one regex scan over
+the whole text, which is far cheaper than a lambda call per line.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tariffmill import patterns as P
 from tariffmill.functions.text import (
+    WS_CLASS,
     clean_label,
     contains_any,
     each,
     either,
     let,
-    parse_french_date,
-    strip,
     strip_boilerplate,
 )
 from tariffmill.patterns import DEFAULT_RULES, MISSING, Rules
 
-_LINE_BREAK = r"\r\n|[\n\x0b\f\r\x1c-\x1e\x{85}\x{2028}\x{2029}]"
+_BREAK = r"[\n\x0b\f\r\x1c-\x1e\x{85}\x{2028}\x{2029}]"
+_INLINE_WS = rf"[\s\x1c-\x1f&&[^{_BREAK[1:-1]}]]"
+_OTHER_BREAK = _BREAK.replace(r"\n", "")
+# White space that splitting at \n would leave in: doubled, at the ends, or another kind of break.
+_UNTIDY = rf"(?U){WS_CLASS}(?:{WS_CLASS}|\z|(?<={_OTHER_BREAK}))|\A{WS_CLASS}"
+# A white-space run with a line break in it, or at an end. The look-behind admits only starts of runs,
+# so that a long run of blanks is looked at once.
+_LINE_END = (
+    rf"(?U){_BREAK}{WS_CLASS}*+"
+    rf"|{_INLINE_WS}(?<!{WS_CLASS}{{2}}){_INLINE_WS}*+(?:{_BREAK}{WS_CLASS}*+|\z)"
+    rf"|\A{_INLINE_WS}++"
+)
+
+# Patterns on joined lines: ^ and $ are line ends, and only \n breaks lines.
+_LINES = "(?dm)"
 _DATE_START = r"^\d{2}/\d{2}/\d{4}"
 _DATE_ANYWHERE = r"\d{2}/\d{2}/\d{4}"
 _NUMERIC_LINE = r"^\d+[\d\.]*$"
+_CODE_LINE = r"\d{3,5}$"
+_DOCUMENT = rf"{_LINES}^{_CODE_LINE}(?:\n(?!{_CODE_LINE}).+$){{0,2}}"
+_RATE_LINE = r"(?:[\d.,]+(?:[^\S\n]*%)?|\(\*\))$"
+_REGIME_WORD = f"(?i:{'|'.join(P.AGREEMENT_REGIME_WORDS)})"
+_AGREEMENT = (
+    rf"{_LINES}^(?!{_RATE_LINE})(?!.*{_REGIME_WORD}).+$(?:\n(?:{_RATE_LINE}|(?=.*{_REGIME_WORD}).+$))*+"
+)
+_HISTORY = rf"{_LINES}{_DATE_START}(?=.*(?:\n.*(?:\n(.*))?)?)"
 
 
-def text_lines(text: Column) -> Column:
-    """Stripped non-blank lines of a text; NULL text has none."""
-    split = F.filter(F.transform(F.split(text, _LINE_BREAK), strip), lambda line: line != "")
-    return F.coalesce(split, F.array().cast("array<string>"))
+def _words(words: Sequence[str]) -> str:
+    return "|".join(re.escape(w) for w in words)
 
 
-def explode_lines(df: DataFrame, text_col: str, *keep: str) -> DataFrame:
-    """One row per line with its position, counted from 0."""
-    return df.select(*keep, F.posexplode(text_lines(F.col(text_col))).alias("pos", "line"))
+def joined_lines(text: Column) -> Column:
+    """Stripped non-blank lines of a text, joined by line breaks, with perhaps one more at the ends."""
 
+    def tidy(t: Column) -> Column:
+        return F.when(F.rlike(t, F.lit(_UNTIDY)), F.regexp_replace(t, _LINE_END, "\n")).otherwise(t)
 
-def _positions(lines: Column, wanted) -> Column:
-    """Indices, counted from 0, of the lines that satisfy a condition."""
-    marked = F.transform(lines, lambda line, i: F.when(wanted(line), i))
-    return F.filter(marked, lambda i: i.isNotNull())
-
-
-def _spans(lines: Column, wanted) -> Column:
-    """(start, stop) of the blocks that begin at the lines satisfying a condition."""
-
-    def paired(starts: Column) -> Column:
-        return F.transform(
-            starts,
-            lambda s, k: F.struct(s.alias("start"), F.coalesce(F.get(starts, k + 1), F.size(lines)).alias("stop")),
-        )
+    return let(F.coalesce(text, F.lit("")), tidy)
 
-    return let(_positions(lines, wanted), paired)
 
+def text_lines(text: Column) -> Column:
+    """Stripped non-blank lines of a text; NULL text has none."""
+    return F.array_remove(F.split(joined_lines(text), "\n"), "")
 
-def _distinct_by(records: Column, fields: list[str], build) -> Column:
-    """Distinct records, first one kept, order kept.
 
-    Fields are lines and so hold no line break: joined by one they make a hashable key, which keeps
-    this linear where a distinct over structs would compare all pairs.
-    """
-    keys = F.array_distinct(F.transform(records, lambda r: F.concat_ws("\n", *[r[f] for f in fields])))
-    return F.transform(keys, lambda key: build(F.split(key, "\n")))
+def explode_lines(df: DataFrame, text_col: str, *keep: str) -> DataFrame:
+    """One row per line with its position, counted from 0."""
+    return df.select(*keep, F.posexplode(text_lines(F.col(text_col))).alias("pos", "line"))
 
 
-def document_noise(line: Column, rules: Rules = DEFAULT_RULES) -> Column:
-    """True for lines of the documents section that carry no document."""
-    exact = [*P.DOCUMENT_NOISE_LINES, *rules.boilerplate]
-    parts = [*rules.document_keys, *(b for b in rules.boilerplate if len(b) > 4)]
-    return line.isin(*exact) | contains_any(line, parts)
+def _without(lines: Column, noise: str) -> Column:
+    """Joined lines without those that match a pattern as a whole."""
+    return F.regexp_replace(lines, rf"{_LINES}^(?:{noise})(?:\n|\z)", "")
 
 
 def document_lines(text: Column, rules: Rules = DEFAULT_RULES) -> Column:
+    """Joined lines of the documents section without those that carry no document."""
     # A line 'NA' equals the missing marker and never fills a field.
-    return F.filter(text_lines(text), lambda line: ~document_noise(line, rules) & (line != MISSING))
+    exact = _words([*P.DOCUMENT_NOISE_LINES, *rules.boilerplate, MISSING])
+    parts = _words([*rules.document_keys, *(b for b in rules.boilerplate if len(b) > 4)])
+    return _without(joined_lines(text), exact + (f"|.*(?:{parts}).*" if parts else ""))
 
 
-def documents_of_lines(lines: Column) -> Column:
-    """Required documents: a 3-5 digit line, then its name, then its issuer; repeats dropped."""
-
-    def found(bound: Column) -> Column:
-        def field(span: Column, offset: int) -> Column:
-            inside = span["start"] + offset < span["stop"]
-            return F.when(inside, F.get(bound, span["start"] + offset)).otherwise(MISSING)
-
-        return F.transform(
-            _spans(bound, lambda line: F.rlike(line, F.lit(P.DOCUMENT_CODE))),
-            lambda s: F.struct(field(s, 0).alias("code"), field(s, 1).alias("name"), field(s, 2).alias("issuer")),
-        )
+def parse_documents(text: Column, rules: Rules = DEFAULT_RULES) -> Column:
+    """Required documents: a 3-5 digit line, then its name, then its issuer; repeats dropped.
 
-    return _distinct_by(
-        let(lines, found),
-        ["code", "name", "issuer"],
-        lambda k: F.struct(k[0].alias("code"), k[2].alias("issuer"), k[1].alias("name"), k[0].alias("raw")),
-    )
+    Each block of up to three lines is its own key for the distinct, which hashes texts but would
+    compare structs pair by pair.
+    """
 
+    def document(parts: Column) -> Column:
+        code, name, issuer = (F.coalesce(F.get(parts, i), F.lit(MISSING)) for i in range(3))
+        return F.struct(code.alias("code"), issuer.alias("issuer"), name.alias("name"), code.alias("raw"))
 
-def parse_documents(text: Column, rules: Rules = DEFAULT_RULES) -> Column:
-    return documents_of_lines(document_lines(text, rules))
+    blocks = F.array_distinct(F.regexp_extract_all(document_lines(text, rules), F.lit(_DOCUMENT), F.lit(0)))
+    return F.transform(blocks, lambda block: let(F.split(block, "\n"), document))
 
 
 def is_rate(line: Column) -> Column:
@@ -129,56 +130,70 @@ def agreement_noise(line: Column, rules: Rules = DEFAULT_RULES) -> Column:
 
 
 def agreement_lines(text: Column, rules: Rules = DEFAULT_RULES) -> Column:
-    return F.filter(text_lines(text), lambda line: ~agreement_noise(line, rules))
+    """Joined lines of the agreements section without its noise."""
+    exact = _words([*P.AGREEMENT_NOISE_LINES, *rules.boilerplate])
+    parts = rf"{_words(P.AGREEMENT_NOISE_PARTS)}|{_DATE_ANYWHERE}"
+    short = rf"(?!(?:{_words(P.AGREEMENT_SHORT_NAMES)})$|{_RATE_LINE}).{{1,2}}"
+    return _without(joined_lines(text), rf"{exact}|.*(?:{parts}).*|\(\*\).*|{short}")
 
 
-def agreements_of_lines(lines: Column) -> Column:
+def parse_agreements(text: Column, rules: Rules = DEFAULT_RULES) -> Column:
     """Agreements: a country line, regime lines joined, first two rates as DI and TPI; repeats dropped."""
 
-    def found(bound: Column) -> Column:
-        def record(span: Column) -> Column:
-            inside = F.slice(bound, span["start"] + 2, span["stop"] - span["start"] - 1)
-            rates = F.filter(inside, is_rate)
-            regimes = F.filter(inside, lambda line: classify_agreement_line(line) == "regime")
-            return F.struct(
-                F.get(bound, span["start"]).alias("country"),
-                let(regimes, lambda r: F.when(F.size(r) > 0, F.array_join(r, " ")).otherwise(MISSING)).alias("list"),
-                F.coalesce(F.get(rates, 0), F.lit(MISSING)).alias("DI"),
-                F.coalesce(F.get(rates, 1), F.lit(MISSING)).alias("TPI"),
-            )
-
-        return F.transform(_spans(bound, lambda line: classify_agreement_line(line) == "country"), record)
+    def key(block: Column) -> Column:
+        country = F.substring_index(block, "\n", 1)
+        body = block.substr(F.length(country) + 2, F.length(block))
+        rates = F.regexp_extract_all(body, F.lit(rf"{_LINES}^{_RATE_LINE}"), F.lit(0))
+        regimes = F.regexp_extract_all(body, F.lit(rf"{_LINES}^(?!{_RATE_LINE}).+$"), F.lit(0))
+        regime = F.coalesce(F.nullif(F.array_join(regimes, " "), F.lit("")), F.lit(MISSING))
+        return let(
+            rates,
+            lambda r: F.concat_ws(
+                "\n", country, regime, F.coalesce(F.get(r, 0), F.lit(MISSING)), F.coalesce(F.get(r, 1), F.lit(MISSING))
+            ),
+        )
 
-    return _distinct_by(
-        let(lines, found),
-        ["country", "list", "DI", "TPI"],
-        lambda k: F.struct(
+    def agreement(k: Column) -> Column:
+        return F.struct(
             k[2].alias("DI"), k[3].alias("TPI"), k[0].alias("country"), k[1].alias("list"), k[0].alias("raw")
-        ),
-    )
-
+        )
 
-def parse_agreements(text: Column, rules: Rules = DEFAULT_RULES) -> Column:
-    return agreements_of_lines(agreement_lines(text, rules))
+    blocks = F.regexp_extract_all(agreement_lines(text, rules), F.lit(_AGREEMENT), F.lit(0))
+    keys = F.array_distinct(F.transform(blocks, key))
+    return F.transform(keys, lambda k: let(F.split(k, "\n"), agreement))
 
 
-def history_of_lines(lines: Column) -> Column:
+def parse_history(text: Column) -> Column:
     """Duty history: each line starting with a date takes the line two further on as its rate."""
 
-    def found(bound: Column) -> Column:
-        return F.transform(
-            _positions(bound, lambda line: F.rlike(line, F.lit(_DATE_START))),
-            lambda i: F.struct(
-                parse_french_date(F.substring(F.get(bound, i), 1, 10)).alias("date"),
-                F.concat(F.lit("Taux: "), F.coalesce(F.get(bound, i + 2), F.lit(""))).alias("raw"),
+    def found(lines: Column) -> Column:
+        return F.zip_with(
+            F.regexp_extract_all(lines, F.lit(_HISTORY), F.lit(0)),
+            F.regexp_extract_all(lines, F.lit(_HISTORY), F.lit(1)),
+            lambda day, rate: F.struct(
+                F.try_to_date(day, "dd/MM/yyyy").cast("string").alias("date"), F.concat(F.lit("Taux: "), rate).alias("raw")
             ),
         )
 
-    return let(lines, found)
+    return let(joined_lines(text), found)
 
 
-def parse_history(text: Column) -> Column:
-    return history_of_lines(text_lines(text))
+def _positions(lines: Column, wanted) -> Column:
+    """Indices, counted from 0, of the lines that satisfy a condition."""
+    marked = F.transform(lines, lambda line, i: F.when(wanted(line), i))
+    return F.filter(marked, lambda i: i.isNotNull())
+
+
+def _spans(lines: Column, wanted) -> Column:
+    """(start, stop) of the blocks that begin at the lines satisfying a condition."""
+
+    def paired(starts: Column) -> Column:
+        return F.transform(
+            starts,
+            lambda s, k: F.struct(s.alias("start"), F.coalesce(F.get(starts, k + 1), F.size(lines)).alias("stop")),
+        )
+
+    return let(_positions(lines, wanted), paired)
 
 
 def hierarchy_lines(text: Column) -> Column:

@@ -14,7 +14,10 @@ from tariffmill.patterns import DEFAULT_RULES, Rules
 
 # All characters Python calls white space; Java's \s and Spark's trim know only the ASCII ones.
 WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
-WS_CLASS = "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE)
+# As a regex class it is one table look-up per character under (?U), plus four separators.
+WS_CLASS = r"[\s\x1c-\x1f]"
+# Runs that are not a single blank already, so that plain text passes without a copy per word.
+_WS_RUN = rf"(?U)[\s\x1c-\x1f&&[^ ]]{WS_CLASS}*+| {WS_CLASS}++"
 
 _HALF_WIDTH = "".join(chr(i) for i in range(0x21, 0x7F))
 _FULL_WIDTH = "".join(chr(i - 0x21 + 0xFF01) for i in range(0x21, 0x7F))
@@ -30,8 +33,9 @@ _TAIL = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in _BYTES_1252.values()) + "]"
 # Lead bytes of the Latin letters and of general punctuation; others occur in sound French text.
 _GARBLED = f"[ÂÃÅ]{_TAIL}|â[€‚]{_TAIL}"
 _PIECE = f"{_GARBLED}|[^ÂÃÅâ]+|[ÂÃÅâ]"
-# Characters beyond plain Latin text, and the lead characters above: only such texts need work.
-_UNUSUAL = r"[^\x09-\x0d\x1c-\x7e\x{a0}-\x{c1}\x{c4}\x{c6}-\x{e1}\x{e3}-\x{17f}]"
+# Control characters, lead characters and all beyond Latin letters: only texts with these need work.
+_CONTROLS = "".join(f"\\x{i:02x}" for i in [*range(0x09), *range(0x0E, 0x1C), *range(0x7F, 0xA0)])
+_UNUSUAL = f"[{_CONTROLS}ÂÃÅ\\x{{180}}-\\x{{10ffff}}]|â[€‚]"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -59,7 +63,7 @@ def strip(text: Column) -> Column:
 
 def collapse_whitespace(text: Column) -> Column:
     """Runs of white space become one blank; none at the ends."""
-    return F.btrim(F.regexp_replace(text, f"[{WS_CLASS}]+", " "))
+    return F.btrim(F.regexp_replace(text, _WS_RUN, " "))
 
 
 def blank_to_null(text: Column) -> Column:
@@ -128,7 +132,7 @@ def _to_double(text: Column) -> Column:
 
 def parse_percentage(text: Column) -> Column:
     """French decimal, optional percent sign, to double; anything else is NULL."""
-    bare = F.regexp_replace(F.replace(text, F.lit("%"), F.lit("")), f"[{WS_CLASS}]", "")
+    bare = F.regexp_replace(F.replace(text, F.lit("%"), F.lit("")), f"(?U){WS_CLASS}", "")
     return _to_double(F.replace(bare, F.lit(","), F.lit(".")))
 
 
@@ -162,24 +166,26 @@ _MONTHS = {
     11: ("novembre", "nov"),
     12: ("décembre", "decembre", "déc", "dec"),
 }
-_NUMERIC_DATE = r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})(?!\d)"
+_NUMERIC_DATE = r"^\d{1,2}[/.-]\d{1,2}[/.-]\d{4}(?!\d)"
+_ISO_DATE = r"^\d{4}-\d{2}-\d{2}"
 _WORDED_DATE = r"^(?:\p{L}+\s+)?(\d{1,2})(?:er)?\s+(\p{L}+)\.?\s+(\d{4})$"
 
 
 def parse_french_date(text: Column) -> Column:
     """Day-first date, numeric or with a French month name, as ISO text; anything else is NULL."""
-    t = F.lower(strip(text))
-    month = F.create_map(*[F.lit(x) for m, names in _MONTHS.items() for n in names for x in (n, f"{m:02d}")])
-
-    def iso(pattern: str, month_of) -> Column:
-        day, mon, year = (F.regexp_extract(t, pattern, i) for i in (1, 2, 3))
-        joined = F.concat_ws("-", year, month_of(mon), F.lpad(day, 2, "0"))
-        return F.when(day != "", joined)
-
-    numeric = iso(_NUMERIC_DATE, lambda m: F.lpad(m, 2, "0"))
-    worded = iso(_WORDED_DATE, lambda m: F.coalesce(F.try_element_at(month, m), F.lit("00")))
-    already = F.when(F.rlike(t, F.lit(r"^\d{4}-\d{2}-\d{2}")), F.substring(t, 1, 10))
-    return F.try_to_date(F.coalesce(numeric, already, worded), "yyyy-MM-dd").cast("string")
+    months = F.create_map(*[F.lit(x) for m, names in _MONTHS.items() for n in names for x in (n, str(m))])
+
+    def parsed(t: Column) -> Column:
+        day, month, year = (F.regexp_extract(t, _WORDED_DATE, i) for i in (1, 2, 3))
+        numeric = F.translate(F.regexp_extract(t, _NUMERIC_DATE, 0), ".-", "//")
+        worded = F.concat_ws("/", day, F.coalesce(F.try_element_at(months, month), F.lit("0")), year)
+        shaped = F.when(F.rlike(t, F.lit(_NUMERIC_DATE)), numeric).when(F.rlike(t, F.lit(_WORDED_DATE)), worded)
+        return F.coalesce(
+            F.try_to_date(shaped, "d/M/yyyy"),
+            F.when(F.rlike(t, F.lit(_ISO_DATE)), F.try_to_date(F.substring(t, 1, 10), "yyyy-MM-dd")),
+        ).cast("string")
+
+    return let(F.lower(strip(text)), parsed)
 
 
 def zfill_code(code: Column, width: int = 2) -> Column:

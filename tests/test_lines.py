@@ -120,31 +120,57 @@ def loop_agreements(lines):
     return [tuple(r.values()) for r in seen]
 
 
+def loop_documents(lines):
+    out = []
+    for line in lines:
+        if line == "AD":
+            continue
+        if line.isdigit() and 3 <= len(line) <= 5:
+            out.append([line, "NA", "NA"])
+        elif out and "NA" in out[-1]:
+            out[-1][out[-1].index("NA")] = line
+    return list(dict.fromkeys(map(tuple, out)))
+
+
+def loop_history(lines):
+    return [
+        f"Taux: {lines[i + 2] if i + 2 < len(lines) else ''}" for i, line in enumerate(lines) if line[2:3] == "/"
+    ]
+
+
 def test_against_loops(spark):
     rng = random.Random(7)
     code = "0101212121"
     words = ["01.01", "0101.21", "21", "21", "mot", "autre mot", "12.3"]
     rates = ["UE", "Turquie", "LISTE A", "LISTE B", "2.5", "0", "7 %"]
+    papers = ["123", "4567", "12", "NA", "Certificat", "ORG", "AD", "123456"]
+    days = ["01/01/2020", "15/02/2021 fin", "x", "10 %", "le 01/01/2020"]
     rows = []
     for i in range(600):
         rows.append((
             i,
             [rng.choice(words) for _ in range(rng.randint(0, 12))],
             [rng.choice(rates) for _ in range(rng.randint(0, 12))],
+            [rng.choice(papers) for _ in range(rng.randint(0, 12))],
+            [rng.choice(days) for _ in range(rng.randint(0, 9))],
         ))
-    df = spark.createDataFrame(rows, "i int, h array<string>, a array<string>")
+    df = spark.createDataFrame(rows, "i int, h array<string>, a array<string>, d array<string>, y array<string>")
     got = df.select(
         "i",
         F.struct(*[
             L.level_lines(L.hierarchy_segments(F.col("h"), F.lit(code)), level).alias(level) for level in L.LEVELS
         ]).alias("h"),
-        L.agreements_of_lines(F.col("a")).alias("a"),
+        L.parse_agreements(F.array_join("a", "\n"), PLAIN).alias("a"),
+        L.parse_documents(F.array_join("d", " \r\n\n\t"), PLAIN).alias("d"),
+        L.parse_history(F.array_join("y", "\n")).alias("y"),
     ).collect()
-    by_id = {i: (h, a) for i, h, a in rows}
+    by_id = {i: rest for i, *rest in rows}
     for row in got:
-        h, a = by_id[row["i"]]
+        h, a, d, y = by_id[row["i"]]
         assert row["h"].asDict() == loop_hierarchy(h, code)
         assert [(r["country"], r["list"], r["DI"], r["TPI"]) for r in row["a"]] == loop_agreements(a)
+        assert [(r["code"], r["name"], r["issuer"]) for r in row["d"]] == loop_documents(d)
+        assert [r["raw"] for r in row["y"]] == loop_history(y)
 
 
 def test_long_text_is_linear(value):

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tariffmill import patterns as P
-from tariffmill.functions.text import blank_to_null, collapse_whitespace, contains_any, let, strip
+from tariffmill.functions.text import blank_to_null, collapse_whitespace, contains_any, fixed_map, let, strip
 from tariffmill.schemas import TABLE_TYPE
 
 # One scan tells markup from text: comments, script and style with their bodies, then any other tag.
@@ -32,7 +32,7 @@ _ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);?"
 
 
 def _entity_char(name: Column) -> Column:
-    named = F.try_element_at(F.create_map(*[F.lit(x) for kv in _ENTITY_MAP.items() for x in kv]), name)
+    named = F.try_element_at(fixed_map(_ENTITY_MAP), name)
     decimal = F.hex(F.regexp_extract(name, "^#([0-9]+)$", 1).try_cast("bigint"))
     hexadecimal = F.upper(F.regexp_extract(name, "^#[xX]([0-9a-fA-F]+)$", 1))
     digits = F.coalesce(decimal, blank_to_null(hexadecimal))

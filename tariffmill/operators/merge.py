@@ -134,32 +134,35 @@ def classify_changes(
 def replay_upserts(df: DataFrame, keys: Sequence[str], ts: str, tie: str, hash_col: str) -> DataFrame:
     """Time of the last row of each key whose hash differs from the row before it.
 
-    The rows of a key are split by hour: each hour finds its own last change and reports its first and
-    last hash, and a second window over these few summaries finds the changes between hours. So no task
-    holds all rows of a hot key.
+    Rows are first dealt out in ranges of (key, time), so that a hot key is spread over many ranges. Each
+    range reports, per key, its first and last hash and its own last change; a window over these few
+    summaries finds the changes between ranges. No task holds all rows of a hot key.
     """
-    hour = "_hour"
-    within = Window.partitionBy(*keys, hour).orderBy(ts, tie)
-    is_change = F.lag(hash_col).over(within).isNotNull() & ~F.col(hash_col).eqNullSafe(F.lag(hash_col).over(within))
+    ranged = df.select(*keys, ts, tie, hash_col).repartitionByRange(*keys, ts, tie)
+    within = Window.partitionBy(*keys, "_range").orderBy(ts, tie)
+    before = F.struct(F.lag(hash_col).over(within).alias("hash"), F.lag(F.lit(True)).over(within).alias("known"))
     at = F.struct(ts, tie)
-    hours = (
-        df.withColumn(hour, F.date_trunc("hour", ts))
-        .withColumn("_change", is_change)
-        .groupBy(*keys, hour)
+    ranges = (
+        ranged.withColumn("_range", F.spark_partition_id())
+        .withColumn("_before", before)
+        .groupBy(*keys, "_range")
         .agg(
-            F.min_by(hash_col, at).alias("_first_hash"),
-            F.max_by(hash_col, at).alias("_last_hash"),
+            F.min_by(F.struct(F.col(hash_col).alias("hash")), at).alias("_first"),
+            F.max_by(F.struct(F.col(hash_col).alias("hash")), at).alias("_last"),
             F.min(ts).alias("_first_ts"),
-            F.max(F.when(F.col("_change"), F.col(ts))).alias("_last_change"),
+            F.max(
+                F.when(F.col("_before.known") & ~F.col("_before.hash").eqNullSafe(F.col(hash_col)), F.col(ts))
+            ).alias("_change_ts"),
         )
     )
-    between = Window.partitionBy(*keys).orderBy(hour)
-    before = F.lag("_last_hash").over(between)
-    starts = hours.withColumn(
-        "_starts_change", before.isNull() | ~before.eqNullSafe(F.col("_first_hash"))
+    between = Window.partitionBy(*keys).orderBy("_range")
+    previous = F.lag("_last").over(between)
+    own = F.coalesce("_change_ts", F.when(F.col("_starts_change"), F.col("_first_ts")))
+    return (
+        ranges.withColumn("_starts_change", ~previous.eqNullSafe(F.col("_first")))
+        .groupBy(*keys)
+        .agg(F.max(own).alias("updated_at"))
     )
-    own = F.coalesce("_last_change", F.when(F.col("_starts_change"), F.col("_first_ts")))
-    return starts.groupBy(*keys).agg(F.max(own).alias("updated_at"))
 
 
 def assign_surrogate_ids(
@@ -185,11 +188,6 @@ def assign_surrogate_ids(
     )
 
 
-def hashed_ids(new: DataFrame, keys: Sequence[str], id_col: str = "id") -> DataFrame:
-    """Ids from the natural key: no order, no shuffle, and the same on every run."""
-    return new.withColumn(id_col, F.xxhash64(*keys))
-
-
 def resolve_parent_ids(
     child: DataFrame, parent: DataFrame, on: dict[str, str], parent_id: str, id_col: str = "id"
 ) -> DataFrame:

@@ -40,36 +40,36 @@ def hierarchy_nodes(good: DataFrame) -> DataFrame:
     )
 
 
+def path_id(*codes: Column | str) -> Column:
+    """Id of a hierarchy node from the codes on its path.
+
+    Checked codes are digits of fixed width, 14 in all, so the path itself is a unique number. Ids need
+    no look-up, no join from products to nodes, and come out the same when a batch is run again.
+    """
+    return F.concat(F.lit("1"), *codes).cast("bigint")
+
+
 class _Batch:
-    def __init__(self, store: CatalogueStore, version: int, as_of: Column) -> None:
-        self.store, self.version, self.as_of = store, version, as_of
+    def __init__(self, store: CatalogueStore, version: int) -> None:
+        self.store, self.version = store, version
 
-    def insert_only(self, table: str, incoming: DataFrame, code: str) -> None:
+    def insert_only(self, table: str, incoming: DataFrame) -> None:
         """Sections and chapters: known keys keep their row."""
-        schema, keys = TABLES[table]
-        target = self.store.read(table, ["id", *keys])
-        fresh = merge.upsert_insert_only(target, incoming, keys, [_FIRST])
-        self._write(table, merge.assign_surrogate_ids(fresh, target, keys, code))
-
-    def overwrite_labels(self, table: str, incoming: DataFrame, code: str) -> None:
-        """HS4 and HS6 nodes: labels move with every record, id, meta and time stay."""
-        schema, keys = TABLES[table]
-        target = self.store.read(table)
-        rows = incoming.withColumns({
-            "present": present_in_table(F.col("label")), "id": F.lit(None).cast("bigint"), "updated_at": self.as_of,
-        })
-        merged = merge.upsert_overwrite_labels(target, rows, keys, [_FIRST], last_order=[_LAST])
-        fresh = merged.where("id IS NULL").drop("id")
-        numbered = merge.assign_surrogate_ids(fresh, target, keys, code)
-        self._write(table, merged.where("id IS NOT NULL").unionByName(numbered), timed=True)
-
-    def _write(self, table: str, df: DataFrame, timed: bool = False) -> None:
-        timed_df = df if timed else df.withColumn("updated_at", self.as_of)
-        self.store.write(table, timed_df.select(*TABLES[table][0].fieldNames()), self.version)
-
-    def ids(self, table: str, parent_id: str) -> DataFrame:
         keys = TABLES[table][1]
-        return self.store.read(table, ["id", *keys], pending=self.version).withColumnRenamed("id", parent_id)
+        self._write(table, merge.upsert_insert_only(self.store.read(table, keys), incoming, keys, [_FIRST]))
+
+    def overwrite_labels(self, table: str, incoming: DataFrame) -> None:
+        """HS4 and HS6 nodes: labels move with every record, meta and time stay."""
+        rows = incoming.withColumn("present", present_in_table(F.col("label")))
+        self._write(
+            table,
+            merge.upsert_overwrite_labels(
+                self.store.read(table), rows, TABLES[table][1], [_FIRST], last_order=[_LAST]
+            ),
+        )
+
+    def _write(self, table: str, df: DataFrame) -> None:
+        self.store.write(table, df.select(*TABLES[table][0].fieldNames()), self.version)
 
 
 def sync_batch(
@@ -89,43 +89,39 @@ def sync_batch(
 
     node_path = store.path("staging_nodes", version)
     hierarchy_nodes(good).write.mode("overwrite").parquet(node_path)
-    nodes = spark.read.parquet(node_path)
-
-    batch = _Batch(store, version, now)
-    first = [F.col("early.meta").alias("meta"), _FIRST]
-    batch.insert_only(
-        "sections", nodes.select("section_code", F.col("early.section_label").alias("label"), *first), "section_code"
-    )
-    nodes = nodes.join(batch.ids("sections", "section_id"), "section_code")
-    batch.insert_only(
-        "chapters",
-        nodes.select("section_id", "chapter_code", F.col("early.chapter_label").alias("label"), *first),
-        "chapter_code",
-    )
-    nodes = nodes.join(batch.ids("chapters", "chapter_id"), ["section_id", "chapter_code"])
-    batch.overwrite_labels(
-        "hs4_nodes", nodes.select("chapter_id", "hs4", F.col("late.hs4_label").alias("label"), *first, _LAST), "hs4"
-    )
-    nodes = nodes.join(batch.ids("hs4_nodes", "hs4_id"), ["chapter_id", "hs4"])
-    batch.overwrite_labels(
-        "hs6_nodes", nodes.select("hs4_id", "hs6", F.col("late.hs6_label").alias("label"), *first, _LAST), "hs6"
-    )
-    nodes = nodes.join(batch.ids("hs6_nodes", "hs6_id"), ["hs4_id", "hs6"])
-
+    nodes = spark.read.parquet(node_path).withColumns({
+        "section_id": path_id("section_code"),
+        "chapter_id": path_id("section_code", "chapter_code"),
+        "hs4_id": path_id(*_PATH[:3]),
+        "hs6_id": path_id(*_PATH),
+        "meta": F.col("early.meta"),
+        "updated_at": now,
+    })
+
+    def level(level_id: str, label: str, *columns: str) -> DataFrame:
+        return nodes.select(F.col(level_id).alias("id"), F.col(label).alias("label"), "meta", "updated_at", *columns)
+
+    batch = _Batch(store, version)
+    batch.insert_only("sections", level("section_id", "early.section_label", "section_code", _FIRST))
+    batch.insert_only("chapters", level("chapter_id", "early.chapter_label", "section_id", "chapter_code", _FIRST))
+    batch.overwrite_labels("hs4_nodes", level("hs4_id", "late.hs4_label", "chapter_id", "hs4", _FIRST, _LAST))
+    batch.overwrite_labels("hs6_nodes", level("hs6_id", "late.hs6_label", "hs4_id", "hs6", _FIRST, _LAST))
+
+    codes = derive_prefixes(F.col("hs_code"))
     rows = good.select(
         F.col("hs_code").alias("hs10"),
-        zfill_code(F.col("hierarchy.section_code")).alias("section_code"),
-        zfill_code(F.col("hierarchy.chapter_code")).alias("chapter_code"),
-        *[c.alias(name) for name, c in derive_prefixes(F.col("hs_code")).items()],
+        path_id(
+            zfill_code(F.col("hierarchy.section_code")), zfill_code(F.col("hierarchy.chapter_code")),
+            codes["hs4"], codes["hs6"],
+        ).alias("hs6_id"),
+        *[code.alias(name) for name, code in codes.items()],
         "hs8_label", "section_label", "chapter_label", "hs4_label", "hs6_label", "designation", "unit_of_measure",
         "taxation", "documents", F.col("accord_convention").alias("agreements"),
         F.col("historique").alias("import_duty_history"), "lineage", "raw", "canonical_hash", "canonical_text",
         F.struct("lineage.scraped_at", "hs_code").alias("_at"),
-    ).join(nodes.select(*_PATH, "hs6_id"), _PATH)
-    target = store.read("hs_products", ["hs10", "hs6_id", "canonical_hash", "updated_at"])
-    touched = merge.upsert_on_hash_change(
-        target, rows.drop("section_code", "chapter_code"), ["hs10"], ["_at"], now
     )
+    target = store.read("hs_products", ["hs10", "hs6_id", "canonical_hash", "updated_at"])
+    touched = merge.upsert_on_hash_change(target, rows, ["hs10"], ["_at"], now)
     store.write("hs_products", touched.select(*TABLES["hs_products"][0].fieldNames()), version)
 
     audit = products.select(

@@ -34,13 +34,22 @@ class CatalogueStore:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
+        self._entries: list[tuple[int, str, str, str]] | None = None
 
     @property
     def _manifest(self) -> str:
         return f"{self.root}/manifest"
 
     def entries(self) -> list[tuple[int, str, str, str]]:
-        """Committed (version, table, kind, path), oldest first; a few rows per batch, data stays out."""
+        """Committed (version, table, kind, path), oldest first: a few rows per batch, no data.
+
+        Read once and kept until the next commit of this object; another writer is seen by a new object.
+        """
+        if self._entries is None:
+            self._entries = self._read_manifest()
+        return self._entries
+
+    def _read_manifest(self) -> list[tuple[int, str, str, str]]:
         try:
             manifest = self.spark.read.schema(MANIFEST_SCHEMA).parquet(self._manifest)
         except AnalysisException as error:
@@ -65,6 +74,7 @@ class CatalogueStore:
         """Make the written tables of a version visible, all at once."""
         rows = [(version, table, kind, self.path(table, version, kind)) for table in tables]
         self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(self._manifest)
+        self._entries = None
 
     def _live_paths(self, table: str) -> list[str]:
         mine = [e for e in self.entries() if e[1] == table]
@@ -74,16 +84,13 @@ class CatalogueStore:
         base = bases[-1]
         return [base[3]] + [path for version, _, kind, path in mine if kind == "delta" and version > base[0]]
 
-    def read(self, table: str, columns: Sequence[str] | None = None, pending: int | None = None) -> DataFrame:
+    def read(self, table: str, columns: Sequence[str] | None = None) -> DataFrame:
         """Current rows of a table: the newest version of each key.
 
         ``columns`` are cut before versions are compared, so only they are read and shuffled.
-        ``pending`` adds the written but uncommitted rows of a version.
         """
         schema, keys = TABLES[table] if table in TABLES else (LOGS[table], ())
         paths = self._live_paths(table)
-        if pending is not None and self.path(table, pending) not in paths:
-            paths.append(self.path(table, pending))
         columns = list(columns or schema.fieldNames())
         if not paths:
             return self.spark.createDataFrame([], schema).select(*columns)

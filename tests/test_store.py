@@ -1,6 +1,7 @@
 """Batches into the catalogue: ids, first and last wins, changed hashes, bad rows, replays, streams."""
 
 import json
+import os
 from datetime import datetime
 
 import pytest
@@ -39,6 +40,8 @@ def write(path, *records):
     path.mkdir(exist_ok=True)
     name = path / f"part-{len(list(path.iterdir())):03d}.json"
     name.write_text("\n".join(json.dumps(r) for r in records), encoding="utf-8")
+    stamp = 1_700_000_000 + 10 * len(list(path.iterdir()))
+    os.utime(name, (stamp, stamp))  # the stream takes the oldest file first
     return str(path)
 
 

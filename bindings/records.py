@@ -12,6 +12,7 @@ from tariffmill.functions import html, lines, parse
 from tariffmill.functions.jsontext import json_text, spaced_json_text
 from tariffmill.operators import flatten, report
 from tariffmill.plans import product as PR
+from tariffmill.plans import records as RC
 from tariffmill.session import shared_dir
 from tariffmill.sources import readers, sinks
 
@@ -252,6 +253,28 @@ def json_columns(spark, d):
     return texts.withColumn("first_tag", F.variant_get(F.parse_json("js"), "$.tags[0]", "string"))
 
 
+@query("records_from_pages", f"""{_FACTS}
+  SELECT hs10 AS hs_code, CASE p_partkey % 10 WHEN 0 THEN 'partial' WHEN 1 THEN 'error' ELSE 'success' END AS scrape_status,
+    CASE WHEN p_partkey % 10 = 1 THEN 0 ELSE 5 END AS n_sections,
+    CASE WHEN p_partkey % 10 = 1 THEN 'NA' ELSE designation END AS designation,
+    CASE WHEN p_partkey % 10 = 1 THEN 'NA' ELSE unit END AS unit_of_measure,
+    CASE WHEN p_partkey % 10 = 1 OR by_key THEN 'NA' ELSE sec END AS section_code,
+    CASE WHEN p_partkey % 10 = 1 OR by_key THEN 0 ELSE 3 END AS n_taxes,
+    CASE WHEN p_partkey % 10 = 1 THEN NULL ELSE doc_code END AS document,
+    CASE WHEN p_partkey % 10 = 1 THEN NULL ELSE 'Émirats' END AS country FROM facts""")
+def records_from_pages(spark, d):
+    """Parts landed as one HTML page per section, put together again and parsed."""
+    records = RC.records_from_pages(R.landed_pages(spread_table(spark, d, "part")))
+    products = PR.assemble_product(records, F.lit(AS_OF).cast("timestamp_ntz"))
+    n_sections = F.coalesce(F.size(F.from_json("raw", "sections array<struct<order int>>")["sections"]), F.lit(0))
+    return products.select(
+        "hs_code", F.col("lineage.status").alias("scrape_status"), n_sections.alias("n_sections"), "designation",
+        "unit_of_measure", "hierarchy.section_code", F.size("taxation.taxes").alias("n_taxes"),
+        F.get("documents.documents", F.lit(0))["code"].alias("document"),
+        F.get("accord_convention.accord_convention", F.lit(0))["country"].alias("country"),
+    )
+
+
 # --- Flattened items ------------------------------------------------------------------------------
 
 

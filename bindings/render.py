@@ -196,6 +196,38 @@ def raw_records(part: DataFrame) -> DataFrame:
     ).select(*RAW_SCHEMA.fieldNames())
 
 
+def landed_pages(part: DataFrame) -> DataFrame:
+    """Parts as landed HTML pages: a main page and one page per section, or a single failed visit."""
+    key = F.col("p_partkey") % 10
+    failed = key == 1
+
+    def markup(text: Column | str) -> Column:
+        lines = F.replace(F.lit(text) if isinstance(text, str) else text, F.lit("\n"), F.lit("</p>\n<p>"))
+        return joined("<html><script>x()</script><body><p>", lines, "</p></body></html>")
+
+    texts = {
+        P.SECTION_POSITION: position_text(),
+        P.SECTION_TAXES: tax_text(),
+        P.SECTION_DOCUMENTS: record_documents_text(),
+        P.SECTION_AGREEMENTS: F.lit(RECORD_AGREEMENTS),
+        P.SECTION_HISTORY: record_history_text(),
+    }
+    pages = [("main", None, -1, F.when(key > 1, markup("Accueil")))]
+    pages += [("section", name, i, F.when(~failed, markup(text))) for i, (name, text) in enumerate(texts.items())]
+    exploded = part_facts(part).select(
+        F.col("hs10").alias("hs_code"),
+        F.lit("2026-01-31T22:43:39").alias("scraped_at"),
+        F.when(failed, "timed out").alias("error"),
+        F.inline(F.array(*[
+            F.struct(
+                F.lit(kind).alias("kind"), F.lit(name).cast("string").alias("section_name"), F.lit(i).alias("order"), html.alias("html")
+            )
+            for kind, name, i, html in pages
+        ])),
+    )
+    return exploded
+
+
 # Item lists of a part record as text, and the text that its hash covers.
 SQL_PART_ITEMS = f"""
   SELECT facts.*,

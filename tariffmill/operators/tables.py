@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tariffmill.schemas import TABLE_TYPE
+
+_TABLE_TAG = "(?i)<table"
 _VOID = {
     "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr",
 }
@@ -113,4 +116,26 @@ def extract_tables(pages: DataFrame, key: str = "page_id", html: str = "html") -
             ]
             yield pd.DataFrame(found, columns=schema.names)
 
-    return pages.select(key, html).where(F.rlike(html, F.lit("(?i)<table"))).mapInPandas(read, schema)
+    return pages.select(key, html).where(F.rlike(html, F.lit(_TABLE_TAG))).mapInPandas(read, schema)
+
+
+def with_tables(df: DataFrame, html: str = "html") -> DataFrame:
+    """Replace the HTML column by ``tables``, the data tables of the page.
+
+    Only rows with a table tag pass through Python; the others take an empty array in the JVM.
+    """
+    kept = [field for field in df.schema if field.name != html]
+    schema = T.StructType([*kept, T.StructField("tables", T.ArrayType(TABLE_TYPE))])
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            tables = [
+                [{"headers": h, "rows": rows, "row_count": len(rows)} for h, rows, _ in read_tables(page)]
+                for page in batch.pop(html)
+            ]
+            yield batch.assign(tables=tables)
+
+    has_table = F.coalesce(F.rlike(html, F.lit(_TABLE_TAG)), F.lit(False))
+    none = F.array().cast(f"array<{TABLE_TYPE.simpleString()}>").alias("tables")
+    plain = df.where(~has_table).select(*[field.name for field in kept], none)
+    return plain.unionByName(df.where(has_table).mapInPandas(read, schema))

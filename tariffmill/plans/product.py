@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -112,6 +113,24 @@ def canonical_text(designation: Column) -> Column:
 
 def assemble_product(raw: DataFrame, as_of: Column, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Raw records (``RAW_SCHEMA``) to nested product rows."""
+    whole = json_text(F.struct(*RAW_SCHEMA.fieldNames()))
+    df = raw.withColumn("raw", whole).withColumns({
+        "hs_code": F.coalesce(F.col("hs_code"), F.lit(MISSING)),
+        "scraped_at": scraped_at_or(F.col("scraped_at"), as_of),
+    })
+    *stages, product = _product_stages(rules, raw.sparkSession.sparkContext.applicationId)
+    for stage in stages:
+        df = df.withColumns(stage)
+    return df.select(*[column.alias(name) for name, column in product.items()])
+
+
+@lru_cache(maxsize=8)
+def _product_stages(rules: Rules, application: str) -> tuple[dict[str, Column], ...]:
+    """Columns to add step by step, and last the columns of the product.
+
+    Columns are not bound to a DataFrame, so a stream builds these wide expressions once per application
+    and not once per batch.
+    """
     col = F.col
     sections = {
         "_pos": P.SECTION_POSITION,
@@ -121,27 +140,22 @@ def assemble_product(raw: DataFrame, as_of: Column, rules: Rules = DEFAULT_RULES
         "_his": P.SECTION_HISTORY,
     }
     text, pairs = F.coalesce(col("_pos.raw_text"), F.lit("")), col("_pos.key_values")
-    parsed = (
-        raw.withColumn("raw", json_text(F.struct(*RAW_SCHEMA.fieldNames())))
-        .withColumn("hs_code", F.coalesce(col("hs_code"), F.lit(MISSING)))
-        .withColumn("scraped_at", scraped_at_or(col("scraped_at"), as_of))
-        .withColumns({alias: section_content(col("sections"), name) for alias, name in sections.items()})
-        .withColumns({
-            "_section": parse.extract_section(text, pairs, rules),
-            "_chapter": parse.extract_chapter(text, pairs, rules),
-            "_designation": parse.extract_designation(text, pairs, col("hs_code"), rules),
-            "unit_of_measure": lines.unit_of_measure(text, col("_pos.metadata")),
-            "_taxes": parse.taxes(
-                parse.parse_taxes(col("_tax.raw_text"), rules), parse.parse_taxes_kv(col("_tax.key_values"), rules)
-            ),
-            "_documents": lines.parse_documents(col("_doc.raw_text"), rules),
-            "_agreements": lines.parse_agreements(col("_agr.raw_text"), rules),
-            "_history": lines.parse_history(col("_his.raw_text")),
-        })
-        .withColumn("_labels", lines.hierarchy_labels(text, col("hs_code"), col("_designation"), rules))
-        .withColumn("designation", lines.final_designation(col("_labels.hs10_label"), col("_designation")))
-    )
+    parsed = {
+        "_section": parse.extract_section(text, pairs, rules),
+        "_chapter": parse.extract_chapter(text, pairs, rules),
+        "_designation": parse.extract_designation(text, pairs, col("hs_code"), rules),
+        "_unit": lines.unit_of_measure(text, col("_pos.metadata")),
+        "_taxes": parse.taxes(
+            parse.parse_taxes(col("_tax.raw_text"), rules), parse.parse_taxes_kv(col("_tax.key_values"), rules)
+        ),
+        "_documents": lines.parse_documents(col("_doc.raw_text"), rules),
+        "_agreements": lines.parse_agreements(col("_agr.raw_text"), rules),
+        "_history": lines.parse_history(col("_his.raw_text")),
+    }
     meta = meta_struct(col("scraped_at"))
+    payload = canonical_payload(
+        col("_agreements"), col("_final"), col("_documents"), col("_history"), col("_taxes")
+    )
 
     def node(width: int) -> Column:
         label = col(f"_labels.hs{width}_label")
@@ -151,16 +165,19 @@ def assemble_product(raw: DataFrame, as_of: Column, rules: Rules = DEFAULT_RULES
             present_in_record(label).alias("present"),
         ).alias(f"hs{width}")
 
-    return parsed.select(
-        "hs_code",
-        col("_section.label").alias("section_label"),
-        col("_chapter.label").alias("chapter_label"),
-        col("_labels.hs4_label").alias("hs4_label"),
-        col("_labels.hs6_label").alias("hs6_label"),
-        col("_labels.hs8_label").alias("hs8_label"),
-        "designation",
-        "unit_of_measure",
-        F.struct(
+    def with_meta(items: str, name: str) -> Column:
+        return F.struct(col(items).alias(name), meta.alias("meta"))
+
+    product = {
+        "hs_code": col("hs_code"),
+        "section_label": col("_section.label"),
+        "chapter_label": col("_chapter.label"),
+        "hs4_label": col("_labels.hs4_label"),
+        "hs6_label": col("_labels.hs6_label"),
+        "hs8_label": col("_labels.hs8_label"),
+        "designation": col("_final"),
+        "unit_of_measure": col("_unit"),
+        "hierarchy": F.struct(
             col("_section.code").alias("section_code"),
             col("_section.label").alias("section_label"),
             col("_chapter.code").alias("chapter_code"),
@@ -169,19 +186,22 @@ def assemble_product(raw: DataFrame, as_of: Column, rules: Rules = DEFAULT_RULES
             node(6),
             node(8),
             meta.alias("meta"),
-        ).alias("hierarchy"),
-        F.struct(col("_taxes").alias("taxes"), meta.alias("meta")).alias("taxation"),
-        F.struct(col("_documents").alias("documents"), meta.alias("meta")).alias("documents"),
-        F.struct(col("_agreements").alias("accord_convention"), meta.alias("meta")).alias("accord_convention"),
-        F.struct(col("_history").alias("items"), meta.alias("meta")).alias("historique"),
-        lineage_struct(col("scraped_at"), col("scrape_status"), col("url")).alias("lineage"),
-        "raw",
-        canonical_hash(
-            canonical_payload(
-                col("_agreements"), col("designation"), col("_documents"), col("_history"), col("_taxes")
-            )
-        ).alias("canonical_hash"),
-        canonical_text(col("designation")).alias("canonical_text"),
+        ),
+        "taxation": with_meta("_taxes", "taxes"),
+        "documents": with_meta("_documents", "documents"),
+        "accord_convention": with_meta("_agreements", "accord_convention"),
+        "historique": with_meta("_history", "items"),
+        "lineage": lineage_struct(col("scraped_at"), col("scrape_status"), col("url")),
+        "raw": col("raw"),
+        "canonical_hash": canonical_hash(payload),
+        "canonical_text": canonical_text(col("_final")),
+    }
+    return (
+        {alias: section_content(col("sections"), name) for alias, name in sections.items()},
+        parsed,
+        {"_labels": lines.hierarchy_labels(text, col("hs_code"), col("_designation"), rules)},
+        {"_final": lines.final_designation(col("_labels.hs10_label"), col("_designation"))},
+        product,
     )
 
 

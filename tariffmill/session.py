@@ -15,6 +15,8 @@ def build_session(app_name: str = "tariffmill", **conf: str) -> SparkSession:
         "spark.sql.adaptive.enabled": "true",
         # call-site tracking of every column function doubles the time to build these wide plans
         "spark.python.sql.dataFrameDebugging.enabled": "false",
+        # whole pages go to the table reader, so batches are kept short
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
     }

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tariffmill.patterns import DEFAULT_RULES, Rules
 from tariffmill.plans.sync import sync_batch
 from tariffmill.schemas import RAW_SCHEMA
-from tariffmill.sources.store import CatalogueStore
+from tariffmill.sources.store import TABLES, CatalogueStore
 
 
 def utc_now() -> datetime:
@@ -29,15 +29,21 @@ def stream_ingest(
     checkpoint: str,
     rules: Rules = DEFAULT_RULES,
     clock: Callable[[], datetime] = utc_now,
+    compact_every: int = 50,
 ) -> StreamingQuery:
     """Merge a stream of raw records into the store under ``root``; ends when all landed files are done.
 
     The batch id is the version in the store. After a crash the stream runs its last batch again, which
-    then finds its version committed or overwrites its own uncommitted files.
+    then finds its version committed or overwrites its own uncommitted files. After every
+    ``compact_every`` batches the versions of each table are folded into one.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        sync_batch(batch, CatalogueStore(batch.sparkSession, root), batch_id, clock(), rules)
+        store = CatalogueStore(batch.sparkSession, root)
+        sync_batch(batch, store, batch_id, clock(), rules)
+        if (batch_id + 1) % compact_every == 0:
+            for table in TABLES:
+                store.compact(table)
 
     return (
         raw.writeStream.foreachBatch(load)

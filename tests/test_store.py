@@ -147,7 +147,7 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
 
     def run():
         stream_ingest(
-            read_landing(spark, str(landing), max_files=1), root, str(tmp_path / "checkpoint"), clock=lambda: T1
+            read_landing(spark, str(landing), max_files=1), root, str(tmp_path / "checkpoint"), clock=lambda: T1, compact_every=2
         ).awaitTermination()
 
     for part in parts[:2]:

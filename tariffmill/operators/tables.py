@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,35 +23,45 @@ class _TableReader(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, list | None]] = []
         self.tables: list[list[list[tuple[str, list[str]]]]] = []
-
-    def _holders(self, tag: str) -> list[list]:
-        return [held for name, held in self.open if name == tag and held is not None]
+        self.open: list[str] = []
+        # What an open tag of a kind adds to, innermost last.
+        self.held: dict[str, list[list]] = {"table": [], "tr": [], "td": [], "th": []}
+        self.hidden = 0
 
     def handle_starttag(self, tag, attrs):
-        held: list | None = None
-        if tag == "table" and not self._holders("table"):
-            held = []
-            self.tables.append(held)
-        elif tag == "tr" and self._holders("table"):
-            held = []
-            self._holders("table")[0].append(held)
-        elif tag in ("td", "th") and self._holders("tr"):
-            held = []
-            for row in self._holders("tr"):
-                row.append((tag, held))
-        if tag not in _VOID:
-            self.open.append((tag, held))
+        if tag in _VOID:
+            return
+        self.open.append(tag)
+        self.hidden += tag in _HIDDEN
+        if tag not in self.held:
+            return
+        added: list = []
+        if tag == "table" and not self.held["table"]:
+            self.tables.append(added)
+        elif tag == "tr" and self.held["table"]:
+            self.tables[-1].append(added)
+        elif tag in ("td", "th"):
+            for row in self.held["tr"]:
+                row.append((tag, added))
+        self.held[tag].append(added)
 
     def handle_endtag(self, tag):
-        if any(name == tag for name, _ in self.open):
-            while self.open.pop()[0] != tag:
-                pass
+        if tag not in self.open:
+            return
+        while True:
+            closed = self.open.pop()
+            self.hidden -= closed in _HIDDEN
+            if closed in self.held:
+                self.held[closed].pop()
+            if closed == tag:
+                return
 
     def handle_data(self, data):
-        if not any(name in _HIDDEN for name, _ in self.open):
-            for cell in self._holders("td") + self._holders("th"):
+        if not self.hidden:
+            for cell in self.held["td"]:
+                cell.append(data)
+            for cell in self.held["th"]:
                 cell.append(data)
 
 
@@ -93,49 +102,47 @@ def read_tables(page: str | None) -> list[tuple[list[str], list[dict], list[dict
     return [found for found in map(_read_table, reader.tables) if found]
 
 
-def extract_tables(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """One row per data table: key, place on the page, headers, rows as text, percentages as numbers.
-
-    Pages without a table tag never reach Python.
-    """
-    schema = T.StructType([
-        pages.schema[key],
-        T.StructField("table_no", T.IntegerType()),
-        T.StructField("headers", T.ArrayType(T.StringType())),
-        T.StructField("rows", T.ArrayType(T.MapType(T.StringType(), T.StringType()))),
-        T.StructField("numbers", T.ArrayType(T.MapType(T.StringType(), T.DoubleType()))),
-        T.StructField("row_count", T.IntegerType()),
-    ])
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [
-                (page_key, no, headers, rows, numbers, len(rows))
-                for page_key, page in zip(batch[key], batch[html], strict=True)
-                for no, (headers, rows, numbers) in enumerate(read_tables(page))
-            ]
-            yield pd.DataFrame(found, columns=schema.names)
+_READ_TYPE = T.ArrayType(T.StructType([
+    *TABLE_TYPE.fields, T.StructField("numbers", T.ArrayType(T.MapType(T.StringType(), T.DoubleType()))),
+]))
+_READ_ARROW = pa.list_(pa.struct([
+    ("headers", pa.list_(pa.string())),
+    ("rows", pa.list_(pa.map_(pa.string(), pa.string()))),
+    ("row_count", pa.int32()),
+    ("numbers", pa.list_(pa.map_(pa.string(), pa.float64()))),
+]))
 
-    return pages.select(key, html).where(F.rlike(html, F.lit(_TABLE_TAG))).mapInPandas(read, schema)
 
+def _tables_of(html: Column) -> Column:
+    """Data tables of a page. Only pages with a table tag are sent to Python; the others go as NULL."""
 
-def with_tables(df: DataFrame, html: str = "html") -> DataFrame:
-    """Replace the HTML column by ``tables``, the data tables of the page.
-
-    Only rows with a table tag pass through Python; the others take an empty array in the JVM.
-    """
-    kept = [field for field in df.schema if field.name != html]
-    schema = T.StructType([*kept, T.StructField("tables", T.ArrayType(TABLE_TYPE))])
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            tables = [
-                [{"headers": h, "rows": rows, "row_count": len(rows)} for h, rows, _ in read_tables(page)]
-                for page in batch.pop(html)
+    def items(rows: list[dict]) -> list[list[tuple]]:
+        return [list(row.items()) for row in rows]
+
+    @F.arrow_udf(_READ_TYPE)
+    def read(pages: pa.Array) -> pa.Array:
+        found = [
+            [
+                {"headers": headers, "rows": items(rows), "row_count": len(rows), "numbers": items(numbers)}
+                for headers, rows, numbers in read_tables(page)
             ]
-            yield batch.assign(tables=tables)
+            for page in pages.to_pylist()
+        ]
+        return pa.array(found, type=_READ_ARROW)
 
-    has_table = F.coalesce(F.rlike(html, F.lit(_TABLE_TAG)), F.lit(False))
-    none = F.array().cast(f"array<{TABLE_TYPE.simpleString()}>").alias("tables")
-    plain = df.where(~has_table).select(*[field.name for field in kept], none)
-    return plain.unionByName(df.where(has_table).mapInPandas(read, schema))
+    # Not deterministic to the optimizer, or it would read all pages once more to skip empty results.
+    return read.asNondeterministic()(F.when(F.rlike(html, F.lit(_TABLE_TAG)), html))
+
+
+def extract_tables(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
+    """One row per data table: key, place on the page, headers, rows as text, percentages as numbers."""
+    found = pages.where(F.rlike(html, F.lit(_TABLE_TAG))).select(key, _tables_of(F.col(html)).alias("tables"))
+    return found.select(key, F.posexplode("tables").alias("table_no", "table")).select(
+        key, "table_no", "table.headers", "table.rows", "table.numbers", "table.row_count"
+    )
+
+
+def with_tables(df: DataFrame, html: str = "html") -> DataFrame:
+    """Replace the HTML column by ``tables``, the data tables of the page."""
+    tables = F.transform("tables", lambda t: F.struct(*[t[name].alias(name) for name in TABLE_TYPE.fieldNames()]))
+    return df.withColumn("tables", _tables_of(F.col(html))).drop(html).withColumn("tables", tables)

@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 
 
 def _items(products: DataFrame, items: str, key: str, fields: dict[str, Column]) -> DataFrame:
-    return products.select(key, F.posexplode(items).alias("pos", "item")).select(
-        key, "pos", *[value.alias(name) for name, value in fields.items()]
-    )
+    """One row per item.
+
+    For a plain explode Spark adds a filter on the size of the array, and so computes items that are not
+    stored yet twice; the outer form has no such filter.
+    """
+    exploded = products.select(key, F.posexplode_outer(items).alias("pos", "item")).where("pos IS NOT NULL")
+    return exploded.select(key, "pos", *[value.alias(name) for name, value in fields.items()])
 
 
 def _field(name: str) -> Column:

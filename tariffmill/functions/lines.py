@@ -43,7 +43,7 @@ _LINES = "(?dm)"
 _DATE_START = r"^\d{2}/\d{2}/\d{4}"
 _DATE_ANYWHERE = r"\d{2}/\d{2}/\d{4}"
 _NUMERIC_LINE = r"^\d+[\d\.]*$"
-_CODE_LINE = r"\d{3,5}$"
+_CODE_LINE = P.DOCUMENT_CODE.removeprefix("^")
 _DOCUMENT = rf"{_LINES}^{_CODE_LINE}(?:\n(?!{_CODE_LINE}).+$){{0,2}}"
 _RATE_LINE = r"(?:[\d.,]+(?:[^\S\n]*%)?|\(\*\))$"
 _REGIME_WORD = f"(?i:{'|'.join(P.AGREEMENT_REGIME_WORDS)})"

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffmill.llm import packing, quality
+from tariffmill.llm import html_extract, minhash, packing, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,31 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    # the sample of labelled rows is bounded, so its side of the join is small at every size of the corpus
+    seen = labels.where(~held_out & F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").alias("label"))
+    seen = seen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(toxicity.MAX_ROWS)
+    model = toxicity.learn(docs.select("doc_id", "text").join(F.broadcast(seen), "doc_id"))
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted")
+    )
+
+
+@query("op2_html_extraction")
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@query("op6_minhash_near_dedup")
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), size=2, percent=80)
+
+
 @query("op9_best_fit_packing")
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(documents(spark, sf_dir), tokenizer_path())

@@ -33,7 +33,7 @@ def superminhash(elements: np.ndarray, owner: np.ndarray, n_sets: int, length: i
     live = np.arange(len(elements))
     order = None
     for j in range(length):
-        draw = mixed(elements[live] + np.uint64(j + 1) * np.uint64(0xD1342543DE82EF95))
+        draw = mixed(elements[live] + np.uint64((j + 1) * 0xD1342543DE82EF95 % 2**64))
         to = (j + (((draw >> np.uint64(32)) * np.uint64(length - j)) >> np.uint64(32))).astype(np.int64)
         rows = np.arange(len(live))
         if order is None:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffmill.llm import html_extract, minhash, packing, quality, toxicity
+from tariffmill.llm import html_extract, minhash, packing, quality, suffix, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +61,15 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), size=2, percent=80)
 
 
+@query("op7_suffix_array_dedup")
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix.drop_repeats(documents(spark, sf_dir), length=100)
+    return cut.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query("op9_best_fit_packing")
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(documents(spark, sf_dir), tokenizer_path())

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffmill.llm import html_extract, minhash, packing, quality, suffix, toxicity
+from tariffmill.llm import html_extract, minhash, mixing, packing, quality, sketch, suffix, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +56,163 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+#: Production parameters of the mixture.
+MIX_WEIGHTS = {
+    "domain": {"web": 50, "books": 20, "news": 20, "forums": 10},
+    "language": {"en": 60, "de": 20, "fr": 15, "es": 5},
+}
+MIX_PERCENT, MIX_EPOCHS, MIX_SEED = 60, 2, 17
+MIX_DOMAINS = ["web", "books", "news", "forums"]
+
+
+def mix_rows(docs: DataFrame) -> DataFrame:
+    """Documents with the levels of the mixing tree. A source's domain follows from the number in its name."""
+    number = F.regexp_extract(F.coalesce("source", F.lit("")), "([0-9]+)$", 1)
+    by_number = F.when(number == "", "web")
+    for i, name in enumerate(MIX_DOMAINS):
+        by_number = by_number.when(F.substring(number, -1, 1).isin(*[str(d) for d in range(10) if d % 4 == i]), name)
+    return docs.select(
+        F.col("doc_id").cast("long"), by_number.alias("domain"), F.col("lang").alias("language"), F.col("source").alias("origin"),
+        F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("n_tokens"),
+    )
+
+
+OP3_SQL = r"""
+WITH docs AS (
+    SELECT doc_id, coalesce(lang, '') AS language, coalesce(source, '') AS origin,
+        CASE WHEN regexp_extract(coalesce(source, ''), '([0-9]+)$', 1) = '' THEN 'web'
+             WHEN right(source, 1) IN ('0', '4', '8') THEN 'web' WHEN right(source, 1) IN ('1', '5', '9') THEN 'books'
+             WHEN right(source, 1) IN ('2', '6') THEN 'news' ELSE 'forums' END AS domain,
+        len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_tokens
+    FROM documents),
+leaf AS (
+    SELECT domain, language, origin, sum(n_tokens)::HUGEINT AS tokens, 2 * sum(n_tokens)::HUGEINT AS room
+    FROM docs GROUP BY ALL),
+d AS (
+    SELECT domain, sum(room)::HUGEINT AS room,
+        CASE domain WHEN 'web' THEN 50 WHEN 'books' THEN 20 WHEN 'news' THEN 20 WHEN 'forums' THEN 10 ELSE 1 END::HUGEINT AS w,
+        (SELECT sum(tokens)::HUGEINT * 60 // 100 FROM leaf) AS budget
+    FROM leaf GROUP BY domain),
+d1 AS (
+    SELECT *, coalesce(sum(room) OVER o, 0)::HUGEINT AS room_before, coalesce(sum(w) OVER o, 0)::HUGEINT AS w_before,
+        (sum(w) OVER ())::HUGEINT AS w_all
+    FROM d WINDOW o AS (ORDER BY room::DOUBLE / w, domain ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+d2 AS (SELECT *, room * (w_all - w_before) <= w * (budget - room_before) AS filled FROM d1),
+d3 AS (
+    SELECT *, coalesce(sum(room) FILTER (filled) OVER (), 0)::HUGEINT AS room_full, coalesce(sum(w) FILTER (filled) OVER (), 0)::HUGEINT AS w_full
+    FROM d2),
+dom AS (SELECT domain, CASE WHEN filled THEN room ELSE (w * (budget - room_full)) // nullif(w_all - w_full, 0) END AS budget FROM d3),
+l AS (
+    SELECT domain, language, sum(room)::HUGEINT AS room,
+        CASE language WHEN 'en' THEN 60 WHEN 'de' THEN 20 WHEN 'fr' THEN 15 WHEN 'es' THEN 5 ELSE 1 END::HUGEINT AS w,
+        any_value(dom.budget) AS budget
+    FROM leaf JOIN dom USING (domain) GROUP BY domain, language),
+l1 AS (
+    SELECT *, coalesce(sum(room) OVER o, 0)::HUGEINT AS room_before, coalesce(sum(w) OVER o, 0)::HUGEINT AS w_before,
+        (sum(w) OVER (PARTITION BY domain))::HUGEINT AS w_all
+    FROM l WINDOW o AS (PARTITION BY domain ORDER BY room::DOUBLE / w, language ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l2 AS (SELECT *, room * (w_all - w_before) <= w * (budget - room_before) AS filled FROM l1),
+l3 AS (
+    SELECT *, coalesce(sum(room) FILTER (filled) OVER p, 0)::HUGEINT AS room_full,
+        coalesce(sum(w) FILTER (filled) OVER p, 0)::HUGEINT AS w_full
+    FROM l2 WINDOW p AS (PARTITION BY domain)),
+lang AS (
+    SELECT domain, language, CASE WHEN filled THEN room ELSE (w * (budget - room_full)) // nullif(w_all - w_full, 0) END AS budget
+    FROM l3),
+s1 AS (
+    SELECT domain, language, origin, tokens, room, lang.budget, coalesce(sum(room) OVER o, 0)::HUGEINT AS room_before,
+        coalesce(count(*) OVER o, 0)::HUGEINT AS w_before, (count(*) OVER (PARTITION BY domain, language))::HUGEINT AS w_all
+    FROM leaf JOIN lang USING (domain, language)
+    WINDOW o AS (PARTITION BY domain, language ORDER BY room::DOUBLE, origin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+s2 AS (SELECT *, room * (w_all - w_before) <= budget - room_before AS filled FROM s1),
+s3 AS (
+    SELECT *, coalesce(sum(room) FILTER (filled) OVER p, 0)::HUGEINT AS room_full, count(*) FILTER (filled) OVER p AS w_full
+    FROM s2 WINDOW p AS (PARTITION BY domain, language)),
+plan AS (
+    SELECT domain, language, origin,
+        (CASE WHEN filled THEN room ELSE (budget - room_full) // nullif(w_all - w_full, 0) END)::BIGINT AS budget
+    FROM s3),
+stream AS (
+    SELECT doc_id, domain, language, origin, n_tokens, epoch, budget,
+        (coalesce(sum(n_tokens) OVER (
+            PARTITION BY domain, language, origin ORDER BY epoch, md5('17:' || epoch || ':' || coalesce(doc_id::VARCHAR, '')), doc_id, n_tokens
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS place
+    FROM docs JOIN plan USING (domain, language, origin), (SELECT unnest([0, 1])::INTEGER AS epoch))
+SELECT doc_id, domain, language, origin, n_tokens::BIGINT AS n_tokens, epoch, place, budget FROM stream
+WHERE budget > 0 AND place + n_tokens <= budget
+"""
+
+
+@query("op3_source_mixing", OP3_SQL)
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mix_rows(documents(spark, sf_dir))
+    return mixing.choose(rows, percent=MIX_PERCENT, max_epochs=MIX_EPOCHS, seed=MIX_SEED, weights=MIX_WEIGHTS)
+
+
+OP4_SQL = r"""
+WITH docs AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+        coalesce(lead(coalesce(text, '')) OVER o, first_value(coalesce(text, '')) OVER o) AS next_text
+    FROM documents WINDOW o AS (ORDER BY doc_id DESC, text)),
+edited AS (
+    SELECT doc_id, length(text) AS n, text, next_text,
+        CASE WHEN length(text) > 1
+             THEN left(text, length(text) - length(text) // 2) || left(next_text, length(text) // 2) ELSE text END AS edited_text
+    FROM docs),
+parts AS (
+    SELECT doc_id, 'a' AS kind, text FROM edited UNION ALL SELECT doc_id, 'e', edited_text FROM edited
+    UNION ALL SELECT doc_id, 'n', next_text FROM edited),
+words AS (
+    SELECT doc_id, kind, list_filter(regexp_split_to_array(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+    FROM parts),
+hashes AS (
+    SELECT doc_id, kind, CASE WHEN len(w) = 0 THEN [] ELSE list_sort(list_distinct(list_transform(
+        range(1, greatest(len(w) - 4, 1) + 1), lambda i: left(md5(array_to_string(w[i:i + 4], ' ')), 8)))) END AS h
+    FROM words),
+kept AS (
+    SELECT doc_id, kind, CASE WHEN len(list_filter(h, lambda x: x < '20000000')) >= 32
+        THEN list_filter(h, lambda x: x < '20000000') ELSE h[1:32] END AS s
+    FROM hashes),
+reached AS (
+    SELECT doc_id, kind, s, CASE WHEN len(s) < 32 THEN 'g' ELSE greatest(s[len(s)], '20000000') END AS r FROM kept),
+sides AS (
+    SELECT a.doc_id, a.s AS sa, e.s AS se, n.s AS sn, least(a.r, e.r) AS re, least(a.r, n.r) AS rn
+    FROM reached a JOIN reached e ON a.doc_id = e.doc_id AND a.kind = 'a' AND e.kind = 'e'
+    JOIN reached n ON a.doc_id = n.doc_id AND n.kind = 'n'),
+cut AS (
+    SELECT doc_id, sa, se, sn, list_filter(sa, lambda x: x <= re) AS ae, list_filter(se, lambda x: x <= re) AS ee,
+        list_filter(sa, lambda x: x <= rn) AS an, list_filter(sn, lambda x: x <= rn) AS nn
+    FROM sides)
+SELECT doc_id, n::BIGINT AS n_chars, sha256(edited_text) AS edited_sha256,
+    array_to_string(sa, '') AS fingerprint, array_to_string(se, '') AS edited_fingerprint,
+    CASE WHEN len(sa) = 0 AND len(se) = 0 THEN 1.0 WHEN least(len(ae), len(ee)) = 0 THEN 0.0
+         ELSE len(list_intersect(ae, ee))::DOUBLE / least(len(ae), len(ee)) END::DOUBLE AS near_edited,
+    CASE WHEN len(sa) = 0 AND len(sn) = 0 THEN 1.0 WHEN least(len(an), len(nn)) = 0 THEN 0.0
+         ELSE len(list_intersect(an, nn))::DOUBLE / least(len(an), len(nn)) END::DOUBLE AS near_next
+FROM cut JOIN edited USING (doc_id)
+"""
+
+
+@query("op4_document_fingerprints", OP4_SQL)
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = sketch.fingerprints(documents(spark, sf_dir), size=5, fraction=0.125, floor=32)
+    return made.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
+        sketch.fingerprint_text(F.col("sketch")).alias("fingerprint"),
+        sketch.fingerprint_text(F.col("edited_sketch")).alias("edited_fingerprint"), "near_edited", "near_next",
+    )
+
+
+URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
+
+
+@query("op5_url_filters")
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "blocked")
+
+
 @query("op6_minhash_near_dedup")
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), size=2, percent=80)

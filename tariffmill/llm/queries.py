@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffmill.llm import html_extract, minhash, mixing, packing, quality, sketch, suffix, toxicity, url_filter
+from tariffmill.llm import compact, html_extract, minhash, mixing, packing, quality, sketch, suffix, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -227,6 +227,11 @@ def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_substring_dedup")
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compact.near_passages(documents(spark, sf_dir), words=50, size=5, similarity=0.8)
+
+
 @query("op9_best_fit_packing")
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(documents(spark, sf_dir), tokenizer_path())

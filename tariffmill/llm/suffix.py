@@ -336,8 +336,8 @@ def _met(rows: DataFrame) -> DataFrame:
     return dealt.mapInArrow(_meet, "doc_id long, start int, size int, key long, hard boolean")
 
 
-def _without():
-    """Each text without the bytes its spans cover."""
+def _without(carry: list[str], characters: bool):
+    """Each text without the bytes its spans cover, or without the characters they cover as a whole."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         kept, spans, sizes = [], [], []
@@ -349,19 +349,31 @@ def _without():
                     runs[-1][1] = max(runs[-1][1], end)
                 elif end > start:
                     runs.append([start, end])
+            if characters:
+                runs = [r for r in (_whole(raw, *r) for r in runs) if r[0] < r[1]]
             edges = [0, *(x for r in runs for x in r), len(raw)]
             kept.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
             spans.append([{"start": a, "end": b} for a, b in runs])
             sizes.append(len(raw))
         span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         return pa.RecordBatch.from_arrays(
-            [batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"]
+            [batch["doc_id"], *(batch[c] for c in carry), pa.array(sizes, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary())],
+            names=["doc_id", *carry, "n_bytes", "spans", "kept"],
         )
 
     return run
 
 
-def repeated_spans(docs: DataFrame, length: int = 100, most: int = MOST_STRETCHES) -> DataFrame:
+def _whole(raw: bytes, start: int, end: int) -> list[int]:
+    """The part of a span that holds whole UTF-8 characters only."""
+    while start < end and raw[start] & 0xC0 == 0x80:
+        start += 1
+    while end > start and end < len(raw) and raw[end] & 0xC0 == 0x80:
+        end -= 1
+    return [start, end]
+
+
+def repeated_spans(docs: DataFrame, length: int = 100, most: int = MOST_STRETCHES, carry: tuple[str, ...] = ()) -> DataFrame:
     """Stretches ``(doc_id, start, size)`` of bytes whose every ``length``-byte string also starts earlier.
 
     Earlier is a smaller doc_id, or an earlier start in the same text. Windows are grouped by the least hash of their grams, so
@@ -370,8 +382,8 @@ def repeated_spans(docs: DataFrame, length: int = 100, most: int = MOST_STRETCHE
     group go through the transform, in blocks of whole groups; a group of over ``most`` different stretches is split
     into single windows, which are keyed by their content.
     """
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null")
-    met = keep(_met(map_batches(texts, _first_of_batch(length), ROWS, 500)), "met")
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *carry).where("doc_id is not null")
+    met = keep(_met(map_batches(texts.select("doc_id", "text"), _first_of_batch(length), ROWS, 500)), "met")
     hard = met.where("hard")
     full = hard.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > most)
     full = keep(full.select("key"), "full")
@@ -389,18 +401,22 @@ def repeated_spans(docs: DataFrame, length: int = 100, most: int = MOST_STRETCHE
     return spans
 
 
-def drop_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
+def drop_repeats(docs: DataFrame, length: int = 100, carry: tuple[str, ...] = (), characters: bool = False) -> DataFrame:
     """Every text without the bytes that a ``length``-byte string covers which also starts earlier, judged on the input.
 
-    Works on ``docs (doc_id, text, ...)`` as UTF-8 bytes; matches never cross documents. A null text is empty. Rows that share a
+    Works on ``docs (doc_id, text, ...)`` as UTF-8 bytes; matches never cross documents. With ``characters``, a character
+    goes only if all of its bytes are covered, so that what is kept is text again. A null text is empty. Rows that share a
     doc_id are places of one document: repeated rows get equal results and do not count as repeats of each other. Rows
-    without doc_id are left as they are and are not compared. Returns doc_id, n_bytes, spans (removed runs), kept (bytes).
+    without doc_id are left as they are and are not compared. Returns doc_id, the columns to ``carry``, n_bytes, spans
+    (removed runs), kept (bytes).
     """
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    spans = repeated_spans(docs, length)
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *carry)
+    spans = repeated_spans(docs, length, carry=carry)
     by_doc = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "size")).alias("parts"))
     # the same selection of texts as above, so that their one shuffle serves both joins
-    placed = texts.where("doc_id is not null").join(by_doc, "doc_id", "left").select("doc_id", "text", "parts")
-    loose = texts.where("doc_id is null").select("doc_id", "text", F.lit(None).cast("array<struct<start:int,size:int>>").alias("parts"))
-    schema = "doc_id long, n_bytes long, spans array<struct<start:int,end:int>>, kept binary"
-    return map_batches(placed.unionByName(loose), _without(), schema, 500)
+    placed = texts.where("doc_id is not null").join(by_doc, "doc_id", "left").select("doc_id", "text", *carry, "parts")
+    nothing = F.lit(None).cast("array<struct<start:int,size:int>>")
+    loose = texts.where("doc_id is null").select("doc_id", "text", *carry, nothing.alias("parts"))
+    types = dict(texts.dtypes)
+    schema = ", ".join(["doc_id long", *(f"{c} {types[c]}" for c in carry), "n_bytes long, spans array<struct<start:int,end:int>>, kept binary"])
+    return map_batches(placed.unionByName(loose), _without(list(carry), characters), schema, 500)

@@ -12,6 +12,7 @@ from tariffmill.functions.text import zfill_code
 from tariffmill.operators import checks, delta, flatten, merge, report
 from tariffmill.plans.product import derive_prefixes, present_in_record, present_in_table
 from tariffmill.session import shared_dir
+from tariffmill.sources.store import TABLES, CatalogueStore
 from tariffmill.sources.sinks import sink_audit_append
 
 AS_OF = datetime(2024, 1, 31)
@@ -42,16 +43,40 @@ def recent_keys(spark, d):
     return recent[0].unionByName(recent[1])
 
 
-@query("recent_keys_fallback", "SELECT CAST(c_custkey AS VARCHAR) AS hs_code FROM customer")
+def _catalogue(spark, d) -> CatalogueStore:
+    """A catalogue whose products have the keys and times of the events."""
+    store = CatalogueStore(spark, shared_dir(spark, "catalogue"))
+    schema = TABLES["hs_products"][0]
+    known = _state(spark, d).withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz"))
+    rows = known.select(*[F.col(f.name) if f.name in known.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+    store.commit(0, [store.write("hs_products", rows, 0)], "events", 0)
+    return store
+
+
+_ALL_CODES = "SELECT CAST(c_custkey AS VARCHAR) AS hs_code FROM customer"
+_STALE_CODES = f"{_ALL_CODES} c WHERE NOT EXISTS (SELECT 1 FROM ({_recent_sql(25)}) r WHERE r.hs10 = CAST(c.c_custkey AS VARCHAR))"
+
+
+@query("recent_keys_fallback", f"SELECT 'none' AS store, hs_code FROM ({_ALL_CODES}) UNION ALL SELECT 'recent', hs_code FROM ({_STALE_CODES})")
 def recent_keys_fallback(spark, d):
-    skip = delta.keys_to_skip(spark, "no_such_catalogue_table", AS_OF)
-    return delta.delta_anti_join(_codes(spark, d), skip).select("hs_code")
+    """Codes to fetch without a catalogue, and with one that holds recent keys."""
+    stores = {"none": CatalogueStore(spark, shared_dir(spark, "no-catalogue")), "recent": _catalogue(spark, d)}
+    found = [
+        delta.delta_anti_join(_codes(spark, d), delta.keys_to_skip(store, AS_OF)).select(F.lit(name).alias("store"), "hs_code")
+        for name, store in stores.items()
+    ]
+    return found[0].unionByName(found[1])
 
 
-@query("force_refresh", "SELECT CAST(c_custkey AS VARCHAR) AS hs_code FROM customer")
+@query("force_refresh", f"SELECT true AS forced, hs_code FROM ({_ALL_CODES}) UNION ALL SELECT false, hs_code FROM ({_STALE_CODES})")
 def force_refresh(spark, d):
-    skip = delta.keys_to_skip(spark, "hs_products", AS_OF, force=True)
-    return delta.delta_anti_join(_codes(spark, d), skip).select("hs_code")
+    """Codes to fetch from one catalogue with recent keys, forced and not."""
+    store = _catalogue(spark, d)
+    found = [
+        delta.delta_anti_join(_codes(spark, d), delta.keys_to_skip(store, AS_OF, force=forced)).select(F.lit(forced).alias("forced"), "hs_code")
+        for forced in (True, False)
+    ]
+    return found[0].unionByName(found[1])
 
 
 _DELTA = f"""

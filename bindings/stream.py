@@ -12,7 +12,7 @@ from tariffmill.plans.sync import sync_batch
 from tariffmill.session import shared_dir
 from tariffmill.sources.readers import src_raw_json
 from tariffmill.sources.store import CatalogueStore
-from tariffmill.streaming.ingest import read_landing, stream_ingest
+from tariffmill.streaming.ingest import read_landing, stream_id, stream_ingest
 
 AS_OF = datetime(2026, 2, 1)
 _FACTS = f"WITH facts AS ({R.SQL_PART_FACTS})"
@@ -27,9 +27,9 @@ def _land(spark, d, parts: int, landing: str, keep=None) -> None:
     (raw if keep is None else raw.where(keep)).repartition(parts).write.mode("append").json(landing)
 
 
-def _run_stream(spark, landing: str, root: str, files: int = 1) -> None:
+def _run_stream(spark, landing: str, root: str, files: int = 1, checkpoint: str = "checkpoint") -> None:
     raw = read_landing(spark, landing, max_files=files)
-    stream_ingest(raw, root, f"{root}/checkpoint", clock=lambda: AS_OF).awaitTermination()
+    stream_ingest(raw, root, f"{root}/{checkpoint}", clock=lambda: AS_OF).awaitTermination()
 
 
 def _loaded(spark, root: str):
@@ -56,15 +56,17 @@ def stream_ingest_query(spark, d):
 
 @query("stream_resume", _LOADED)
 def stream_resume(spark, d):
-    """The stream stops after half of the records, starts again, and its last batch is replayed."""
-    landing, root = shared_dir(spark, "landing"), shared_dir(spark, "catalogue")
-    _land(spark, d, 1, landing, F.col("hs_code") < "5")
+    """A stream stops after a third of the records, starts again, a second landing folder with its own checkpoint adds the
+    rest, and the first stream's last batch is replayed at a later time, which changes nothing."""
+    landing, other, root = shared_dir(spark, "landing"), shared_dir(spark, "landing"), shared_dir(spark, "catalogue")
+    _land(spark, d, 1, landing, F.col("hs_code") < "3")
     _run_stream(spark, landing, root)
-    _land(spark, d, 1, landing, F.col("hs_code") >= "5")
+    _land(spark, d, 1, landing, F.col("hs_code").between("3", "6"))
     _run_stream(spark, landing, root)
-    store = CatalogueStore(spark, root)
-    last = max(version for version, *_ in store.entries())
-    sync_batch(src_raw_json(spark, landing, multi_line=False), store, last, datetime(2030, 1, 1))
+    _land(spark, d, 1, other, (F.col("hs_code") > "6"))
+    _run_stream(spark, other, root, checkpoint="checkpoint-2")
+    raw, source = src_raw_json(spark, landing, multi_line=False), stream_id(spark, f"{root}/checkpoint")
+    sync_batch(raw, CatalogueStore(spark, root), source, 1, datetime(2030, 1, 1))
     return _loaded(spark, root)
 
 
@@ -74,7 +76,7 @@ def stream_equals_batch(spark, d):
     landing, stream_root, batch_root = (shared_dir(spark, n) for n in ("landing", "catalogue", "catalogue"))
     _land(spark, d, 2, landing)
     _run_stream(spark, landing, stream_root)
-    sync_batch(src_raw_json(spark, landing, multi_line=False), CatalogueStore(spark, batch_root), 0, AS_OF)
+    sync_batch(src_raw_json(spark, landing, multi_line=False), CatalogueStore(spark, batch_root), "landing", 0, AS_OF)
     streamed = _loaded(spark, stream_root).withColumn("side", F.lit("stream"))
     batched = _loaded(spark, batch_root).withColumn("side", F.lit("batch"))
     both = streamed.unionByName(batched)

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import logging
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tariffmill.patterns import REFRESH_DAYS
+from tariffmill.sources.store import CatalogueStore
+
+log = logging.getLogger(__name__)
 
 
 def recent_keys(
@@ -24,17 +29,17 @@ def empty_keys(spark: SparkSession, key: str = "hs10") -> DataFrame:
 
 
 def keys_to_skip(
-    spark: SparkSession,
-    table: str,
-    as_of: Column | datetime,
-    days: int = REFRESH_DAYS,
-    force: bool = False,
-    key: str = "hs10",
+    store: CatalogueStore, as_of: Column | datetime, days: int = REFRESH_DAYS, force: bool = False, key: str = "hs10"
 ) -> DataFrame:
-    """Recent keys of a catalogue table; none when forced or when there is no such table yet."""
-    if force or not spark.catalog.tableExists(table):
-        return empty_keys(spark, key)
-    return recent_keys(spark.table(table), as_of, days, key)
+    """Recent keys of the catalogue's products; none when forced. A store without products, or one that cannot be read,
+    counts as empty: the run then starts afresh, and says so in the log."""
+    if force:
+        return empty_keys(store.spark, key)
+    try:
+        return recent_keys(store.read("hs_products", [key, "updated_at"]), as_of, days, key)
+    except AnalysisException as error:
+        log.warning("no skip set from %s: %s", store.root, error)
+        return empty_keys(store.spark, key)
 
 
 def delta_anti_join(codes: DataFrame, skip: DataFrame, code: str = "hs_code", key: str = "hs10") -> DataFrame:

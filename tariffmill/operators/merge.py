@@ -193,13 +193,11 @@ def resolve_parent_ids(
 ) -> DataFrame:
     """Give each child row the id of its parent; ``on`` maps child column to parent column.
 
-    Distinct parent keys of the children are looked up first, so the wide join to the children is on
-    unique rows, small enough to be broadcast where the measured size allows.
+    Parent keys are unique, so one inner join does it; Spark broadcasts the parents where their size allows and splits a hot key
+    of the children where it does not.
     """
-    wanted = child.select(*on).distinct()
     lookup = parent.select(*[F.col(p).alias(c) for c, p in on.items()], F.col(id_col).alias(parent_id))
-    found = wanted.join(lookup, list(on), "inner")
-    return child.join(found, list(on), "inner")
+    return child.join(lookup, list(on), "inner")
 
 
 def delete_blockers(doomed: DataFrame, children: DataFrame, key: str, foreign_key: str) -> DataFrame:

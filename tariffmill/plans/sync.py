@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from tariffmill.functions.text import zfill_code
 from tariffmill.operators import checks, merge, report
-from tariffmill.patterns import DEFAULT_RULES, Rules
-from tariffmill.plans.product import assemble_product, derive_prefixes, present_in_table
-from tariffmill.sources.store import TABLES, CatalogueStore
+from tariffmill.patterns import DEFAULT_RULES, MISSING, Rules
+from tariffmill.plans.product import assemble_product, derive_prefixes, present_in_table, validate_product
+from tariffmill.sources.store import LOGS, TABLES, CatalogueStore, Entry
 
 _FIRST, _LAST = "_first_at", "_last_at"
+UNKNOWN_CODE = "Unknown"
 _PATH = ["section_code", "chapter_code", "hs4", "hs6"]
 
 
@@ -52,43 +53,48 @@ def path_id(*codes: Column | str) -> Column:
 class _Batch:
     def __init__(self, store: CatalogueStore, version: int) -> None:
         self.store, self.version = store, version
+        self.written: list[Entry] = []
 
     def insert_only(self, table: str, incoming: DataFrame) -> None:
         """Sections and chapters: known keys keep their row."""
         keys = TABLES[table][1]
-        self._write(table, merge.upsert_insert_only(self.store.read(table, keys), incoming, keys, [_FIRST]))
+        self.write(table, merge.upsert_insert_only(self.store.read(table, keys), incoming, keys, [_FIRST]))
 
     def overwrite_labels(self, table: str, incoming: DataFrame) -> None:
         """HS4 and HS6 nodes: labels move with every record, meta and time stay."""
         rows = incoming.withColumn("present", present_in_table(F.col("label")))
-        self._write(
-            table,
-            merge.upsert_overwrite_labels(
-                self.store.read(table), rows, TABLES[table][1], [_FIRST], last_order=[_LAST]
-            ),
-        )
+        keys = TABLES[table][1]
+        known = self.store.read(table, only=rows.select(*keys).distinct())
+        self.write(table, merge.upsert_overwrite_labels(known, rows, keys, [_FIRST], last_order=[_LAST]))
 
-    def _write(self, table: str, df: DataFrame) -> None:
-        self.store.write(table, df.select(*TABLES[table][0].fieldNames()), self.version)
+    def write(self, table: str, df: DataFrame) -> None:
+        columns = (TABLES[table][0] if table in TABLES else LOGS[table]).fieldNames()
+        self.written.append(self.store.write(table, df.select(*columns), self.version))
 
 
 def sync_batch(
-    raw: DataFrame, store: CatalogueStore, version: int, as_of: datetime, rules: Rules = DEFAULT_RULES
-) -> None:
-    """Load one batch as one version; running a committed version again changes nothing."""
-    if store.has(version):
-        return
+    raw: DataFrame, store: CatalogueStore, source: str, batch_no: int, as_of: datetime, rules: Rules = DEFAULT_RULES
+) -> bool:
+    """Load batch ``batch_no`` of ``source``; False if it was loaded before, in which case nothing changes.
+
+    The store gives the batch its version. A batch that does not follow the source's others raises, as does a version
+    that another writer has taken meanwhile. Warnings of the schema check go into the audit message.
+    """
+    if store.has(source, batch_no):
+        return False
     spark, now = store.spark, F.lit(as_of).cast("timestamp_ntz")
+    version = store.last_version() + 1
 
     # Parsed once into shared storage; the upserts below each read the few columns they need.
-    staged = store.path("staging", version)
+    staged = store.fresh_path("staging", version)
     assembled = assemble_product(raw, now, rules)
-    assembled.withColumn("failure", checks.product_failure()).write.mode("overwrite").parquet(staged)
+    checked = validate_product(assembled).withColumn("failure", checks.product_failure())
+    checked.write.parquet(staged)
     products = spark.read.parquet(staged)
-    good, bad = products.where("failure IS NULL"), products.where("failure IS NOT NULL")
+    good, bad = checks.split_good_bad(products, F.col("failure"))
 
-    node_path = store.path("staging_nodes", version)
-    hierarchy_nodes(good).write.mode("overwrite").parquet(node_path)
+    node_path = store.fresh_path("staging_nodes", version)
+    hierarchy_nodes(good).write.parquet(node_path)
     nodes = spark.read.parquet(node_path).withColumns({
         "section_id": path_id("section_code"),
         "chapter_id": path_id("section_code", "chapter_code"),
@@ -120,17 +126,24 @@ def sync_batch(
         F.col("historique").alias("import_duty_history"), "lineage", "raw", "canonical_hash", "canonical_text",
         F.struct("lineage.scraped_at", "hs_code").alias("_at"),
     )
-    target = store.read("hs_products", ["hs10", "hs6_id", "canonical_hash", "updated_at"])
-    touched = merge.upsert_on_hash_change(target, rows, ["hs10"], ["_at"], now)
-    store.write("hs_products", touched.select(*TABLES["hs_products"][0].fieldNames()), version)
+    # only the chapters of the batch are read, and only its keys compared; a checked code has at most 100 chapters
+    chapters = [r[0] for r in good.select(F.substring("hs_code", 1, 2)).distinct().collect()]
+    keys = good.select(F.col("hs_code").alias("hs10")).distinct()
+    target = store.read("hs_products", ["hs10", "hs6_id", "canonical_hash", "updated_at"], chapters, keys)
+    batch.write("hs_products", merge.upsert_on_hash_change(target, rows, ["hs10"], ["_at"], now))
 
+    warned = F.when(F.size("warnings") > 0, F.array_join("warnings", "; "))
     audit = products.select(
-        F.col("hs_code").alias("hs10"),
+        F.when(F.col("hs_code") != MISSING, F.col("hs_code")).otherwise(UNKNOWN_CODE).alias("hs10"),
         report.audit_status(F.col("failure")).alias("status"),
-        F.col("failure").alias("message"),
+        F.coalesce("failure", warned).alias("message"),
         F.lit(None).cast("int").alias("duration_ms"),
         now.alias("created_at"),
     )
-    store.write("audit_logs", audit, version)
-    store.write("quarantine", bad.select(F.col("hs_code").alias("hs10"), "failure", "raw"), version)
-    store.commit(version, [*TABLES, "audit_logs", "quarantine"])
+    batch.write("audit_logs", audit)
+    if not bad.isEmpty():
+        batch.write("quarantine", bad.select(F.col("hs_code").alias("hs10"), "failure", "raw"))
+    store.commit(version, batch.written, source, batch_no)
+    store.remove(staged)
+    store.remove(node_path)
+    return True

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -26,14 +28,27 @@ def build_session(app_name: str = "tariffmill", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path under the cluster's shared checkpoint folder.
+def shared_dir(spark: SparkSession, name: str, base: str | None = None) -> str:
+    """A fresh path in a folder that the driver and all executors share.
 
-    The folder is read from ``spark.checkpoint.dir``. Only where that is unset, as in local tests, a
-    temporary folder is made and remembered in the session.
+    That is ``base``, or the cluster's ``spark.checkpoint.dir``, or the warehouse; never a machine's own temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = base or spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="tariffmill-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        raise ValueError("give a shared folder, or set spark.checkpoint.dir")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, for clusters where it is not installed."""
+    context = spark.sparkContext
+    if getattr(context, "_tariffmill_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="tariffmill-")) / "tariffmill.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent).as_posix())
+    # Spark serves the driver's copy to every executor
+    context.addPyFile(str(archive))
+    context._tariffmill_shipped = True

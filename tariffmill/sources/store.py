@@ -1,13 +1,16 @@
 """Catalogue tables as versions in shared storage.
 
-Each batch writes only the rows it touched, under its own version, and becomes visible by one small
-append to the manifest. A batch that is lost half-way leaves no trace, and one that is run again
-overwrites its own files. ``compact`` folds the versions of a table into one.
+Each batch writes only the rows it touched, under its own version, and becomes visible by one small append to the
+manifest. A batch is known by its source and its number there; the store itself counts versions. A batch that is lost
+half-way leaves no trace, and one that is run again changes nothing. ``compact`` folds versions and removes what a
+former fold replaced.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import uuid
+from collections.abc import Sequence
+from dataclasses import astuple, dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +19,7 @@ from pyspark.sql import types as T
 
 from tariffmill import schemas as S
 
-MANIFEST_SCHEMA = "version bigint, table string, kind string, path string"
+MANIFEST_SCHEMA = "version bigint, table string, kind string, path string, source string, batch bigint, fold bigint"
 TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
     "sections": (S.SECTIONS_SCHEMA, ("section_code",)),
     "chapters": (S.CHAPTERS_SCHEMA, ("section_id", "chapter_code")),
@@ -28,82 +31,172 @@ QUARANTINE_SCHEMA = T.StructType([
     T.StructField("hs10", S.STR), T.StructField("failure", S.STR), T.StructField("raw", S.STR),
 ])
 LOGS = {"audit_logs": S.AUDIT_SCHEMA, "quarantine": QUARANTINE_SCHEMA}
+#: Products lie in one directory per chapter, the first two digits of a checked code: 100 at most.
+PART = "part"
+PART_OF = {"hs_products": "hs10"}
+#: So many folds of batches make the next fold one of the whole table.
+FOLDS = 10
+
+
+@dataclass(frozen=True)
+class Entry:
+    """A file set of a table: a batch's rows (delta), folded batches (fold), a whole table (base), or one that a fold has
+    replaced and that the next one removes (old). ``batch`` entries only say that a source's batch was loaded."""
+
+    version: int
+    table: str
+    kind: str
+    path: str
+    source: str
+    batch: int
+    fold: int
 
 
 class CatalogueStore:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
-        self._entries: list[tuple[int, str, str, str]] | None = None
+        self._entries: list[Entry] | None = None
 
     @property
     def _manifest(self) -> str:
         return f"{self.root}/manifest"
 
-    def entries(self) -> list[tuple[int, str, str, str]]:
-        """Committed (version, table, kind, path), oldest first: a few rows per batch, no data.
-
-        Read once and kept until the next commit of this object; another writer is seen by a new object.
-        """
+    def entries(self) -> list[Entry]:
+        """Committed entries, oldest first. Read once and kept until the next commit of this object; another
+        writer is seen by a new object. Folding keeps the manifest to a bounded number of rows per table and
+        source."""
         if self._entries is None:
             self._entries = self._read_manifest()
         return self._entries
 
-    def _read_manifest(self) -> list[tuple[int, str, str, str]]:
+    def _read_manifest(self) -> list[Entry]:
         try:
-            manifest = self.spark.read.schema(MANIFEST_SCHEMA).parquet(self._manifest)
+            manifest = self.spark.read.schema(MANIFEST_SCHEMA).parquet(f"{self._manifest}/*")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return []
-        return sorted(tuple(row) for row in manifest.collect())
-
-    def has(self, version: int) -> bool:
-        return any(v == version and kind != "base" for v, _, kind, _ in self.entries())
-
-    def path(self, table: str, version: int, kind: str = "delta") -> str:
-        return f"{self.root}/{table}/{kind}-{version:012d}"
-
-    def write(self, table: str, df: DataFrame, version: int, kind: str = "delta") -> str:
+        found = [Entry(*row) for row in manifest.collect()]
+        # a fold's snapshot stands for all that was committed before it
+        last = max((e.fold for e in found if e.fold >= 0), default=-1)
+        live = [e for e in found if e.fold == last or (e.fold < 0 and e.version > last)] if last >= 0 else found
+        return sorted(live, key=astuple)
+
+    def last_version(self) -> int:
+        return max((e.version for e in self.entries()), default=-1)
+
+    def has(self, source: str, batch: int) -> bool:
+        """True if this batch of this source is loaded. A source's batches come one after the other, from any first
+        number on; one before the first, or beyond the next, raises, so that none is ever left out unseen."""
+        known = [e.batch for e in self.entries() if e.kind == "batch" and e.source == source]
+        if not known or batch == max(known) + 1:
+            return False
+        if min(known) <= batch <= max(known):
+            return True
+        raise ValueError(f"batch {batch} of {source} does not follow batches {min(known)} to {max(known)}")
+
+    def fresh_path(self, table: str, version: int, kind: str = "delta") -> str:
+        """A path that no other writer uses, so a lost or parallel run never touches committed files."""
+        return f"{self.root}/{table}/entry={kind}-{version:012d}-{uuid.uuid4().hex[:12]}"
+
+    def write(self, table: str, df: DataFrame, version: int, kind: str = "delta") -> Entry:
         """Write the rows of one version; not visible to readers before ``commit``."""
-        path = self.path(table, version, kind)
-        df.withColumn("_version", F.lit(version).cast("bigint")).write.mode("overwrite").parquet(path)
-        return path
-
-    def commit(self, version: int, tables: Iterable[str], kind: str = "delta") -> None:
-        """Make the written tables of a version visible, all at once."""
-        rows = [(version, table, kind, self.path(table, version, kind)) for table in tables]
-        self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(self._manifest)
+        path = self.fresh_path(table, version, kind)
+        if kind == "delta":
+            df = df.withColumn("_version", F.lit(version).cast("bigint"))
+        if table in PART_OF:
+            df.withColumn(PART, F.substring(PART_OF[table], 1, 2)).write.partitionBy(PART).parquet(path)
+        else:
+            df.write.parquet(path)
+        return Entry(version, table, kind, path, "", -1, -1)
+
+    def commit(self, version: int, written: Sequence[Entry], source: str, batch: int) -> None:
+        """Make the written tables of a batch visible, all at once. Raises if another writer took the version."""
+        self._entries = None
+        if version != self.last_version() + 1:
+            raise RuntimeError(f"version {version} was taken by another writer; run the batch again")
+        self._append(version, [*written, Entry(version, "", "batch", "", source, batch, -1)])
+
+    def _append(self, version: int, rows: Sequence[Entry], kind: str = "commit") -> None:
+        path = f"{self._manifest}/{kind}-{version:012d}"
+        # a second writer of the same version fails here
+        self.spark.createDataFrame([astuple(r) for r in rows], MANIFEST_SCHEMA).coalesce(1).write.mode("error").parquet(path)
         self._entries = None
 
-    def _live_paths(self, table: str) -> list[str]:
-        mine = [e for e in self.entries() if e[1] == table]
-        bases = [e for e in mine if e[2] == "base"]
-        if not bases:
-            return [path for *_, path in mine]
-        base = bases[-1]
-        return [base[3]] + [path for version, _, kind, path in mine if kind == "delta" and version > base[0]]
+    def _live(self, table: str) -> list[Entry]:
+        return [e for e in self.entries() if e.table == table and e.kind in ("delta", "fold", "base")]
 
-    def read(self, table: str, columns: Sequence[str] | None = None) -> DataFrame:
+    def read(
+        self, table: str, columns: Sequence[str] | None = None, parts: Sequence[str] | None = None, only: DataFrame | None = None
+    ) -> DataFrame:
         """Current rows of a table: the newest version of each key.
 
-        ``columns`` are cut before versions are compared, so only they are read and shuffled.
+        Versions are compared on the keys alone; ``parts`` (of a table in parts) limits the directories that are read, and
+        ``only`` the keys that are compared.
         """
-        schema, keys = TABLES[table] if table in TABLES else (LOGS[table], ())
-        paths = self._live_paths(table)
-        columns = list(columns or schema.fieldNames())
-        if not paths:
-            return self.spark.createDataFrame([], schema).select(*columns)
+        columns = list(columns or self._schema(table).fieldNames())
+        return self._newest(table, [e.path for e in self._live(table)], parts, only).select(*columns)
+
+    def _schema(self, table: str) -> T.StructType:
+        return TABLES[table][0] if table in TABLES else LOGS[table]
+
+    def _newest(self, table: str, paths: list[str], parts=None, only: DataFrame | None = None) -> DataFrame:
+        schema, keys = self._schema(table), TABLES[table][1] if table in TABLES else ()
         stored = T.StructType([*schema.fields, T.StructField("_version", T.LongType())])
-        rows = self.spark.read.schema(stored).parquet(*paths)
+        if not paths:
+            return self.spark.createDataFrame([], stored)
+        if table in PART_OF:
+            stored = T.StructType([*stored.fields, T.StructField(PART, T.StringType())])
+        rows = self.spark.read.schema(stored).option("basePath", f"{self.root}/{table}").parquet(*paths).drop("entry")
+        if parts is not None and table in PART_OF:
+            rows = rows.where(F.col(PART).isin(list(parts)))
+        if only is not None:
+            rows = rows.join(only, list(keys), "left_semi")
         if not keys or len(paths) == 1:
-            return rows.select(*columns)
-        newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*columns), "_version").alias("_row"))
-        return newest.select("_row.*")
-
-    def compact(self, table: str) -> None:
-        """Fold all committed versions of a table into one base version. Old files stay in place."""
-        versions = [v for v, t, *_ in self.entries() if t == table]
-        if versions:
-            self.write(table, self.read(table), max(versions), kind="base")
-            self.commit(max(versions), [table], kind="base")
+            return rows
+        newest = rows.groupBy(*keys).agg(F.max("_version").alias("_version"))
+        return rows.join(newest, [*keys, "_version"], "left_semi")
+
+    def compact(self) -> None:
+        """Fold what was written since the last fold into one file set per table, and every ``FOLDS`` folds the whole
+        table. Files that the fold before this one replaced are removed, so a reader has the time between two folds.
+        The manifest becomes one snapshot."""
+        version = self.last_version()
+        kept: list[Entry] = []
+        removed = [e.path for e in self.entries() if e.kind == "old"]
+        for table in [*TABLES, *LOGS]:
+            live = self._live(table)
+            folds = [e for e in live if e.kind == "fold"]
+            whole = len(folds) >= FOLDS or not any(e.kind == "base" for e in live)
+            chosen = live if whole else [e for e in live if e.kind == "delta"]
+            if len(chosen) > 1:
+                made = self._newest(table, [e.path for e in chosen]).drop(PART)
+                kept.append(self.write(table, made, version, "base" if whole else "fold"))
+                kept += [Entry(e.version, table, "old", e.path, "", -1, -1) for e in chosen]
+                kept += [e for e in live if e not in chosen]
+            else:
+                kept += live
+        batches: dict[str, list[Entry]] = {}
+        for e in self.entries():
+            if e.kind == "batch":
+                batches.setdefault(e.source, []).append(e)
+        # the first and the last batch of a source say which are loaded
+        ends = {edge(own, key=lambda e: e.batch) for own in batches.values() for edge in (min, max)}
+        snapshot = [Entry(e.version, e.table, e.kind, e.path, e.source, e.batch, version) for e in [*kept, *ends]]
+        old_manifests = self._list(self._manifest)
+        self._append(version, snapshot, f"fold-{uuid.uuid4().hex[:8]}")
+        for path in [*removed, *old_manifests]:
+            self.remove(path)
+
+    def _list(self, path: str) -> list[str]:
+        where, fs = self._hadoop(path)
+        return [s.getPath().toString() for s in fs.listStatus(where)] if fs.exists(where) else []
+
+    def remove(self, path: str) -> None:
+        where, fs = self._hadoop(path)
+        fs.delete(where, True)
+
+    def _hadoop(self, path: str):
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return where, where.getFileSystem(self.spark._jsc.hadoopConfiguration())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -11,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tariffmill.patterns import DEFAULT_RULES, Rules
 from tariffmill.plans.sync import sync_batch
 from tariffmill.schemas import RAW_SCHEMA
-from tariffmill.sources.store import TABLES, CatalogueStore
+from tariffmill.sources.store import CatalogueStore
 
 
 def utc_now() -> datetime:
@@ -23,6 +24,11 @@ def read_landing(spark: SparkSession, landing: str, max_files: int = 100) -> Dat
     return spark.readStream.schema(RAW_SCHEMA).option("maxFilesPerTrigger", max_files).json(landing)
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gave the stream when its checkpoint was made; it stays over restarts."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+
+
 def stream_ingest(
     raw: DataFrame,
     root: str,
@@ -33,17 +39,19 @@ def stream_ingest(
 ) -> StreamingQuery:
     """Merge a stream of raw records into the store under ``root``; ends when all landed files are done.
 
-    The batch id is the version in the store. After a crash the stream runs its last batch again, which
-    then finds its version committed or overwrites its own uncommitted files. After every
-    ``compact_every`` batches the versions of each table are folded into one.
+    A batch is known by the stream's id, which its checkpoint holds, and its number there. After a crash the stream
+    runs its last batch again, which then is found loaded or is loaded anew; another landing folder, or a new
+    checkpoint, is another source and adds to the store. After every ``compact_every`` batches the store is folded.
     """
+    stores: list[CatalogueStore] = []
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        store = CatalogueStore(batch.sparkSession, root)
-        sync_batch(batch, store, batch_id, clock(), rules)
-        if (batch_id + 1) % compact_every == 0:
-            for table in TABLES:
-                store.compact(table)
+        if not stores:
+            stores.append(CatalogueStore(batch.sparkSession, root))
+        store = stores[0]
+        if sync_batch(batch, store, stream_id(batch.sparkSession, checkpoint), batch_id, clock(), rules):
+            if (store.last_version() + 1) % compact_every == 0:
+                store.compact()
 
     return (
         raw.writeStream.foreachBatch(load)

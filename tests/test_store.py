@@ -68,7 +68,7 @@ def test_sync(spark, tmp_path):
         record("020110", sec="01 - A"),  # short code
         record("0301110000", sec=None, chap=None),  # no section anywhere
     )
-    sync_batch(first, store, 0, T1)
+    sync_batch(first, store, "tests", 0, T1)
     got = natural(store)
     assert got["sections"] == [("01", "Animaux")]
     assert got["chapters"] == [("01", "Vivants")]  # first wins
@@ -87,7 +87,7 @@ def test_sync(spark, tmp_path):
         record("0101290000", at="2026-02-01", rate="10 %"),  # new hash
         record("0201100000", at="2026-02-01", chap="02 - Viandes"),  # new key
     )
-    sync_batch(second, store, 1, T2)
+    sync_batch(second, store, "tests", 1, T2)
     got = natural(store)
     assert got["chapters"] == [("01", "Vivants"), ("02", "Viandes")]
     assert ("0101", "Chevaux", True) in got["hs4_nodes"] or ("0101", "Equides", True) in got["hs4_nodes"]
@@ -101,37 +101,36 @@ def test_sync(spark, tmp_path):
     assert parents == set(ids["hs6_nodes"])
 
     before = natural(store)
-    sync_batch(raw(spark, record("0909090909")), store, 1, T3)  # a committed version does nothing
+    sync_batch(raw(spark, record("0909090909")), store, "tests", 1, T3)  # a committed version does nothing
     assert natural(CatalogueStore(spark, store.root)) == before
-    sync_batch(second, store, 2, T3)  # the same records again change no hash and no time
+    sync_batch(second, store, "tests", 2, T3)  # the same records again change no hash and no time
     assert natural(store) == before
-    for table in TABLES:
-        store.compact(table)
+    store.compact()
     assert natural(CatalogueStore(spark, store.root)) == before
 
 
 def test_lost_batch_leaves_no_trace(spark, tmp_path, monkeypatch):
     store = CatalogueStore(spark, str(tmp_path / "cat"))
-    sync_batch(raw(spark, record("0101210000")), store, 0, T1)
+    sync_batch(raw(spark, record("0101210000")), store, "tests", 0, T1)
     before = natural(store)
     batch = raw(spark, record("0101210000", rate="9 %"), record("0201100000", chap="02 - V"))
     with monkeypatch.context() as patch:
         patch.setattr(CatalogueStore, "commit", lambda *_: (_ for _ in ()).throw(OSError("lost")))
         with pytest.raises(OSError, match="lost"):
-            sync_batch(batch, store, 1, T2)
+            sync_batch(batch, store, "tests", 1, T2)
     assert natural(CatalogueStore(spark, store.root)) == before
-    sync_batch(batch, store, 1, T2)
+    sync_batch(batch, store, "tests", 1, T2)
     again = natural(store)["hs_products"]
     assert [(r[0], r[3]) for r in again] == [("0101210000", T2), ("0201100000", T2)]
 
 
 def test_same_key_twice_in_a_batch(spark, tmp_path):
     store = CatalogueStore(spark, str(tmp_path / "cat"))
-    sync_batch(raw(spark, record("0101210000")), store, 0, T1)
+    sync_batch(raw(spark, record("0101210000")), store, "tests", 0, T1)
     there_and_back = raw(
         spark, record("0101210000", at="2026-02-01", rate="9 %"), record("0101210000", at="2026-02-02")
     )
-    sync_batch(there_and_back, store, 1, T2)
+    sync_batch(there_and_back, store, "tests", 1, T2)
     rows = store.read("hs_products").collect()
     assert len(rows) == 1 and rows[0]["updated_at"] == T2  # the hash moved in between
     assert rows[0]["taxation"]["taxes"][0]["raw"] == "2,5 %"
@@ -156,5 +155,5 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
     write(landing, *parts[2])
     run()
     batch = CatalogueStore(spark, str(tmp_path / "batch"))
-    sync_batch(src_raw_json(spark, str(landing), multi_line=False), batch, 0, T1)
+    sync_batch(src_raw_json(spark, str(landing), multi_line=False), batch, "tests", 0, T1)
     assert natural(CatalogueStore(spark, root)) == natural(batch)

@@ -21,6 +21,7 @@ STEM = range(4, 9)
 QUOTES = "\"'“”„«»‹›‘’`"
 OPENERS, CLOSERS = set("“„«‹‘"), set("”»›’")
 WINDOW = 6
+EDIT_LOSS = 0.85
 FEATURES = ["strongest", "direct", "quoted", "rate", "window", "cues"]
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _INNER = re.compile(r"[^\W_]+")
@@ -144,7 +145,7 @@ class Scorer:
         self.known: dict[str, float] = {}
 
     def strength(self, token: str) -> float:
-        """How strongly a token points to abuse: its best term's weight, a third less per edit; 0 if none."""
+        """How strongly a token points to abuse: its best term's weight, less for each edit; 0 if none."""
         got = self.known.get(token)
         if got is None:
             if len(self.known) >= self.limit:
@@ -161,7 +162,7 @@ class Scorer:
         for w in candidates:
             if w and w not in self.model.harmless:
                 for term, edits in self.matcher.match(w):
-                    best = max(best, self.model.terms[term] * (2 / 3) ** edits)
+                    best = max(best, self.model.terms[term] * EDIT_LOSS**edits)
         return best
 
     def hits(self, text: str | None) -> tuple[list[str], list[tuple[int, float]]]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,25 +20,34 @@ _MARKUP = (
     rf"|{_TAG}"
 )
 _ANCHOR = r"(?is)<a(?:\s[^>]*)?>(.*?)</a\s*>"
-_CUT = "\x01"
+_CUT, _END, _LOOSE = "\x01", "\x02", "\x03"
 
-# Named entities from the standard table; numbers 128-159 mean Windows-1252 there.
-_ENTITIES = {name: chr(point) for name, point in name2codepoint.items()} | {"apos": "'"}
-_WINDOWS_1252 = {f"#{i}": bytes([i]).decode("cp1252", errors="ignore") for i in range(128, 160)}
-# Map look-ups scan, so the usual ones come first.
+# Named references from the standard table; numbers 128-159 mean Windows-1252 there.
+_ENTITIES = {name.rstrip(";"): text for name, text in sorted(html5.items())}
+_WINDOWS_1252 = {i: bytes([i]).decode("cp1252", errors="ignore") for i in range(128, 160)}
+# Map look-ups scan, so the usual ones are asked first.
 _USUAL = ["amp", "nbsp", "quot", "eacute", "egrave", "agrave", "lt", "gt", "apos", "copy", "middot"]
-_ENTITY_MAP = {k: _ENTITIES[k] for k in _USUAL} | {k: v for k, v in (_ENTITIES | _WINDOWS_1252).items() if v}
-_ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);?"
+_USUAL_MAP = {name: _ENTITIES[name] for name in _USUAL}
+_ENTITY = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);?"
+_REPLACEMENT = "\ufffd"
 
 
 def _entity_char(name: Column) -> Column:
-    named = F.try_element_at(fixed_map(_ENTITY_MAP), name)
-    decimal = F.hex(F.regexp_extract(name, "^#([0-9]+)$", 1).try_cast("bigint"))
-    hexadecimal = F.upper(F.regexp_extract(name, "^#[xX]([0-9a-fA-F]+)$", 1))
-    digits = F.coalesce(decimal, blank_to_null(hexadecimal))
-    point = F.lpad(digits, 8, "0")
-    valid = (F.length(digits) <= 6) & (point <= "0010FFFF") & ~point.between("0000D800", "0000DFFF")
-    return F.coalesce(named, F.when(valid, F.decode(F.unhex(point), "UTF-32")))
+    """The text of a reference; a number that is no character gives the replacement character, an unknown name NULL."""
+    numbered = F.regexp_replace(name, "^#[xX]?0*", "")
+    base = F.when(F.rlike(name, F.lit("^#[xX]")), 16).otherwise(10)
+    # longer numbers, leading zeros aside, are beyond all characters
+    point = F.when(F.length(numbered) <= 7, F.conv(F.concat(F.lit("0"), numbered), 16, 10).cast("int"))
+    point = F.when(base == 16, point).otherwise(F.when(F.length(numbered) <= 7, F.concat(F.lit("0"), numbered).try_cast("int")))
+    char = let(
+        point,
+        lambda n: F.when((n > 0) & (n <= 0x10FFFF) & ~n.between(0xD800, 0xDFFF), F.coalesce(
+            blank_to_null(F.try_element_at(fixed_map({str(i): c for i, c in _WINDOWS_1252.items()}), n.cast("string"))),
+            F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"),
+        )).otherwise(_REPLACEMENT),
+    )
+    named = F.coalesce(F.try_element_at(fixed_map(_USUAL_MAP), name), F.try_element_at(fixed_map(_ENTITIES), name))
+    return F.when(F.startswith(name, F.lit("#")), char).otherwise(named)
 
 
 def decode_entities(text: Column) -> Column:
@@ -56,9 +65,24 @@ def decode_entities(text: Column) -> Column:
     return let(text, whole)
 
 
+def _without_markup(html: Column) -> Column:
+    """Markup replaced by cuts. No tag ends behind the last ``>``, so tags are sought up to there only, which keeps
+    the scan linear; the rest is text unless a comment, script or style that was never closed reaches into it."""
+
+    def cut(page: Column) -> Column:
+        end = F.length(page) - F.locate(">", F.reverse(page)) + 1
+        head = F.when(F.contains(page, F.lit(">")), F.substring(page, 1, end)).otherwise("")
+        tail = F.when(F.contains(page, F.lit(">")), F.substring(page, end + 1, F.length(page))).otherwise(page)
+        text = F.regexp_replace(tail, "(?s)<!--.*", _CUT)
+        marked = F.regexp_replace(F.concat(head, F.lit(_END)), _MARKUP, _CUT)
+        return F.replace(marked, F.lit(_END), text)
+
+    return let(html, cut)
+
+
 def html_to_text(html: Column) -> Column:
     """Visible text nodes, stripped, blank ones dropped, one per line; empty or NULL gives ''."""
-    nodes = F.split(F.regexp_replace(html, _MARKUP, _CUT), _CUT)
+    nodes = F.split(_without_markup(html), _CUT)
     kept = F.filter(F.transform(nodes, lambda n: strip(decode_entities(n))), lambda n: n != "")
     return F.coalesce(F.array_join(kept, "\n"), F.lit(""))
 
@@ -101,19 +125,32 @@ def last_wins_map(entries: Column) -> Column:
     return let(entries, build)
 
 
+def _notes_that_close(text: Column) -> Column:
+    """Brackets behind the last closing one open no note; they are set apart, so that no scan for their end starts."""
+    end = F.length(text) - F.locate(")", F.reverse(text)) + 1
+    closed = F.contains(text, F.lit(")"))
+    head = F.when(closed, F.substring(text, 1, end)).otherwise("")
+    tail = F.when(closed, F.substring(text, end + 1, F.length(text))).otherwise(text)
+    return F.concat(head, F.translate(tail, "(", _LOOSE))
+
+
 def extract_key_values(text: Column) -> Column:
     """Every ``key (note) : value``; keys may span lines, long values are dropped, later keys win."""
     pattern = F.lit(f"(?U){P.KEY_VALUE_PATTERN}")
 
+    def as_was(part: Column) -> Column:
+        return F.translate(part, _LOOSE, "(")
+
     def pairs(usable: Column) -> Column:
         return F.zip_with(
             F.regexp_extract_all(usable, pattern, F.lit(1)),
             F.regexp_extract_all(usable, pattern, F.lit(2)),
-            lambda k, v: F.struct(strip(k).alias("key"), strip(v).alias("value")),
+            lambda k, v: F.struct(strip(as_was(k)).alias("key"), strip(as_was(v)).alias("value")),
         )
 
     # Cutting behind the last usable colon keeps the search linear: no start position fails.
     usable = F.regexp_extract(text, r"(?sU)^(.*:\s*[^\n]+)", 1)
+    usable = let(usable, _notes_that_close)
     kept = F.filter(
         let(usable, pairs),
         lambda e: (e["key"] != "") & (e["value"] != "") & (F.length(e["value"]) < P.KEY_VALUE_MAX_LENGTH),
@@ -126,7 +163,7 @@ def section_type(name: Column, content: Column, keywords: dict[str, list[str]] |
     keywords = keywords or P.SECTION_TYPE_KEYWORDS
 
     def score(clean: Column, words: list[str]) -> Column:
-        return sum((F.rlike(clean, F.lit(w)).cast("int") for w in words), F.lit(0))
+        return sum((F.rlike(clean, F.lit(f"(?U){w}")).cast("int") for w in words), F.lit(0))
 
     def by_score(clean: Column) -> Column:
         scores = F.array(*[score(clean, words) for words in keywords.values()])
@@ -148,8 +185,10 @@ def section_type(name: Column, content: Column, keywords: dict[str, list[str]] |
 
 def nav_links(html: Column, skip_words: list[str] | None = None) -> Column:
     """Anchor texts of a page in first-seen order, without repeats, blanks and skip words."""
+    # an anchor needs an end tag, so nothing behind the last one is looked at
+    usable = F.regexp_extract(html, r"(?is)^(.*</a\s*>)", 1)
     texts = F.transform(
-        F.regexp_extract_all(html, F.lit(_ANCHOR), F.lit(1)),
+        F.regexp_extract_all(usable, F.lit(_ANCHOR), F.lit(1)),
         lambda a: collapse_whitespace(decode_entities(F.regexp_replace(a, _MARKUP, ""))),
     )
     skip = skip_words or P.NAV_SKIP_WORDS

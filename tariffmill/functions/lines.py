@@ -39,13 +39,14 @@ _LINE_END = (
 )
 
 # Patterns on joined lines: ^ and $ are line ends, and only \n breaks lines.
-_LINES = "(?dm)"
+_LINES = "(?dmU)"
 _DATE_START = r"^\d{2}/\d{2}/\d{4}"
 _DATE_ANYWHERE = r"\d{2}/\d{2}/\d{4}"
 _NUMERIC_LINE = r"^\d+[\d\.]*$"
 _CODE_LINE = P.DOCUMENT_CODE.removeprefix("^")
 _DOCUMENT = rf"{_LINES}^{_CODE_LINE}(?:\n(?!{_CODE_LINE}).+$){{0,2}}"
-_RATE_LINE = r"(?:[\d.,]+(?:[^\S\n]*%)?|\(\*\))$"
+# the fixed rate pattern on one of many lines, where white space must not run on to the next
+_RATE_LINE = r"(?:" + P.AGREEMENT_RATE.removeprefix("^").removesuffix("$").replace(r"\s", r"[^\S\n]") + r"|\(\*\))$"
 _REGIME_WORD = f"(?i:{'|'.join(P.AGREEMENT_REGIME_WORDS)})"
 _AGREEMENT = (
     rf"{_LINES}^(?!{_RATE_LINE})(?!.*{_REGIME_WORD}).+$(?:\n(?:{_RATE_LINE}|(?=.*{_REGIME_WORD}).+$))*+"
@@ -105,7 +106,7 @@ def parse_documents(text: Column, rules: Rules = DEFAULT_RULES) -> Column:
 
 
 def is_rate(line: Column) -> Column:
-    return F.rlike(line, F.lit(P.AGREEMENT_RATE)) | (line == "(*)") | (line == "0")
+    return F.rlike(line, F.lit(f"(?U){P.AGREEMENT_RATE}")) | (line == "(*)") | (line == "0")
 
 
 def is_regime(line: Column) -> Column:
@@ -117,18 +118,6 @@ def classify_agreement_line(line: Column) -> Column:
     return F.when(is_rate(line), "rate").when(is_regime(line), "regime").otherwise("country")
 
 
-def agreement_noise(line: Column, rules: Rules = DEFAULT_RULES) -> Column:
-    """True for headers, dates, footnotes and scraps of the agreements section."""
-    short = (F.length(line) < 3) & ~is_rate(line) & ~line.isin(*P.AGREEMENT_SHORT_NAMES)
-    return either([
-        line.isin(*P.AGREEMENT_NOISE_LINES, *rules.boilerplate),
-        contains_any(line, P.AGREEMENT_NOISE_PARTS),
-        short,
-        F.rlike(line, F.lit(_DATE_ANYWHERE)),
-        F.startswith(line, F.lit("(*)")),
-    ])
-
-
 def agreement_lines(text: Column, rules: Rules = DEFAULT_RULES) -> Column:
     """Joined lines of the agreements section without its noise."""
     exact = _words([*P.AGREEMENT_NOISE_LINES, *rules.boilerplate])

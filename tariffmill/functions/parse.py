@@ -42,7 +42,7 @@ def code_and_label(
 
     def labelled(code: Column) -> Column:
         # The label pattern holds the row's own code.
-        pattern = F.concat(F.lit("(?is)"), F.replace(F.lit(label_pattern), F.lit("{code}"), code))
+        pattern = F.concat(F.lit("(?isU)"), F.replace(F.lit(label_pattern), F.lit("{code}"), code))
         found = F.when(F.regexp_like(text, pattern), strip(_extract(text, pattern, 1)))
         return pair(_or_missing(code), _or_missing(found))
 

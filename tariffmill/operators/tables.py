@@ -88,7 +88,8 @@ def _read_table(rows: list[list[tuple[str, list[str]]]]) -> tuple[list[str], lis
         # a lone 0 % counts as an empty cell
         if any(text if number is None else number for _, text, number in cells):
             texts.append({h: text for h, text, _ in cells})
-            numbers.append({h: number for h, _, number in cells if number is not None})
+            # of a repeated header the last cell counts, for its number as for its text
+            numbers.append({h: n for h, n in {h: number for h, _, number in cells}.items() if n is not None})
     return ([h for h in headers if h], texts, numbers) if texts else None
 
 

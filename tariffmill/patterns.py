@@ -100,21 +100,21 @@ class Rules:
     document_keys: tuple[str, ...] = ("DOCUMENTS EXIGES", "Document(s) exigible(s)")
     # ordered (pattern, replacement) pairs for labels
     label_rules: tuple[tuple[str, str], ...] = (
-        (r"^[\s\-–]+", ""),
-        (r"[\s:;]+$", ""),
+        (r"(?U)^[\s\-–]+", ""),
+        (r"(?U)[\s:;]+$", ""),
     )
-    section_code: str = r"(?i)\bSECTION\s*:?\s*(\d{2})\b"
+    section_code: str = r"(?iU)\bSECTION\s*:?\s*(\d{2})\b"
     section_label: str = r"\bSECTION\s*:?\s*{code}\s*-\s*([^\n]*)"
-    chapter_code: str = r"(?i)\bCHAPITRE\s*:?\s*(\d{2})\b"
+    chapter_code: str = r"(?iU)\bCHAPITRE\s*:?\s*(\d{2})\b"
     chapter_label: str = r"\bCHAPITRE\s*:?\s*{code}\s*-\s*([^\n]*)"
-    fallback_split: str = r"^(\d{1,2})\s*-\s*(.+)$"
+    fallback_split: str = r"(?U)^(\d{1,2})\s*-\s*(.+)$"
     # label starts after the previous item, a stop sign or a digit, so scanning stays linear
     tax_main: str = (
-        r"(?:\G|^|(?<=[():%0-9]))\s*(\**\p{L}[^():%]*?)\s*\(\s*([^():%]+?)\s*\)\s*:\s*"
+        r"(?U)(?:\G|^|(?<=[():%0-9]))\s*(\**\p{L}[^():%]*?)\s*\(\s*([^():%]+?)\s*\)\s*:\s*"
         r"(\d+(?:[.,]\d+)?(?:\s*%)?)"
     )
-    tax_code_from_key: str = r"\(\s*([^)]+?)\s*\)"
-    tax_key_clean: str = r"^\s*-+\s*"
+    tax_code_from_key: str = r"(?U)\(\s*([^)]+?)\s*\)"
+    tax_key_clean: str = r"(?U)^\s*-+\s*"
 
 
 DEFAULT_RULES = Rules()

@@ -48,8 +48,10 @@ def records_from_pages(pages: DataFrame) -> DataFrame:
         content.alias("content"),
     )
     main = F.col("kind") == MAIN_PAGE
+    # a page that was fetched beats one that was not; then the later order, a missing one being the first; ties by text
+    newest = F.struct("has_page", F.coalesce(F.col("order").cast("long"), F.lit(-1 << 40)), F.xxhash64("content.raw_text"))
     by_section = typed.groupBy(*visit, "kind", "section_name").agg(
-        F.max_by(F.struct("section_type", "content", "order", "has_page"), F.col("order")).alias("page"),
+        F.max_by(F.struct("section_type", "content", "order", "has_page"), newest).alias("page"),
         F.max("error").alias("error"),
     )
     section = F.struct(
@@ -57,7 +59,8 @@ def records_from_pages(pages: DataFrame) -> DataFrame:
     )
     by_visit = by_section.groupBy(*visit).agg(
         F.collect_list(F.when(~main & F.col("page.has_page"), section)).alias("sections"),
-        F.max(F.when(main & F.col("page.has_page"), F.col("page.content.raw_text"))).alias("main_text"),
+        # one row of a visit at most
+        F.first(F.when(main & F.col("page.has_page"), F.col("page.content")), ignorenulls=True).alias("main_content"),
         F.max("error").alias("error"),
     )
     sections = order_sections(F.col("sections")).cast(RAW_SCHEMA["sections"].dataType)
@@ -65,9 +68,9 @@ def records_from_pages(pages: DataFrame) -> DataFrame:
     return by_visit.select(
         "hs_code",
         "scraped_at",
-        H.scrape_status(F.col("error"), F.col("main_text")).alias("scrape_status"),
+        H.scrape_status(F.col("error"), F.col("main_content.raw_text")).alias("scrape_status"),
         F.lit(None).cast("string").alias("url"),
-        F.when(~failed & F.col("main_text").isNotNull(), H.content_of_text(F.col("main_text"))).alias("main_content"),
+        F.when(~failed, F.col("main_content")).alias("main_content"),
         F.when(failed, F.array().cast(RAW_SCHEMA["sections"].dataType)).otherwise(sections).alias("sections"),
         F.lit(None).cast("string").alias("summary"),
         "error",

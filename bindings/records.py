@@ -148,7 +148,7 @@ def parse_taxes(spark, d):
 @query("parse_taxes_kv", f"{_FACTS} SELECT hs10, pos, code, label, raw FROM ({R.SQL_TAXES_KV})")
 def parse_taxes_kv(spark, d):
     found = parse.parse_taxes_kv(R.tax_pairs())
-    return _part(spark, d).where("by_key").select("hs10", F.posexplode(found).alias("pos", "t")).select(
+    return _part(spark, d).select("hs10", F.posexplode(found).alias("pos", "t")).select(
         "hs10", "pos", "t.code", "t.label", "t.raw"
     )
 
@@ -308,6 +308,22 @@ def flatten_history(spark, d):
     return flatten.flatten_history(_tables(spark, d))
 
 
+@query("undated_history", f"{_FACTS} SELECT hs10, 1 AS pos, 'Taux: ' AS raw FROM facts WHERE p_partkey % 5 = 0")
+def undated_history(spark, d):
+    return flatten.undated_history(_tables(spark, d))
+
+
+@query("build_rag_chunks", f"""{_FACTS}, chunks AS (
+    SELECT hs10, 0 AS chunk_index, 'designation' AS topic, p_name AS chunk_text FROM facts
+    UNION ALL SELECT hs10, 1, 'taxation', p_type FROM facts UNION ALL SELECT hs10, 2, 'documents', p_brand FROM facts)
+  SELECT hs10, chunk_index, topic, chunk_text, sha256(chunk_text) AS chunk_hash FROM chunks
+  QUALIFY row_number() OVER (PARTITION BY sha256(chunk_text) ORDER BY hs10, chunk_index) = 1""")
+def build_rag_chunks(spark, d):
+    blank = F.concat(F.lit("  "), F.lit(" "))
+    topics = {"designation": F.col("p_name"), "texts": blank, "taxation": F.col("p_type"), "documents": F.col("p_brand")}
+    return flatten.build_rag_chunks(R.part_facts(spread_table(spark, d, "part")), topics)
+
+
 @query("json_containment", f"{_FACTS} SELECT hs10 FROM facts WHERE NOT by_key AND p_type = 'ECONOMY'")
 def json_containment(spark, d):
     return flatten.containing_item(_tables(spark, d), "taxation.taxes", {"code": "DI", "label": "ECONOMY"}).select("hs10")
@@ -364,6 +380,6 @@ def sink_csv_export(spark, d):
 
 
 @query("export_preview", f"""
-  SELECT {R.SQL_HS10} AS hs10, p_name || '; "cité"' AS designation, p_brand AS section_label FROM part ORDER BY hs10 DESC LIMIT 5""")
+  SELECT {R.SQL_HS10} AS hs10, p_name || '; "cité"' AS designation, p_brand AS section_label, (SELECT count(*) FROM part) AS total FROM part ORDER BY hs10 DESC LIMIT 5""")
 def export_preview(spark, d):
     return report.export_preview(_export(spark, d))

@@ -31,4 +31,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """A table for costly row-by-row work, on all cores even where its file has one row group."""
     df = table(spark, sf_dir, name)
-    return spread(df.select(*columns) if columns else df)
+    return spread(df.select(*columns) if columns else df, spark.sparkContext.defaultParallelism)

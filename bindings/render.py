@@ -129,8 +129,8 @@ SQL_TAXES = """
   UNION ALL SELECT p_partkey, hs10, 2, 'TVA', 'Taxe sur la valeur', '20' FROM facts WHERE NOT by_key
 """
 SQL_TAXES_KV = """
-  SELECT p_partkey, hs10, 0 AS pos, 'NA' AS code, p_type AS label, CAST(p_size AS VARCHAR) || ' %' AS raw FROM facts WHERE by_key
-  UNION ALL SELECT p_partkey, hs10, 1, 'TPI', 'Taxe ' || p_brand, '0,25 %' FROM facts WHERE by_key
+  SELECT p_partkey, hs10, 0 AS pos, 'NA' AS code, p_type AS label, CAST(p_size AS VARCHAR) || ' %' AS raw FROM facts
+  UNION ALL SELECT p_partkey, hs10, 1, 'TPI', 'Taxe ' || p_brand, '0,25 %' FROM facts
 """
 
 

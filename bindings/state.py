@@ -319,15 +319,26 @@ def parent_delete_policy(spark, d):
     )
 
 
-@query("error_isolation", """
-  SELECT event_id, CASE WHEN value < 1 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
-    CASE WHEN value < 1 THEN 'value too small' END AS message FROM events""")
+@query("error_isolation", f"""WITH facts AS ({SQL_PART_FACTS}),
+  codes AS (SELECT CASE WHEN p_partkey % 4 = 0 THEN left(hs10, 6) ELSE hs10 END AS hs10 FROM facts)
+  SELECT hs10, CASE WHEN length(hs10) < 10 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+    CASE WHEN length(hs10) < 10 THEN 'hs10 violates its format: ' || hs10 END AS message FROM codes""")
 def error_isolation(spark, d):
-    failure = F.when(F.col("value") < 1, "value too small")
-    good, bad = checks.split_good_bad(table(spark, d, "events"), failure)
-    loaded = good.select("event_id", F.lit(None).cast("string").alias("failure"))
-    audit = loaded.unionByName(bad.select("event_id", "failure"))
-    return audit.select("event_id", report.audit_status(F.col("failure")).alias("status"), F.col("failure").alias("message"))
+    """Products of which every fourth has a code that is too short: these are set aside, the others are loaded."""
+    short = F.when(F.col("p_partkey") % 4 == 0, F.substring("hs10", 1, 6)).otherwise(F.col("hs10"))
+    node = lambda n: F.struct(F.substring("hs10", 1, n).alias("code"))
+    products = part_facts(table(spark, d, "part")).select(
+        short.alias("hs_code"),
+        F.struct(
+            F.lit("01").alias("section_code"), F.lit("A").alias("section_label"), F.lit("01").alias("chapter_code"),
+            F.lit("B").alias("chapter_label"), node(4).alias("hs4"), node(6).alias("hs6"),
+        ).alias("hierarchy"),
+    )
+    good, bad = checks.split_good_bad(products, checks.product_failure())
+    audit = good.select("hs_code", F.lit(None).cast("string").alias("failure")).unionByName(bad.select("hs_code", "failure"))
+    return audit.select(
+        F.col("hs_code").alias("hs10"), report.audit_status(F.col("failure")).alias("status"), F.col("failure").alias("message")
+    )
 
 
 # --- Upserts --------------------------------------------------------------------------------------

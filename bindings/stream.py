@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from bindings import render as R
 from bindings.registry import query, table
+from tariffmill.plans.run import refresh
 from tariffmill.plans.sync import sync_batch
 from tariffmill.session import shared_dir
 from tariffmill.sources.readers import src_raw_json
+from tariffmill.sources.sinks import read_csv_export
 from tariffmill.sources.store import CatalogueStore
 from tariffmill.streaming.ingest import read_landing, stream_id, stream_ingest
 
@@ -84,3 +86,20 @@ def stream_equals_batch(spark, d):
     return both.groupBy(*columns).agg(
         F.max(F.col("side") == "stream").alias("in_stream"), F.max(F.col("side") == "batch").alias("in_batch")
     ).select("hs10", "in_stream", "in_batch")
+
+
+@query("run_pipeline", f"""{_FACTS}, listed AS (SELECT hs10, p_partkey % 10 = 1 OR by_key AS failed FROM facts)
+  SELECT 1 AS run, count(*) AS listed, 0 AS skipped, count(*) AS processed, count(*) FILTER (NOT failed) AS exported FROM listed
+  UNION ALL SELECT 2, count(*), count(*) FILTER (NOT failed), count(*) FILTER (failed), count(*) FILTER (NOT failed) FROM listed""")
+def run_pipeline(spark, d):
+    """Two runs of one day over the same landed pages: the second skips what the first has loaded, not
+    visits that failed or records whose text names no section."""
+    part = table(spark, d, "part")
+    pages, root, out = R.landed_pages(part), shared_dir(spark, "catalogue"), shared_dir(spark, "export")
+    codes = R.part_facts(part).select(F.col("hs10").alias("hs_code"), F.col("p_partkey").alias("input_pos"))
+    found = []
+    for run in (1, 2):
+        counts = refresh(codes, pages, CatalogueStore(spark, root), "runs", run, AS_OF, export_root=out)
+        exported = read_csv_export(spark, f"{out}/hs_products").count()
+        found.append(counts.select(F.lit(run).alias("run"), "*", F.lit(exported).cast("long").alias("exported")))
+    return found[0].unionByName(found[1])

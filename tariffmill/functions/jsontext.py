@@ -14,9 +14,13 @@ def json_text(value: Column) -> Column:
     return F.to_json(value, {"ignoreNullFields": "false"})
 
 
+def spaced(text: Column) -> Column:
+    """JSON text with a blank after each comma and colon outside strings."""
+    return F.regexp_replace(text, _SEPARATOR, "$1$2 ")
+
+
 def spaced_json_text(value: Column) -> Column:
-    """JSON with a blank after each comma and colon outside strings."""
-    return F.regexp_replace(json_text(value), _SEPARATOR, "$1$2 ")
+    return spaced(json_text(value))
 
 
 def escape_non_ascii(text: Column) -> Column:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tariffmill.functions.text import collapse_whitespace
+
 
 def _items(products: DataFrame, items: str, key: str, fields: dict[str, Column]) -> DataFrame:
     """One row per item.
@@ -46,11 +48,32 @@ def flatten_agreements(
 def flatten_history(
     products: DataFrame, items: str = "import_duty_history.items", key: str = "hs10"
 ) -> DataFrame:
-    """Items without a date are left out: the column allows none."""
+    """Items with a date: the column allows no others, which :func:`undated_history` reports."""
     fields = {"date": _field("date").cast("date"), "raw": _field("raw")}
     return _items(products, items, key, fields).where("date IS NOT NULL")
 
 
+def undated_history(products: DataFrame, items: str = "import_duty_history.items", key: str = "hs10") -> DataFrame:
+    """Duty history items that have no date, and so no place in the history table."""
+    fields = {"date": _field("date").cast("date"), "raw": _field("raw")}
+    return _items(products, items, key, fields).where("date IS NULL").drop("date")
+
+
+def build_rag_chunks(products: DataFrame, topics: dict[str, Column], key: str = "hs10") -> DataFrame:
+    """Text chunks per product: their place, topic, text, and the hash of the text with white space collapsed.
+
+    Blank texts give no chunk. A hash occurs once: the chunk of the smallest key and place keeps it.
+    """
+    made = F.array(*[F.struct(F.lit(topic).alias("topic"), text.alias("text")) for topic, text in topics.items()])
+    held = F.filter(made, lambda c: F.coalesce(F.trim(c["text"]), F.lit("")) != "")
+    chunks = products.select(key, F.posexplode(held).alias("chunk_index", "chunk")).select(
+        key, "chunk_index", F.col("chunk.topic").alias("topic"), F.col("chunk.text").alias("chunk_text")
+    )
+    hashed = chunks.withColumn("chunk_hash", F.sha2(collapse_whitespace(F.col("chunk_text")), 256))
+    first = F.min(F.struct(key, "chunk_index", "topic", "chunk_text")).alias("first")
+    return hashed.groupBy("chunk_hash").agg(first).select("first.*", "chunk_hash")
+
+
 def containing_item(products: DataFrame, items: str, wanted: dict[str, str]) -> DataFrame:
     """Products with an item in which all the wanted fields have the wanted values."""
 

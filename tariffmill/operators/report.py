@@ -68,5 +68,7 @@ def health_report(audit: DataFrame, items: int = ETA_ITEMS) -> DataFrame:
 
 
 def export_preview(products: DataFrame, n: int = 5) -> DataFrame:
-    """Last n products by code."""
-    return products.select("hs10", "designation", "section_label").orderBy(F.desc("hs10")).limit(n)
+    """Last n products by code, each with the number of all products."""
+    total = products.select("hs10").agg(F.count("*")).first()[0]
+    last = products.select("hs10", "designation", "section_label").orderBy(F.desc("hs10")).limit(n)
+    return last.withColumn("total", F.lit(total).cast("long"))

@@ -14,14 +14,9 @@ from tariffmill.schemas import CODE_LIST_SCHEMA, PAGE_SCHEMA, RAW_SCHEMA
 log = logging.getLogger(__name__)
 
 
-def spread(df: DataFrame, minimum: int | None = None) -> DataFrame:
-    """Give a small input to all cores before costly row-by-row work.
-
-    A table read in fewer parts than there are cores is dealt out evenly; one with more parts, as any
-    large one, is returned as it is, without a shuffle.
-    """
-    wanted = minimum or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+def spread(df: DataFrame, parts: int) -> DataFrame:
+    """Deal rows out evenly over ``parts`` before costly row-by-row work on a table that is read in few parts."""
+    return df.repartition(parts)
 
 
 def src_code_list(spark: SparkSession, path: str) -> DataFrame:

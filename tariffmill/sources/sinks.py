@@ -6,12 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tariffmill.functions.jsontext import spaced_json_text
+from tariffmill.functions.jsontext import spaced, spaced_json_text
 from tariffmill.functions.text import clean_label
 from tariffmill.patterns import DEFAULT_RULES, EXPORT_CLEAN_COLUMNS, Rules
+from tariffmill.sources.store import TABLES, CatalogueStore
 
 BOM = "﻿"
-EXPORT_TABLES = ("sections", "chapters", "hs4_nodes", "hs6_nodes", "hs_products")
+#: Columns that hold compact JSON as text; exports have all JSON spaced.
+JSON_TEXT_COLUMNS = ("raw",)
 _NESTED = (T.StructType, T.ArrayType, T.MapType)
 
 
@@ -23,6 +25,8 @@ def _export_value(field: T.StructField, rules: Rules) -> Column:
         value = F.initcap(value.cast("string"))
     elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
         value = F.regexp_replace(F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSS"), r"\.000000$", "")
+    elif field.name in JSON_TEXT_COLUMNS:
+        value = spaced(value)
     elif field.name in EXPORT_CLEAN_COLUMNS:
         value = clean_label(value, rules)
     return value.alias(field.name)
@@ -48,6 +52,11 @@ def sink_csv_export(df: DataFrame, path: str, rules: Rules = DEFAULT_RULES) -> b
     return True
 
 
+def export_catalogue(store: CatalogueStore, root: str, rules: Rules = DEFAULT_RULES) -> list[str]:
+    """Export the catalogue's tables, each to a folder of its name; the names of those that had rows."""
+    return [name for name in TABLES if sink_csv_export(store.read(name), f"{root.rstrip('/')}/{name}", rules)]
+
+
 def read_csv_export(spark, path: str) -> DataFrame:
     """An export read back with text columns, so that codes keep their leading zeros."""
     df = spark.read.options(sep=";", header=True, quote='"', escape='"', multiLine=True).csv(path)

@@ -69,6 +69,7 @@ class Matcher:
         self.sets: list[frozenset] = []
         self.steps: list[dict[str, int]] = []
         self.found: list[list[tuple[int, str, bool]]] = []
+        self._state(set())  # number 0: nothing is within reach any more
         self.start = self._state({(0, 0)})
 
     def _state(self, pairs: set) -> int:
@@ -101,14 +102,24 @@ class Matcher:
             to = self.steps[state][c] = self._state(pairs)
         return to
 
+    def alive(self, beginning: str) -> bool:
+        """False if no word that begins so is within reach of a term."""
+        state = self.start
+        for c in beginning:
+            state = self._step(state, c)
+            if self.found[state] or not state:
+                break
+        return state != 0
+
     def match(self, word: str) -> list[tuple[str, int]]:
         """All terms the word is within reach of, with the fewest edits each."""
         if len(self.sets) > self.limit:
             self._reset()
-        state, best = self.start, {}
+        state, best, steps, step = self.start, {}, self.steps, self._step
         for c in word:
-            state = self._step(state, c)
-            if not self.sets[state]:
+            to = steps[state].get(c)
+            state = step(state, c) if to is None else to
+            if not state:
                 break
             for e, term, stem in self.found[state]:
                 if stem and e < best.get(term, 99):
@@ -120,7 +131,10 @@ class Matcher:
 
 
 def bare(token: str) -> str:
-    return _EDGE.sub("", token).lower()
+    """A token without what is no letter or digit at its ends, in lower case."""
+    if not (token[:1].isalnum() and token[-1:].isalnum()):
+        token = _EDGE.sub("", token)
+    return token.lower()
 
 
 @dataclass
@@ -134,50 +148,49 @@ class Model:
     intercept: float = -2.0
 
 
-class Scorer:
-    """One model's matcher and the hits of words seen so far."""
+class Scorer(dict):
+    """One model's matcher, and how strongly each token seen so far points to abuse, up to a fixed number of tokens."""
 
-    limit = 300_000
+    limit, head = 500_000, 5
 
     def __init__(self, model: Model):
+        super().__init__()
         self.model = model
         self.matcher = Matcher(model.terms) if model.terms else None
-        self.known: dict[str, float] = {}
+        self.dead: set[str] = set()
 
-    def strength(self, token: str) -> float:
-        """How strongly a token points to abuse: its best term's weight, less for each edit; 0 if none."""
-        got = self.known.get(token)
-        if got is None:
-            if len(self.known) >= self.limit:
-                self.known.clear()
-            got = self.known[token] = self._strength(token)
-        return got
+    def __missing__(self, token: str) -> float:
+        if len(self) >= self.limit:
+            self.clear()
+        value = self[token] = self._strength(token)
+        return value
 
     def _strength(self, token: str) -> float:
+        """A token's best term's weight, less for each edit; 0 if none. Beginnings that reach no term are remembered."""
         word = bare(token)
+        if word[: self.head] in self.dead and word.isalnum():
+            return 0.0
         candidates = [word]
         if not word.isalnum():
             candidates += [w for w in _INNER.findall(word) if len(w) >= 4]
         best = 0.0
         for w in candidates:
-            if w and w not in self.model.harmless:
-                for term, edits in self.matcher.match(w):
+            found = self.matcher.match(w) if w else ()
+            if found and w not in self.model.harmless:
+                for term, edits in found:
                     best = max(best, self.model.terms[term] * EDIT_LOSS**edits)
+        if not best and len(word) >= self.head and not self.matcher.alive(word[: self.head]):
+            if len(self.dead) >= self.limit:
+                self.dead.clear()
+            self.dead.add(word[: self.head])
         return best
 
     def hits(self, text: str | None) -> tuple[list[str], list[tuple[int, float]]]:
         tokens = (text or "").split()
         if self.matcher is None:
             return tokens, []
-        known, strength = self.known, self.strength
-        found = []
-        for i, t in enumerate(tokens):
-            s = known.get(t)
-            if s is None:
-                s = strength(t)
-            if s:
-                found.append((i, s))
-        return tokens, found
+        strengths = list(map(self.__getitem__, tokens))
+        return tokens, [(i, s) for i, s in enumerate(strengths) if s] if any(strengths) else []
 
     def features(self, text: str | None) -> list[float]:
         """The document's vector: strongest hit, sums over direct and over quoted hits, hits per word, the densest
@@ -304,7 +317,10 @@ def learn(labelled: DataFrame, max_rows: int = MAX_ROWS, least: int = 5) -> Mode
     """A model from ``labelled (doc_id, text, label)`` rows with label 0 or 1, at most ``max_rows`` of them, chosen by a
     hash of doc_id. Words are counted on Spark; the terms and the features of the sample, both bounded, are collected.
     Without rows of both labels the model gives every text the same low score."""
-    chosen = labelled.where("label in (0, 1)").select("doc_id", "text", F.col("label").cast("int")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    rows = labelled.where("label in (0, 1)").select("doc_id", "text", F.col("label").cast("int"))
+    # only ids are sorted; their number is bounded, so that side of the join is small
+    ids = rows.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    chosen = rows.join(F.broadcast(ids), "doc_id", "left_semi")
     chosen = keep(chosen.repartition(max(8, chosen.sparkSession.sparkContext.defaultParallelism), "doc_id"), "labelled")
     sizes = {r["label"]: r["n"] for r in chosen.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n_neg, n_pos = sizes.get(0, 0), sizes.get(1, 0)

@@ -1,8 +1,10 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from tariffmill.functions import html as H
-from tariffmill.functions import parse
+from tariffmill.functions import lines, parse
 from tariffmill.operators.tables import extract_tables, read_tables
 
 
@@ -124,3 +126,44 @@ def test_taxes(value):
     pairs = {"Source": "x", "- Droit (DI)": "5 %", "Taxe*": "1"}
     got = sorted(tuple(t.values()) for t in value(parse.parse_taxes_kv(F.col("m")), m=pairs))
     assert got == [("DI", "Droit", "5 %"), ("NA", "Taxe", "1")]
+
+
+def test_numbered_references_of_any_length(value):
+    def text(t):
+        return value(H.decode_entities(F.col("t")), t=t)
+
+    assert text("a&#00000233;b &#x00000E9; &#233;") == "aéb é é"
+    assert text("&colon;&lpar;x&rpar; &eacute;") == ":(x) é"
+    assert text("&#0; &#xD800; &#1114112; &#99999999999999; &#x110000;") == " ".join(["\ufffd"] * 5)
+    assert text("&#128; &#x80; &nothing; & &#;") == "€ € &nothing; & &#;"
+
+
+def test_no_break_space_counts_as_white_space(value):
+    assert value(H.section_type(F.lit(None).cast("string"), F.col("t")), t="20\u00a0%") == "financial"
+    found = value(lines.parse_agreements(F.col("t")), t="Maroc\nFRANCHISE\n2,5\u00a0%\n0")
+    assert [(a["country"], a["DI"], a["TPI"]) for a in found] == [("Maroc", "2,5\u00a0%", "0")]
+    none = F.create_map().cast("map<string,string>")
+    assert value(parse.extract_section(F.col("t"), none), t="SECTION\u00a0: 04 - x")["code"] == "04"
+
+
+@pytest.mark.parametrize("page", ["<a " * 350_000, "<a \"" * 260_000, "<a '\"x> " * 110_000, "text <!-- " * 100_000])
+def test_hostile_pages_take_linear_time(value, page):
+    began = time.monotonic()
+    value(H.html_to_text(F.col("t")), t=page)
+    value(H.nav_links(F.col("t")), t=page)
+    assert time.monotonic() - began < 10
+
+
+def test_open_brackets_take_linear_time(value):
+    began = time.monotonic()
+    assert value(H.extract_key_values(F.col("t")), t="(" * 1_000_000 + " a (b) : c") == {"(": "c"}
+    assert value(H.extract_key_values(F.col("t")), t="x (n) : 1\ny ( z : 2") == {"x": "1", "y ( z": "2"}
+    assert time.monotonic() - began < 10
+
+
+def test_text_behind_the_last_tag(value):
+    def text(t):
+        return value(H.html_to_text(F.col("t")), t=t)
+
+    assert text("a<b>c</b> 1 < 2") == "a\nc\n1 < 2"
+    assert text("a<script>x > y") == "a" and text("a <!-- b > c") == "a" and text("a <!-- b") == "a" and text("plain") == "plain"

@@ -7,10 +7,11 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tariffmill.functions.jsontext import canonical_json
-from tariffmill.sources.store import CatalogueStore
 from tariffmill.operators import checks, delta, flatten, merge, report
 from tariffmill.plans import product as PR
+from tariffmill.plans.records import records_from_pages
 from tariffmill.sources import readers, sinks
+from tariffmill.sources.store import CatalogueStore
 
 NOW = datetime(2030, 1, 1)
 
@@ -175,3 +176,19 @@ def test_order_and_map_sections(spark):
     ordered = df.select(PR.order_sections(F.col("s")).alias("o")).first()["o"]
     assert [r["order"] for r in ordered] == [1, 2, 3]
     assert df.select(PR.section_map(F.col("s")).alias("m")).first()["m"] == {"b": 3, "a": 2}
+
+
+def test_chosen_pages_of_a_visit(spark):
+    at = "2026-01-01T00:00:00"
+    table = "<table><tr><th>A</th><th>B</th></tr><tr><td>1</td><td>5 %</td></tr></table>"
+    rows = [
+        ("1", at, "main", None, None, f"<p>Main</p>{table}", None),
+        ("1", at, "section", "S", None, "<p>first</p>", None),
+        ("1", at, "section", "S", 2, "<p>good</p>", None),
+        ("1", at, "section", "S", 3, None, None),  # a failed retry
+    ]
+    pages = spark.createDataFrame(rows, "hs_code string, scraped_at string, kind string, section_name string, order int, html string, error string")
+    got = records_from_pages(pages).collect()[0]
+    assert got["scrape_status"] == "success"
+    assert [s["content"]["raw_text"] for s in got["sections"]] == ["good"]
+    assert got["main_content"]["raw_text"].startswith("Main") and len(got["main_content"]["tables"]) == 1

@@ -5,10 +5,11 @@ import pytest
 
 import compare
 from __spark_entry__ import entry, oracle_sql, queries
+from bindings.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 READS_TABLES = {"extract_tables", "records_from_pages"}
-SLOW = {"stream_ingest", "stream_resume", "stream_equals_batch"}
+SLOW = {"stream_ingest", "stream_resume", "stream_equals_batch", "run_pipeline"}
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +24,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
 def test_query(spark, con, name):
     """Result as in SQL; no cross join anywhere, and Python workers only for reading HTML tables."""
     made = []
@@ -39,8 +40,9 @@ def test_query(spark, con, name):
     assert ("Python" in text or "InPandas" in text) == (name in READS_TABLES)
 
 
-def test_stream_query(spark, con):
-    outcome, _ = compare.compare(spark, con, "stream_ingest", queries()["stream_ingest"], oracle_sql()["stream_ingest"], SF)
+@pytest.mark.parametrize("name", ["stream_resume", "run_pipeline"])
+def test_slow_query(spark, con, name):
+    outcome, _ = compare.compare(spark, con, name, queries()[name], oracle_sql()[name], SF)
     assert outcome.startswith("ok "), outcome
 
 

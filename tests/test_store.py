@@ -157,3 +157,37 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
     batch = CatalogueStore(spark, str(tmp_path / "batch"))
     sync_batch(src_raw_json(spark, str(landing), multi_line=False), batch, "tests", 0, T1)
     assert natural(CatalogueStore(spark, root)) == natural(batch)
+
+
+def test_batches_are_known_by_source(spark, tmp_path):
+    store = CatalogueStore(spark, str(tmp_path / "cat"))
+    assert sync_batch(raw(spark, record("0101210000")), store, "a", 0, T1)
+    assert sync_batch(raw(spark, record("0201100000", chap="02 - V")), store, "b", 0, T1)  # same number, other source
+    assert {r[0] for r in natural(store)["hs_products"]} == {"0101210000", "0201100000"}
+    assert not sync_batch(raw(spark, record("0909090909")), store, "b", 0, T2)
+    with pytest.raises(ValueError, match="does not follow"):
+        sync_batch(raw(spark, record("0909090909")), store, "a", 5, T2)
+    store.compact()
+    again = CatalogueStore(spark, store.root)
+    assert again.has("a", 0) and again.has("b", 0) and not again.has("c", 0) and not again.has("a", 1)
+
+
+def test_replays_do_not_grow_the_store(spark, tmp_path):
+    store = CatalogueStore(spark, str(tmp_path / "cat"))
+    batch = raw(spark, record("0101210000"))
+    sizes = []
+    for i in range(6):
+        sync_batch(batch, store, "a", i, T1)
+        store.compact()
+        files = [f for d, _, names in os.walk(store.root) if "audit_logs" not in d for f in names if f.startswith("part-")]
+        sizes.append(len(files))
+    assert sizes[-1] <= max(sizes[2:4])
+    assert not os.listdir(f"{store.root}/staging")
+
+
+def test_a_batch_reads_its_own_chapters(spark, tmp_path):
+    store = CatalogueStore(spark, str(tmp_path / "cat"))
+    sync_batch(raw(spark, record("0101210000"), record("0201100000", chap="02 - V")), store, "a", 0, T1)
+    plan = store.read("hs_products", ["hs10"], ["02"])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "part" in plan.split("PartitionFilters")[1][:80]
+    assert [r["hs10"] for r in store.read("hs_products", ["hs10"], ["02"]).collect()] == ["0201100000"]

@@ -13,6 +13,8 @@ from tariffmill.llm.common import WordHash, components, encoded, keep, map_batch
 
 _WORDS = WordHash()
 LEVEL = np.uint64(24)
+#: Members of a bucket that are compared in one part.
+PART_ROWS = 500
 
 
 def shingles(text: str | None, size: int) -> np.ndarray:
@@ -110,6 +112,11 @@ def _similar(n_a: str, n_b: str, percent: int):
     return (F.least(n_a, n_b) * 100) >= (F.greatest(n_a, n_b) * percent)
 
 
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
 def verify(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose whole shingle sets reach the similarity, from ``texts (doc_id, text)``.
 
@@ -123,9 +130,7 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
             for a, b, text_a, text_b in zip(*(batch[c].to_pylist() for c in ("a", "b", "text_a", "text_b")), strict=True):
                 if b != last:
                     last, held = b, shingles(text_b, size)
-                own = shingles(text_a, size)
-                common = len(np.intersect1d(own, held, assume_unique=True))
-                if 100 * common >= percent * (len(own) + len(held) - common):
+                if _linked(shingles(text_a, size), held, percent):
                     out_a.append(a)
                     out_b.append(b)
             yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
@@ -136,23 +141,70 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
     return both.mapInArrow(run, "a long, b long")
 
 
-def _close(pairs: DataFrame, low: DataFrame, length: int, least: float) -> DataFrame:
-    """Pairs whose signatures agree in at least ``least`` of the positions (by their low bytes, so never fewer)."""
+def _close(bands: int, length: int, size: int, percent: int, least: float):
+    """Links across groups of a bucket: pairs whose signatures agree in at least ``least`` of the positions (by their low
+    bytes, so never fewer) and whose whole shingle sets reach the similarity. Rows come sorted by part of a bucket, and a part is
+    held at a time. Of the buckets two documents share only that of their first common band looks at the pair."""
+
+    def pairs(part: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        own = [r for r in part if r[1]]
+        every = [r for r in part if not r[1]]
+        if not own or not every:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        key, main = part[0][0], part[0][6]
+        x, y = (np.asarray([r[2] for r in side], np.int64) for side in (own, every))
+        c_x, c_y = (np.asarray([r[3] for r in side], np.int64) for side in (own, every))
+        n_x, n_y = (np.asarray([r[4] for r in side], np.int64) for side in (own, every))
+        keys_x, keys_y = (np.asarray([r[5] for r in side], np.int64).reshape(-1, bands) for side in (own, every))
+        low_x, low_y = (np.frombuffer(b"".join(r[7] for r in side), np.uint8).reshape(-1, length) for side in (own, every))
+        band = int(np.flatnonzero(keys_x[0] == key)[0])
+        out_a, out_b = [], []
+        sets: dict[int, np.ndarray] = {}
+
+        def set_of(side: list[tuple], j: int) -> np.ndarray:
+            doc, text = side[j][2], side[j][8]
+            if doc not in sets:
+                sets[doc] = shingles(text, size)
+            return sets[doc]
+
+        for i in range(len(own)):
+            fits = (c_y != c_x[i]) & ((c_y == main) | (x[i] > y))
+            fits &= np.minimum(n_y, n_x[i]) * 100 >= np.maximum(n_y, n_x[i]) * percent
+            fits[fits] = ~(keys_y[fits, :band] == keys_x[i, :band]).any(1)
+            fits[fits] = (low_y[fits] == low_x[i]).mean(1) >= least
+            for j in np.flatnonzero(fits).tolist():
+                if _linked(set_of(own, i), set_of(every, j), percent):
+                    out_a.append(x[i])
+                    out_b.append(y[j])
+        return np.asarray(out_a, np.int64), np.asarray(out_b, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("key", "own", "doc_id", "component", "n", "keys", "main", "low", "text")
+        part: list[tuple] = []
+        at = None
         for batch in batches:
-            a = np.frombuffer(b"".join(batch["low_a"].to_pylist()), np.uint8).reshape(-1, length)
-            b = np.frombuffer(b"".join(batch["low_b"].to_pylist()), np.uint8).reshape(-1, length)
-            near = pa.array((a == b).mean(1) >= least)
-            yield batch.select(["a", "b"]).filter(near)
+            found = []
+            places = zip(*(batch[c].to_pylist() for c in ("key", "chunk", "block")), strict=True)
+            for place, row in zip(places, zip(*(batch[c].to_pylist() for c in names), strict=True), strict=True):
+                if place != at:
+                    if part:
+                        found.append(pairs(part))
+                    at, part = place, []
+                part.append(row)
+            if found:
+                yield _pair_rows(found)
+        if part:
+            yield _pair_rows([pairs(part)])
+
+    return run
 
-    both = pairs.join(low.select(F.col("doc_id").alias("a"), F.col("low").alias("low_a")), "a")
-    both = both.join(low.select(F.col("doc_id").alias("b"), F.col("low").alias("low_b")), "b")
-    return both.select("a", "b", "low_a", "low_b").mapInArrow(run, "a long, b long")
+
+def _pair_rows(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], names=["a", "b"])
 
 
 def near_duplicates(
-    docs: DataFrame, size: int = 5, percent: int = 80, bands: int = 32, rows: int = 5, least: float = 0.6
+    docs: DataFrame, size: int = 5, percent: int = 80, bands: int = 32, rows: int = 5, least: float = 0.68
 ) -> DataFrame:
     """Groups of documents that links of at least ``percent`` Jaccard similarity connect.
 
@@ -161,8 +213,8 @@ def near_duplicates(
     representatives are banded by SuperMinHash; at similarity 0.8 a pair shares none of 32 bands of 5 with a chance of
     3e-6. Each shared bucket links its members to its most connected one, so a bucket of ``n`` gives ``n - 1`` pairs.
     Where a bucket still holds several groups after these links are verified, the members outside its main group are
-    compared with all members of other groups there, after a look at the signatures (``least``: five standard
-    deviations below 0.8). Every link is confirmed on whole sets.
+    compared with all members of other groups there, by their signatures (``least``: nearly four standard deviations
+    below 0.8) and whole sets, in parts of bounded size; only links come out of it. Every link is confirmed on whole sets.
 
     Null and empty texts have no set and stay alone. Rows that share a doc_id are taken as one document. Returns
     doc_id, n_shingles, component_id (smallest doc_id of the group) and kept, one row per input row.
@@ -197,20 +249,22 @@ def near_duplicates(
     mixed_up = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     placed = keep(placed.join(mixed_up.select("key"), "key", "left_semi"), "mixed")
     main = placed.join(leaders.select("key", F.col("b").alias("doc_id")), ["key", "doc_id"]).select("key", F.col("component").alias("main"))
-    others = placed.join(main, "key").where("component <> main")
-    left = others.select("key", F.col("doc_id").alias("x"), F.col("n").alias("n_x"), F.col("component").alias("c_x"), "main")
-    right = placed.select("key", F.col("doc_id").alias("y"), F.col("n").alias("n_y"), F.col("component").alias("c_y"))
-    second = (
-        left.join(right, "key")
-        .where("c_x <> c_y and (c_y = main or x > y)")
-        .where(_similar("n_x", "n_y", percent))
-        .select(F.col("x").alias("a"), F.col("y").alias("b"))
-        .distinct()
-        .join(first, ["a", "b"], "left_anti")
-    )
-    low = reps.join(in_buckets, "doc_id", "left_semi").select("doc_id", "low")
-    near = keep(_close(second, keep(low, "low"), bands * rows, least), "near")
-    more = keep(verify(near, texts, size, percent), "more")
+    apart = placed.join(main, "key").withColumn("own", F.col("component") != F.col("main"))
+    # a bucket in parts: a share of the members outside its main group against a share of all members
+    sizes = apart.groupBy("key").agg(F.sum(F.col("own").cast("int")).alias("n_own"), F.count("*").alias("n_all"))
+    chunks, blocks = (F.greatest(F.ceil(F.col(c) / PART_ROWS), F.lit(1)).cast("int") for c in ("n_own", "n_all"))
+    apart = apart.join(sizes.select("key", chunks.alias("chunks"), blocks.alias("blocks")), "key")
+    place = F.xxhash64("doc_id")
+    every = F.struct(F.lit(False).alias("own"), F.lit(0).alias("chunk"), F.pmod(place, F.col("blocks")).cast("int").alias("block"))
+    ones = F.struct(F.lit(True).alias("own"), F.pmod(place, F.col("chunks")).cast("int").alias("chunk"), F.lit(0).alias("block"))
+    as_member = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda i: F.struct(every["own"], i.alias("chunk"), every["block"]))
+    as_own = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(ones["own"], ones["chunk"], i.alias("block")))
+    roles = F.when(F.col("own"), F.concat(as_member, as_own)).otherwise(as_member)
+    signed_reps = reps.select("doc_id", "keys", "low").join(apart.select("doc_id").distinct(), "doc_id", "left_semi")
+    dealt = apart.withColumn("role", F.explode(roles)).drop("own").select("key", "doc_id", "component", "n", "main", "role.*")
+    dealt = dealt.join(signed_reps.join(texts, "doc_id"), "doc_id")
+    dealt = dealt.repartition("key", "chunk", "block").sortWithinPartitions("key", "chunk", "block")
+    more = keep(dealt.mapInArrow(_close(bands, bands * rows, size, percent, least), "a long, b long").distinct(), "more")
     if not more.isEmpty():
         groups = keep(components(links.unionByName(more)), "groups")
 

@@ -179,3 +179,25 @@ def test_quality_rejects_outliers_only(spark):
     assert wrong == []
     assert all(got[i]["base_failed"] and not got[i]["kept"] for i in (2000, 2001, 2002))
     assert quality.judge(df.limit(0)).count() == 0
+
+
+def test_quality_rejects_repeats_below_the_base_rule(spark):
+    rng = random.Random(12)
+    vocabulary = [a + b for a in ("lorem", "ipsum", "dolores", "sit", "amet", "magna", "aliquae") for b in "abcdefghijkl"]
+
+    def words(n):
+        return [rng.choice(vocabulary) for _ in range(n)]
+
+    rows = []
+    for i in range(600):
+        lines = [" ".join(words(10)) for _ in range(rng.randrange(8, 16))]
+        if i % 50 == 1:  # eleven of twelve short lines repeat, over a long text that does not
+            lines = [" ".join(words(2)) for _ in range(2)] * 6 + [" ".join(words(60))]
+        elif i % 50 == 2:  # under half of the words lie in a phrase that repeats, within one line
+            lines = [" ".join(words(6) + (phrase := words(5)) + words(20) + phrase + words(15) + phrase * 3)]
+        elif i % 50 == 3:  # one repeated run of three words, one repeated short line and one symbol are no reason
+            lines = ["# " + lines[0], *lines[1:], "see above", " ".join(lines[1].split()[:3]), "see above"]
+        rows.append((i, "\n".join(lines), "en", f"s{i % 2}"))
+    got = {r["doc_id"]: r for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert [i for i in got if got[i]["kept"] == (i % 50 in (1, 2))] == []

@@ -22,6 +22,7 @@ BLOCKS = frozenset(
 SILENT = frozenset("script style noscript template head title iframe object svg canvas audio video math select textarea button".split())
 ASIDE = frozenset("nav footer aside form menu dialog header".split())
 LANDMARK = frozenset(("article", "main"))
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 #: Words in class, id, role or aria-label that mark parts beside the main text.
 MARKED = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|newsletter"
@@ -38,21 +39,21 @@ SPACE = re.compile(r"\s+")
 
 
 class LineParser(HTMLParser):
-    """Lines of text, one per block, with the tags met in each and whether it stands in a landmark or beside it."""
+    """Lines of text, one per block, with the tags met in each, whether it is set aside or a heading, and the number of the
+    outermost landmark it stands in."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, bool, bool]] = []  # tag, set aside, landmark
-        self.beside = self.landmarks = 0
-        self.lines: list[tuple[str, int, int, bool, bool]] = []  # text, tags, characters in links, beside, landmark
+        self.beside = self.landmarks = self.headings = self.silent = self.met = 0
+        self.lines: list[tuple[str, int, int, bool, int, bool]] = []  # text, tags, characters in links, beside, landmark or 0, heading
         self.parts: list[str] = []
         self.tags = self.linked = self.in_link = 0
-        self.heading = False
 
     def flush(self) -> None:
         text = SPACE.sub(" ", "".join(self.parts)).strip()
         if text:
-            self.lines.append((text, self.tags, self.linked, self.beside > 0, self.landmarks > 0))
+            self.lines.append((text, self.tags, self.linked, self.beside > 0, self.met if self.landmarks else 0, self.headings > 0))
             self.tags = 0
         self.parts, self.linked = [], 0
 
@@ -75,7 +76,10 @@ class LineParser(HTMLParser):
         # an article within a part set aside, such as one comment, is not main text
         self.open.append((tag, beside, landmark))
         self.beside += beside
+        self.met += landmark and not self.landmarks
         self.landmarks += landmark
+        self.headings += tag in HEADINGS
+        self.silent += tag in SILENT
         self.in_link += tag == "a"
 
     def handle_startendtag(self, tag, attrs):
@@ -96,6 +100,8 @@ class LineParser(HTMLParser):
                 break
 
     def handle_data(self, data):
+        if self.silent:
+            return
         self.parts.append(data)
         if self.in_link:
             self.linked += len(data.strip())
@@ -105,6 +111,8 @@ class LineParser(HTMLParser):
         for tag, beside, landmark in self.open[at:]:
             self.beside -= beside
             self.landmarks -= landmark
+            self.headings -= tag in HEADINGS
+            self.silent -= tag in SILENT
             self.in_link -= tag == "a"
         del self.open[at:]
 
@@ -119,7 +127,7 @@ class LineParser(HTMLParser):
             if name in BLOCKS and not (limits and name not in limits):
                 return
 
-    def done(self) -> list[tuple[str, int, int, bool, bool]]:
+    def done(self) -> list[tuple[str, int, int, bool, int, bool]]:
         self.close()
         self.flush()
         return self.lines
@@ -135,32 +143,52 @@ def smoothed(values: np.ndarray, radius: int = 2) -> np.ndarray:
     return np.convolve(padded, kernel / kernel.sum(), "valid")
 
 
-def content_lines(lines: list[tuple[str, int, int, bool, bool]]) -> list[bool]:
+def content_lines(lines: list[tuple[str, int, int, bool, int, bool]]) -> list[bool]:
     """Which lines are main text.
 
     A line's ratio is its text, without links, over the tags around it. Smoothed ratios over the threshold (one standard
     deviation, and at most half of the mean, of all lines) cluster into regions. Lines set aside by their elements are
-    never taken. A region that a landmark encloses extends over all of it, so that short paragraphs and headings stay;
-    if no landmark has such a line, the regions themselves are taken, with short lines between and a heading before.
+    never taken. A region extends over all of a landmark that holds a line of it which is over the threshold by itself, so
+    that short paragraphs and headings stay; a landmark without such a line is not taken for being one. Regions outside
+    landmarks are taken too, beside chosen landmarks only where one of their lines is over the threshold by itself. Short
+    lines between these, back to a heading before and on after the last belong to them, up to what is mostly links or set aside.
     """
     if not lines:
         return []
-    ratio = np.asarray([max(len(t) - linked, 0) / max(tags, 1) if not beside else 0.0 for t, tags, linked, beside, _ in lines], float)
+    ratio = np.asarray([max(len(t) - linked, 0) / max(tags, 1) if not beside else 0.0 for t, tags, linked, beside, *_ in lines], float)
     smooth = smoothed(ratio)
     threshold = min(float(ratio.std()), 0.5 * float(ratio.mean())) if len(lines) > 1 else 0.0
-    region = smooth >= max(threshold, 1e-9)
-    own = np.asarray([not beside for *_, beside, _ in lines])
-    inside = np.asarray([landmark for *_, landmark in lines])
-    if (region & own & inside).any() or (own & inside).any():
-        return (own & inside).tolist()
-    taken = region & own
-    if not taken.any():
+    threshold = max(threshold, 1e-9)
+    own = np.asarray([not line[3] for line in lines])
+    inside = np.asarray([line[4] for line in lines])
+    region = (smooth >= threshold) & own
+    solid = region & (ratio >= threshold)
+    chosen = np.unique(inside[solid & (inside > 0)])
+    taken = own & np.isin(inside, chosen) & (inside > 0)
+    outside = region & (inside == 0) if len(chosen) else region
+    starts = np.flatnonzero(outside & ~np.concatenate([[False], outside[:-1]]))
+    ends = np.flatnonzero(outside & ~np.concatenate([outside[1:], [False]])) + 1
+    runs = [(s, e) for s, e in zip(starts, ends, strict=True) if not len(chosen) or solid[s:e].any()]
+    for s, e in runs:
+        taken[s:e] = True
+    if not runs:
         return taken.tolist()
-    first, last = np.flatnonzero(taken)[[0, -1]]
-    for i in range(first, last):
-        # a short line between two content lines, unless it is mostly links
-        if own[i] and not taken[i] and lines[i][2] * 2 <= len(lines[i][0]):
-            taken[i] = True
+
+    def short(i: int) -> bool:
+        return bool(own[i]) and lines[i][2] * 2 <= len(lines[i][0])
+
+    at = np.flatnonzero(taken)
+    for i in range(at[0], at[-1]):
+        taken[i] |= short(i)
+    i = at[0] - 1
+    while i >= 0 and short(i):
+        if lines[i][5]:
+            taken[i : at[0]] = True
+        i -= 1
+    i = at[-1] + 1
+    while i < len(lines) and short(i) and not lines[i][5]:
+        taken[i] = True
+        i += 1
     return taken.tolist()
 
 

@@ -78,6 +78,30 @@ def test_extraction():
     assert len(html_extract.main_text("<div>" * 3000 + "deep" + "<p>" * 3000)) == 4
 
 
+def test_extraction_beside_landmarks_and_short_endings():
+    long = [f"This is long paragraph {i} of the article with a good many words in it, and no links at all." for i in range(6)]
+    body = "".join(f"<p>{t}</p>" for t in long)
+    nav = "<nav><a href=/>Home</a></nav>"
+    # the landmark holds a title or a teaser only
+    for held in ("<h1>Title</h1>", "<h1>Title</h1><p>Read on.</p>"):
+        got = html_extract.main_text(f"<body>{nav}<main>{held}</main><div>{body}</div><footer>end</footer></body>").split("\n")
+        assert got[0] == "Title" and got[-6:] == long
+    far = html_extract.main_text(f"<body><article>Teaser</article>{nav}<ul>{'<li><a href=/x>Some link</a>' * 5}</ul><div>{body}</div></body>")
+    assert far.split("\n") == long
+    # part of the text in a landmark, part outside
+    both = html_extract.main_text(f"<body><main><h1>Title</h1>{body}</main><div>{nav}</div><div>{body}</div></body>")
+    assert both.split("\n") == ["Title", *long, *long]
+    # short closing paragraphs, up to links or what is set aside
+    ends = ["We thank you.", "Yours,", "A. B.", "C. D.", "1 May"]
+    tail = "".join(f"<p>{t}</p>" for t in ends)
+    for after in ("<footer>end</footer>", "<p><a href=/next>next page</a></p>"):
+        got = html_extract.main_text(f"<body><h2>Head</h2><h3>Sub</h3><h4>Third</h4>{body}{tail}{after}</body>")
+        assert got.split("\n") == ["Head", "Sub", "Third", *long, *ends]
+    # a landmark whose text is dense still brings its short lines, and links outside stay out
+    kept = html_extract.main_text(f"<body><div><a href=/a>A link</a></div><main><p>Hi.</p>{body}{tail}</main><div><a href=/b>B link</a></div></body>")
+    assert kept.split("\n") == ["Hi.", *long, *ends]
+
+
 def test_extraction_rows(spark):
     df = spark.createDataFrame([(1, "u", PAGE, "x"), (1, "u", PAGE, "y"), (None, None, None, None)], "page_id long, url string, html string, text string")
     rows = html_extract.extract(df).collect()

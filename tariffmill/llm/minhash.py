@@ -204,7 +204,7 @@ def _pair_rows(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
 
 
 def near_duplicates(
-    docs: DataFrame, size: int = 5, percent: int = 80, bands: int = 32, rows: int = 5, least: float = 0.68
+    docs: DataFrame, size: int = 5, percent: int = 80, bands: int = 32, rows: int = 5, least: float = 0.6
 ) -> DataFrame:
     """Groups of documents that links of at least ``percent`` Jaccard similarity connect.
 
@@ -213,7 +213,7 @@ def near_duplicates(
     representatives are banded by SuperMinHash; at similarity 0.8 a pair shares none of 32 bands of 5 with a chance of
     3e-6. Each shared bucket links its members to its most connected one, so a bucket of ``n`` gives ``n - 1`` pairs.
     Where a bucket still holds several groups after these links are verified, the members outside its main group are
-    compared with all members of other groups there, by their signatures (``least``: nearly four standard deviations
+    compared with all members of other groups there, by their signatures (``least``: over six standard deviations
     below 0.8) and whole sets, in parts of bounded size; only links come out of it. Every link is confirmed on whole sets.
 
     Null and empty texts have no set and stay alone. Rows that share a doc_id are taken as one document. Returns

@@ -1,10 +1,12 @@
 """Near duplicates, repeated passages and near passages against brute force, and their behaviour on odd rows."""
 
+import inspect
 import random
 import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm_rows import ODD, frame
@@ -83,6 +85,22 @@ def test_near_duplicates_equal_brute_force(spark, corpus, size):
     assert all(got[d]["n_shingles"] == len(sets[d]) and got[d]["kept"] == (want[d] == d) for d in ids)
 
 
+def test_links_across_groups_need_few_signature_places():
+    words = [f"w{i}" for i in range(100)]
+    texts = [" ".join(words), " ".join([*words[:-1], "other"])]
+    lows = [bytes(160), bytes([1] * 56 + [0] * 104)]  # 65 % agree
+    keys = [[7, *range(100 * i, 100 * i + 31)] for i in (1, 2)]
+    batch = pa.RecordBatch.from_pylist(
+        [
+            {"key": 7, "chunk": 0, "block": 0, "own": own, "doc_id": d, "component": d, "n": 96, "keys": keys[i], "main": 1, "low": lows[i], "text": texts[i]}
+            for i, (own, d) in enumerate([(True, 2), (False, 1)])
+        ]
+    )
+    least = inspect.signature(minhash.near_duplicates).parameters["least"].default
+    got = [b.to_pylist() for b in minhash._close(32, 160, 5, 80, least)(iter([batch]))]
+    assert got == [[{"a": 2, "b": 1}]]
+
+
 def test_near_duplicates_on_odd_rows(spark):
     rows = [tuple(r) for r in minhash.near_duplicates(frame(spark, ODD), size=2).collect()]
     assert len(rows) == len(ODD)

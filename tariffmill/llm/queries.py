@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffmill.llm import compact, html_extract, minhash, mixing, packing, quality, sketch, suffix, toxicity, url_filter
+from tariffmill.llm import (
+    compact, html_extract, merkle, minhash, mixing, packing, quality, sketch, suffix, toxicity, url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -242,3 +244,61 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(documents(spark, sf_dir))
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept")
+
+
+#: CRC-32 of a decimal number's text, bit by bit, as DuckDB has no function for it.
+CRC_SQL = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+        lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+            lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+
+
+def _framed_sql(*columns: str) -> str:
+    return " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}, '-')" for c in columns)
+
+
+OP12_SQL = f"""
+WITH RECURSIVE d AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce('s' || source, '') AS tree, {_framed_sql('doc_id', 'source', 'lang', 'n_chars')} AS head,
+        text, CASE WHEN {CRC_SQL.format('doc_id')} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS changed
+    FROM documents),
+l AS (
+    SELECT r, doc_id, tree, sha256(head || {_framed_sql('text')}) AS leaf, sha256(head || {_framed_sql('changed')}) AS claimed FROM d),
+p AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY tree) AS n
+    FROM l),
+up(tree, level, idx, h, n) AS (
+    SELECT tree, 0, idx, leaf, n FROM p UNION ALL
+    SELECT tree, level + 1, idx // 3, sha256(string_agg(h, '' ORDER BY idx)), (n + 2) // 3 FROM up WHERE n > 1
+    GROUP BY tree, level, idx // 3, n),
+subroots AS (
+    SELECT tree, h AS subroot, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS trees FROM up WHERE n = 1),
+above(level, idx, h, n) AS (
+    SELECT 0, place, subroot, trees FROM subroots UNION ALL
+    SELECT level + 1, idx // 3, sha256(string_agg(h, '' ORDER BY idx)), (n + 2) // 3 FROM above WHERE n > 1 GROUP BY level, idx // 3, n),
+steps AS (
+    SELECT r, up.level, coalesce(string_agg(h, '' ORDER BY up.idx) FILTER (up.idx < p.idx // (3 ** up.level)::BIGINT), '') AS low,
+        coalesce(string_agg(h, '' ORDER BY up.idx) FILTER (up.idx > p.idx // (3 ** up.level)::BIGINT), '') AS high
+    FROM p JOIN up ON p.tree = up.tree AND up.n > 1 AND up.idx // 3 = p.idx // (3 ** (up.level + 1))::BIGINT GROUP BY r, up.level
+    UNION ALL
+    SELECT r, 1000 + above.level, coalesce(string_agg(h, '' ORDER BY above.idx) FILTER (above.idx < place // (3 ** above.level)::BIGINT), ''),
+        coalesce(string_agg(h, '' ORDER BY above.idx) FILTER (above.idx > place // (3 ** above.level)::BIGINT), '')
+    FROM p JOIN subroots USING (tree) JOIN above ON above.n > 1 AND above.idx // 3 = place // (3 ** (above.level + 1))::BIGINT
+    GROUP BY r, above.level),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY level) AS step FROM steps),
+folds(r, step, h) AS (
+    SELECT r, 0::BIGINT, claimed FROM l UNION ALL
+    SELECT folds.r, numbered.step, sha256(low || h || high) FROM folds JOIN numbered ON numbered.r = folds.r AND numbered.step = folds.step + 1),
+folded AS (SELECT r, arg_max(h, step) AS folded_root FROM folds GROUP BY r),
+proofs AS (SELECT r, string_agg(low || high, '' ORDER BY step) AS proof FROM numbered GROUP BY r)
+SELECT doc_id, leaf, subroot, (SELECT h FROM above WHERE n = 1) AS root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root,
+    folded_root = (SELECT h FROM above WHERE n = 1) AS verified
+FROM p JOIN subroots USING (tree) JOIN folded USING (r) LEFT JOIN proofs USING (r)
+"""
+
+
+@query("op12_merkle_manifest", OP12_SQL)
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.col("text")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.replace(text, F.lit("\n"), F.lit(""))).otherwise(text)
+    proved = merkle.document_manifest(documents(spark, sf_dir), tampered)
+    return proved.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tariffmill.llm import (
-    compact, html_extract, merkle, minhash, mixing, packing, quality, sketch, suffix, toxicity, url_filter,
+    compact, html_extract, linededup, merkle, minhash, mixing, packing, quality, sketch, suffix, toxicity, url_filter,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -302,3 +302,27 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.replace(text, F.lit("\n"), F.lit(""))).otherwise(text)
     proved = merkle.document_manifest(documents(spark, sf_dir), tampered)
     return proved.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+OP13_SQL = r"""
+WITH lines AS (
+    SELECT row_number() OVER () AS r, coalesce(doc_id, -9223372036854775808) AS d, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines
+    FROM documents),
+keyed AS (
+    SELECT r, d, line, pos, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM (SELECT r, d, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM lines)),
+shared AS (SELECT key, min(d) AS first FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING min(d) < max(d)),
+judged AS (SELECT r, line, pos, shared.key IS NOT NULL AND d > first AS dropped FROM keyed LEFT JOIN shared USING (key))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
+FROM judged JOIN lines USING (r) GROUP BY r
+"""
+
+
+@query("op13_line_dedup", OP13_SQL)
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    index, batch = linededup.insert(None, docs)
+    judged = linededup.drop_shared_lines(index, docs, batch)
+    return judged.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))

@@ -19,7 +19,7 @@ COLUMNS = {
 }
 
 
-@pytest.mark.parametrize("name", ["op3_source_mixing", "op4_document_fingerprints", "op12_merkle_manifest"])
+@pytest.mark.parametrize("name", ["op3_source_mixing", "op4_document_fingerprints", "op12_merkle_manifest", "op13_line_dedup"])
 def test_equal_to_sql(spark, name):
     import duckdb
 

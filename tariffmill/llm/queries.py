@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tariffmill.llm import (
-    compact, html_extract, linededup, merkle, minhash, mixing, packing, quality, sketch, suffix, toxicity, url_filter,
+    compact, html_extract, linededup, merkle, minhash, mixing, packing, prefixtrie, quality, sketch, suffix,
+    toxicity, url_filter,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -326,3 +327,46 @@ def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     index, batch = linededup.insert(None, docs)
     judged = linededup.drop_shared_lines(index, docs, batch)
     return judged.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP11_SQL = f"""
+WITH t AS (
+    SELECT conv_id, md5(strlen(role) || ':' || role || text) AS h, strlen(text) AS size,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(strlen(role) || ':' || role || text)) AS i
+    FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+c AS (SELECT conv_id, {CRC_SQL.format('conv_id')} % 9 AS k FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (
+    SELECT c.conv_id, t.i, h, size FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 5 AND t.i <= k UNION ALL
+    SELECT conv_id, t.i, h, size FROM c JOIN t USING (conv_id) WHERE t.i > k),
+p AS (
+    SELECT conv_id, d, size, md5(string_agg(h, '' ) OVER (PARTITION BY conv_id ORDER BY d)) AS path
+    FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY i) AS d FROM r)
+    UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+nodes AS (SELECT d, path, min(conv_id) AS conv_id, count(*) AS n, any_value(size) AS size FROM p GROUP BY d, path),
+linked AS (
+    SELECT nodes.*, up.path AS up_path, above.conv_id AS up_id
+    FROM nodes LEFT JOIN p up ON up.conv_id = nodes.conv_id AND up.d = nodes.d - 1
+    LEFT JOIN nodes above ON above.d = up.d AND above.path = up.path),
+kids AS (SELECT d - 1 AS d, up_path AS path, count(*) AS n_children FROM linked WHERE up_path IS NOT NULL GROUP BY ALL),
+full_nodes AS (SELECT linked.*, coalesce(n_children, 0) AS n_children FROM linked LEFT JOIN kids USING (d, path)),
+below AS (
+    SELECT a.d, a.path, count(*) FILTER (v.n_children = 0) AS n_leaves, sum((v.n - 1) * v.size) AS saved
+    FROM full_nodes v JOIN p a ON a.conv_id = v.conv_id AND a.d <= v.d GROUP BY a.d, a.path),
+ends AS (
+    SELECT d, path, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+    FROM p JOIN (SELECT conv_id, max(d) AS d FROM p GROUP BY conv_id) USING (conv_id, d) GROUP BY d, path)
+SELECT conv_id, d AS depth, up_id AS parent_conv_id, n AS n_convs, n_children, n_leaves, saved::BIGINT AS saved_tokens,
+    sha256(coalesce(ids, '')) AS ends_sha256
+FROM full_nodes JOIN below USING (d, path) LEFT JOIN ends USING (d, path)
+"""
+
+
+@query("op11_prefix_trie", OP11_SQL)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = prefixtrie.sequences(spark.read.parquet(f"{sf_dir}/conversations.parquet"), near=5)
+    heads = convs.where("conv_id = base").select("base", F.slice("steps", 1, 8).alias("head"))
+    taken = (F.crc32(F.col("conv_id").cast("string")) % 9).cast("int")
+    shared = F.slice(F.coalesce("head", F.slice("steps", 1, 0)), F.lit(1), taken)
+    own = F.slice("steps", taken + 1, F.greatest(F.size("steps"), F.lit(1)))
+    rebuilt = convs.join(heads, "base", "left").select("conv_id", F.concat(shared, own).alias("steps"))
+    return prefixtrie.prefix_trie(rebuilt)

@@ -19,12 +19,13 @@ COLUMNS = {
 }
 
 
-@pytest.mark.parametrize("name", ["op3_source_mixing", "op4_document_fingerprints", "op12_merkle_manifest", "op13_line_dedup"])
+@pytest.mark.parametrize("name", ["op3_source_mixing", "op4_document_fingerprints", "op11_prefix_trie", "op12_merkle_manifest", "op13_line_dedup"])
 def test_equal_to_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for table in ("documents", "conversations"):
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     outcome, _ = compare.compare(spark, con, name, queries()[name], oracle_sql()[name], SF)
     assert outcome.startswith("ok "), outcome
 

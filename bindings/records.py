@@ -253,7 +253,7 @@ def json_columns(spark, d):
     return texts.withColumn("first_tag", F.variant_get(F.parse_json("js"), "$.tags[0]", "string"))
 
 
-@query("records_from_pages", f"""{_FACTS}
+RECORDS_SQL = f"""{_FACTS}
   SELECT hs10 AS hs_code, CASE p_partkey % 10 WHEN 0 THEN 'partial' WHEN 1 THEN 'error' ELSE 'success' END AS scrape_status,
     CASE WHEN p_partkey % 10 = 1 THEN 0 ELSE 5 END AS n_sections,
     CASE WHEN p_partkey % 10 = 1 THEN 'NA' ELSE designation END AS designation,
@@ -261,10 +261,11 @@ def json_columns(spark, d):
     CASE WHEN p_partkey % 10 = 1 OR by_key THEN 'NA' ELSE sec END AS section_code,
     CASE WHEN p_partkey % 10 = 1 OR by_key THEN 0 ELSE 3 END AS n_taxes,
     CASE WHEN p_partkey % 10 = 1 THEN NULL ELSE doc_code END AS document,
-    CASE WHEN p_partkey % 10 = 1 THEN NULL ELSE 'Émirats' END AS country FROM facts""")
-def records_from_pages(spark, d):
-    """Parts landed as one HTML page per section, put together again and parsed."""
-    records = RC.records_from_pages(R.landed_pages(spread_table(spark, d, "part")))
+    CASE WHEN p_partkey % 10 = 1 THEN NULL ELSE 'Émirats' END AS country FROM facts"""
+
+
+def parsed_records(records):
+    """What is compared of records that were put together from pages."""
     products = PR.assemble_product(records, F.lit(AS_OF).cast("timestamp_ntz"))
     n_sections = F.coalesce(F.size(F.from_json("raw", "sections array<struct<order int>>")["sections"]), F.lit(0))
     return products.select(
@@ -275,6 +276,12 @@ def records_from_pages(spark, d):
     )
 
 
+@query("records_from_pages", RECORDS_SQL)
+def records_from_pages(spark, d):
+    """Parts landed as one HTML page per section, put together again and parsed."""
+    return parsed_records(RC.records_from_pages(R.landed_pages(spread_table(spark, d, "part"))))
+
+
 # --- Flattened items ------------------------------------------------------------------------------
 
 
@@ -286,7 +293,9 @@ def _tables(spark, d):
     )
 
 
-@query("flatten_taxation", f"{_FACTS} SELECT hs10, pos, code, label, raw FROM ({R.SQL_TAXES} UNION ALL {R.SQL_TAXES_KV})")
+@query("flatten_taxation", f"""{_FACTS}
+  SELECT hs10, pos, code, label, raw FROM ({R.SQL_TAXES} UNION ALL
+    SELECT * FROM ({R.SQL_TAXES_KV}) WHERE p_partkey IN (SELECT p_partkey FROM facts WHERE by_key))""")
 def flatten_taxation(spark, d):
     return flatten.flatten_taxation(_tables(spark, d))
 

@@ -13,7 +13,7 @@ from tariffmill.operators import checks, delta, flatten, merge, report
 from tariffmill.plans.product import derive_prefixes, present_in_record, present_in_table
 from tariffmill.session import shared_dir
 from tariffmill.sources.sinks import sink_audit_append
-from tariffmill.sources.store import TABLES, CatalogueStore
+from tariffmill.sources.store import TABLES, CatalogueStore, product_part
 
 AS_OF = datetime(2024, 1, 31)
 
@@ -46,10 +46,10 @@ def recent_keys(spark, d):
 def _catalogue(spark, d) -> CatalogueStore:
     """A catalogue whose products have the keys and times of the events."""
     store = CatalogueStore(spark, shared_dir(spark, "catalogue"))
-    schema = TABLES["hs_products"][0]
+    schema = TABLES["hs_products"]
     known = _state(spark, d).withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz"))
     rows = known.select(*[F.col(f.name) if f.name in known.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
-    store.commit(0, [store.write("hs_products", rows, 0)], "events", 0)
+    store.insert("hs_products", rows.withColumn("part", product_part(F.col("hs10"))))
     return store
 
 

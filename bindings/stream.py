@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import functions as F
 
 from bindings import render as R
-from bindings.registry import query, table
+from bindings.records import RECORDS_SQL, parsed_records
+from bindings.registry import query, spread_table, table
 from tariffmill.plans.run import refresh
-from tariffmill.plans.sync import sync_batch
+from tariffmill.plans.records import records_from_pages
+from tariffmill.plans.sync import LoadCounts, sync_batch
+from tariffmill.schemas import RAW_SCHEMA
 from tariffmill.session import shared_dir
 from tariffmill.sources.readers import src_raw_json
 from tariffmill.sources.sinks import read_csv_export
 from tariffmill.sources.store import CatalogueStore
-from tariffmill.streaming.ingest import read_landing, stream_id, stream_ingest
+from tariffmill.streaming.ingest import read_landed_pages, read_landing, stream_id, stream_ingest, stream_records
 
 AS_OF = datetime(2026, 2, 1)
 _FACTS = f"WITH facts AS ({R.SQL_PART_FACTS})"
@@ -29,9 +33,10 @@ def _land(spark, d, parts: int, landing: str, keep=None) -> None:
     (raw if keep is None else raw.where(keep)).repartition(parts).write.mode("append").json(landing)
 
 
-def _run_stream(spark, landing: str, root: str, files: int = 1, checkpoint: str = "checkpoint") -> None:
-    raw = read_landing(spark, landing, max_files=files)
-    stream_ingest(raw, root, f"{root}/{checkpoint}", clock=lambda: AS_OF).awaitTermination()
+def _run_stream(spark, landing: str, root: str, files: int = 1, checkpoint: str = "checkpoint", skip_days=None) -> list[LoadCounts]:
+    raw, counts = read_landing(spark, landing, max_files=files), []
+    stream_ingest(raw, root, f"{root}/{checkpoint}", clock=lambda: AS_OF, skip_days=skip_days, on_load=counts.append).awaitTermination()
+    return counts
 
 
 def _loaded(spark, root: str):
@@ -88,6 +93,64 @@ def stream_equals_batch(spark, d):
     ).select("hs10", "in_stream", "in_batch")
 
 
+def _counted(spark, rows: list[tuple]):
+    """Counts of a few loads as rows."""
+    names = ["run", "processed", "quarantined", "warned"]
+    made = [spark.range(1).select(*[F.lit(v).alias(n) for n, v in zip(names, row, strict=True)]) for row in rows]
+    return reduce(lambda a, b: a.unionByName(b), made)
+
+
+def _sum(counts: list[LoadCounts]) -> tuple[int, int, int]:
+    return tuple(sum(getattr(c, name) for c in counts) for name in ("processed", "quarantined", "warned"))
+
+
+@query("stream_visits", RECORDS_SQL)
+def stream_visits(spark, d):
+    """Landed pages as a stream of visits: a visit's pages lie in three files, those of one file come once more after all
+    others, and a page of a later visit closes what is open. The stream stops and starts again in between."""
+    pages = R.landed_pages(table(spark, d, "part"))
+    landing, out = shared_dir(spark, "landing"), shared_dir(spark, "records")
+
+    def land(rows):
+        rows.coalesce(1).write.mode("append").json(landing)
+
+    def run():
+        records = stream_records(read_landed_pages(spark, landing, max_files=1)).writeStream.format("parquet")
+        records.option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start(f"{out}/rows").awaitTermination()
+
+    for third in range(3):
+        land(pages.where(F.pmod(F.col("order"), F.lit(3)) == third))
+    run()
+    land(pages.where(F.pmod(F.col("order"), F.lit(3)) == 0))
+    land(pages.limit(1).withColumn("scraped_at", F.lit("2026-02-28T00:00:00")))
+    run()
+    return parsed_records(spark.read.schema(RAW_SCHEMA).parquet(f"{out}/rows"))
+
+
+@query("stream_skips_loaded", f"""{_FACTS}
+  SELECT 1 AS run, count(*) AS processed FROM facts WHERE hs10 < '3' UNION ALL SELECT 2, count(*) FROM facts WHERE NOT hs10 < '3'""")
+def stream_skips_loaded(spark, d):
+    """Records parsed by a stream that stops after a third, and by another one that then finds all records landed."""
+    first, second, root = shared_dir(spark, "landing"), shared_dir(spark, "landing"), shared_dir(spark, "catalogue")
+    _land(spark, d, 1, first, F.col("hs_code") < "3")
+    _land(spark, d, 2, second)
+    runs = [_run_stream(spark, first, root, skip_days=25), _run_stream(spark, second, root, checkpoint="checkpoint-2", skip_days=25)]
+    return _counted(spark, [(i + 1, *_sum(c)) for i, c in enumerate(runs)]).select("run", "processed")
+
+
+@query("load_counts", f"""{_FACTS}
+  SELECT 1 AS run, count(*) AS processed, count(*) FILTER (p_partkey % 10 = 1 OR by_key) AS quarantined,
+    count(*) FILTER (p_partkey % 5 = 0) AS warned FROM facts
+  UNION ALL SELECT 2, count(*), 0, count(*) FILTER (p_partkey % 5 = 0) FROM facts""")
+def load_counts(spark, d):
+    """What a batch of records from pages (1) and a stream of raw records (2) count while they load."""
+    landing, batch_root, stream_root = shared_dir(spark, "landing"), shared_dir(spark, "catalogue"), shared_dir(spark, "catalogue")
+    records = records_from_pages(R.landed_pages(spread_table(spark, d, "part")))
+    batch = sync_batch(records, CatalogueStore(spark, batch_root), "pages", 0, AS_OF)
+    _land(spark, d, 2, landing)
+    return _counted(spark, [(1, *_sum([batch])), (2, *_sum(_run_stream(spark, landing, stream_root)))])
+
+
 @query("run_pipeline", f"""{_FACTS}, listed AS (SELECT hs10, p_partkey % 10 = 1 OR by_key AS failed FROM facts)
   SELECT 1 AS run, count(*) AS listed, 0 AS skipped, count(*) AS processed, count(*) FILTER (NOT failed) AS exported FROM listed
   UNION ALL SELECT 2, count(*), count(*) FILTER (NOT failed), count(*) FILTER (failed), count(*) FILTER (NOT failed) FROM listed""")

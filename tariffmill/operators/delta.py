@@ -5,11 +5,13 @@ from __future__ import annotations
 import logging
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tariffmill.patterns import REFRESH_DAYS
+from tariffmill.session import shared_dir
 from tariffmill.sources.store import CatalogueStore
 
 log = logging.getLogger(__name__)
@@ -32,14 +34,21 @@ def keys_to_skip(
     store: CatalogueStore, as_of: Column | datetime, days: int = REFRESH_DAYS, force: bool = False, key: str = "hs10"
 ) -> DataFrame:
     """Recent keys of the catalogue's products; none when forced. A store without products, or one that cannot be read,
-    counts as empty: the run then starts afresh, and says so in the log."""
+    counts as empty: the run then starts afresh, and says so in the log.
+
+    The keys are written to shared scratch at once: a file that cannot be read shows here, not in the middle of the run, and
+    the set stays as it was when the run changes the store.
+    """
+    spark = store.spark
     if force:
-        return empty_keys(store.spark, key)
+        return empty_keys(spark, key)
+    path = shared_dir(spark, "skip")
     try:
-        return recent_keys(store.read("hs_products", [key, "updated_at"]), as_of, days, key)
-    except AnalysisException as error:
+        recent_keys(store.read("hs_products", [key, "updated_at"]), as_of, days, key).write.parquet(path)
+    except (PySparkException, Py4JError) as error:
         log.warning("no skip set from %s: %s", store.root, error)
-        return empty_keys(store.spark, key)
+        return empty_keys(spark, key)
+    return spark.read.schema(f"{key} string").parquet(path)
 
 
 def delta_anti_join(codes: DataFrame, skip: DataFrame, code: str = "hs_code", key: str = "hs10") -> DataFrame:

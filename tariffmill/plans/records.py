@@ -12,6 +12,8 @@ from tariffmill.plans.product import order_sections
 from tariffmill.schemas import RAW_SCHEMA
 
 MAIN_PAGE = "main"
+#: When a visit was made, as a time; only streams need it.
+VISIT_TIME = "visit_at"
 
 # One landed page: the main page of a visit, or the page of one section.
 LANDED_COLUMNS = ("hs_code", "scraped_at", "kind", "section_name", "order", "html", "error")
@@ -27,14 +29,26 @@ def landed_of_codes(pages: DataFrame, codes: DataFrame) -> DataFrame:
     return pages.join(codes.select("hs_code").distinct(), "hs_code", "left_semi")
 
 
+def visits(pages: DataFrame, late: str) -> DataFrame:
+    """A stream of landed pages with the time of their visit, for ``records_from_pages``.
+
+    A visit is kept as state until pages of visits later by more than ``late`` have come, whatever files and micro-batches
+    its own pages land in; then it becomes a record, its state goes, and pages of it that come still later are left out. A
+    page without a readable time is of no visit and is left out too.
+    """
+    at = F.try_to_timestamp("scraped_at")
+    return pages.withColumn(VISIT_TIME, at).where(F.col(VISIT_TIME).isNotNull()).withWatermark(VISIT_TIME, late)
+
+
 def records_from_pages(pages: DataFrame) -> DataFrame:
     """Raw records (``RAW_SCHEMA``) from landed pages (``LANDED_COLUMNS``), one per code and visit.
 
     Pages are turned into text before anything is shuffled, so HTML never is. A section met twice in a
     visit is reduced to its last page by an aggregate that Spark combines early; what is then put
-    together per visit are its distinct sections.
+    together per visit are its distinct sections. Pages of a stream come from ``visits``; both aggregates then keep their
+    groups as state.
     """
-    visit = ["hs_code", "scraped_at"]
+    visit = ["hs_code", "scraped_at"] + [VISIT_TIME] * (VISIT_TIME in pages.columns)
     parsed = with_tables(
         pages.select(*visit, "kind", "section_name", "order", "error", "html")
         .withColumn("text", H.html_to_text(F.col("html")))

@@ -46,6 +46,12 @@ RAW_SCHEMA = _struct(
     ("error", STR),
 )
 
+#: One landed page: the main page of a visit, or the page of one section.
+LANDED_SCHEMA = _struct(
+    ("hs_code", STR), ("scraped_at", STR), ("kind", STR), ("section_name", STR), ("order", T.IntegerType()), ("html", STR),
+    ("error", STR),
+)
+
 PAGE_SCHEMA = _struct(("page_id", T.LongType()), ("url", STR), ("html", STR))
 
 META_TYPE = _struct(("source", STR), ("scraped_at", STR), ("parser_version", STR), ("lang", STR))

@@ -19,6 +19,8 @@ def build_session(app_name: str = "tariffmill", **conf: str) -> SparkSession:
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         # whole pages go to the table reader, so batches are kept short
         "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+        # parsing a record costs far more than opening a file, so short files are split too
+        "spark.sql.files.openCostInBytes": "1m",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
     }
@@ -39,6 +41,36 @@ def shared_dir(spark: SparkSession, name: str, base: str | None = None) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _hadoop(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where, fs = _hadoop(spark, path)
+    return fs.exists(where)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    where, fs = _hadoop(spark, path)
+    fs.delete(where, True)
+
+
+def replace_folders(spark: SparkSession, source: str, target: str, like: str) -> None:
+    """Move the folders of ``source`` with this beginning to ``target``, in the place of those of the same name. Broken off,
+    it can be called again."""
+    where, fs = _hadoop(spark, source)
+    into, _ = _hadoop(spark, target)
+    fs.mkdirs(into)
+    for found in fs.listStatus(where):
+        name = found.getPath().getName()
+        if name.startswith(like):
+            kept = _hadoop(spark, f"{target}/{name}")[0]
+            fs.delete(kept, True)
+            if not fs.rename(found.getPath(), kept):
+                raise OSError(f"cannot move {name} to {target}")
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, once per application, for clusters where it is not installed."""
     context = spark.sparkContext

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tariffmill.functions.jsontext import spaced, spaced_json_text
 from tariffmill.functions.text import clean_label
 from tariffmill.patterns import DEFAULT_RULES, EXPORT_CLEAN_COLUMNS, Rules
+from tariffmill.session import remove_path
 from tariffmill.sources.store import TABLES, CatalogueStore
 
 BOM = "﻿"
@@ -38,10 +39,10 @@ def export_rows(df: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
 
 
 def sink_csv_export(df: DataFrame, path: str, rules: Rules = DEFAULT_RULES) -> bool:
-    """Write a table as semicolon CSV with header and byte order mark; an empty table writes nothing."""
-    if df.isEmpty():
-        return False
-    rows = export_rows(df, rules)
+    """Write a table as semicolon CSV with header and byte order mark; an empty table leaves no export. Rows are counted as
+    they are written, so the plan runs once."""
+    seen = Observation()
+    rows = export_rows(df, rules).observe(seen, F.count(F.lit(1)).alias("rows"))
     first = rows.columns[0]
     (
         rows.withColumnRenamed(first, BOM + first)
@@ -49,7 +50,9 @@ def sink_csv_export(df: DataFrame, path: str, rules: Rules = DEFAULT_RULES) -> b
         .options(sep=";", header=True, quote='"', escape='"', emptyValue="", nullValue="")
         .csv(path)
     )
-    return True
+    if not seen.get["rows"]:
+        remove_path(df.sparkSession, path)
+    return bool(seen.get["rows"])
 
 
 def export_catalogue(store: CatalogueStore, root: str, rules: Rules = DEFAULT_RULES) -> list[str]:

@@ -1,202 +1,148 @@
-"""Catalogue tables as versions in shared storage.
+"""Catalogue tables as Parquet folders, products by chapter, and one row per source that says which batches are loaded.
 
-Each batch writes only the rows it touched, under its own version, and becomes visible by one small append to the
-manifest. A batch is known by its source and its number there; the store itself counts versions. A batch that is lost
-half-way leaves no trace, and one that is run again changes nothing. ``compact`` folds versions and removes what a
-former fold replaced.
+A batch merges the chapters it touches and puts just these partitions in the place of the old ones. They are written under
+``pending`` first, and a batch counts once its mark stands there: lost before that, it leaves no trace; lost later, the next
+batch goes on with what is pending, which gives the same tables. One writer at a time.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
-from dataclasses import astuple, dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tariffmill import schemas as S
+from tariffmill.session import path_exists, remove_path, replace_folders
 
-MANIFEST_SCHEMA = "version bigint, table string, kind string, path string, source string, batch bigint, fold bigint"
-TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
-    "sections": (S.SECTIONS_SCHEMA, ("section_code",)),
-    "chapters": (S.CHAPTERS_SCHEMA, ("section_id", "chapter_code")),
-    "hs4_nodes": (S.HS4_SCHEMA, ("chapter_id", "hs4")),
-    "hs6_nodes": (S.HS6_SCHEMA, ("hs4_id", "hs6")),
-    "hs_products": (S.PRODUCTS_SCHEMA, ("hs10",)),
+PART = "part"
+#: Sections and chapters, 10,000 of two digits each at most, lie in a part of their own.
+TOP = "top"
+NODES = "nodes"
+NODES_SCHEMA = T.StructType([
+    T.StructField("level", S.STR), T.StructField("id", T.LongType()), T.StructField("parent_id", T.LongType()),
+    T.StructField("code", S.STR), T.StructField("label", S.STR), T.StructField("present", T.BooleanType()),
+    T.StructField("meta", S.META_TYPE), T.StructField("updated_at", T.TimestampNTZType()),
+])
+#: Hierarchy tables, all kept in one: names of their parent and code columns.
+LEVELS: dict[str, tuple[str | None, str]] = {
+    "sections": (None, "section_code"), "chapters": ("section_id", "chapter_code"),
+    "hs4_nodes": ("chapter_id", "hs4"), "hs6_nodes": ("hs4_id", "hs6"),
+}
+TABLES: dict[str, T.StructType] = {
+    "sections": S.SECTIONS_SCHEMA, "chapters": S.CHAPTERS_SCHEMA, "hs4_nodes": S.HS4_SCHEMA, "hs6_nodes": S.HS6_SCHEMA,
+    "hs_products": S.PRODUCTS_SCHEMA,
 }
 QUARANTINE_SCHEMA = T.StructType([
     T.StructField("hs10", S.STR), T.StructField("failure", S.STR), T.StructField("raw", S.STR),
 ])
 LOGS = {"audit_logs": S.AUDIT_SCHEMA, "quarantine": QUARANTINE_SCHEMA}
-#: Products lie in one directory per chapter, the first two digits of a checked code: 100 at most.
-PART = "part"
-PART_OF = {"hs_products": "hs10"}
-#: So many folds of batches make the next fold one of the whole table.
-FOLDS = 10
+_STORED = {NODES: NODES_SCHEMA, "hs_products": S.PRODUCTS_SCHEMA, **LOGS}
+_LOADED = "source string, first long, last long"
 
 
-@dataclass(frozen=True)
-class Entry:
-    """A file set of a table: a batch's rows (delta), folded batches (fold), a whole table (base), or one that a fold has
-    replaced and that the next one removes (old). ``batch`` entries only say that a source's batch was loaded."""
+def product_part(hs10: Column) -> Column:
+    """The chapter, first two digits of a checked code: 100 folders at most."""
+    return F.substring(hs10, 1, 2)
 
-    version: int
-    table: str
-    kind: str
-    path: str
-    source: str
-    batch: int
-    fold: int
+
+def node_part(code: Column) -> Column:
+    """HS4 and HS6 nodes are narrow and 1,010,000 at most per chapter label, so their first digit parts them."""
+    return F.substring(code, 1, 1)
 
 
 class CatalogueStore:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
-        self._entries: list[Entry] | None = None
-
-    @property
-    def _manifest(self) -> str:
-        return f"{self.root}/manifest"
-
-    def entries(self) -> list[Entry]:
-        """Committed entries, oldest first. Read once and kept until the next commit of this object; another
-        writer is seen by a new object. Folding keeps the manifest to a bounded number of rows per table and
-        source."""
-        if self._entries is None:
-            self._entries = self._read_manifest()
-        return self._entries
-
-    def _read_manifest(self) -> list[Entry]:
-        try:
-            manifest = self.spark.read.schema(MANIFEST_SCHEMA).parquet(f"{self._manifest}/*")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return []
-        found = [Entry(*row) for row in manifest.collect()]
-        # a fold's snapshot stands for all that was committed before it
-        last = max((e.fold for e in found if e.fold >= 0), default=-1)
-        live = [e for e in found if e.fold == last or (e.fold < 0 and e.version > last)] if last >= 0 else found
-        return sorted(live, key=astuple)
-
-    def last_version(self) -> int:
-        return max((e.version for e in self.entries()), default=-1)
+
+    def _path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def pending(self, name: str) -> str:
+        return self._path(f"pending/{name}")
+
+    def _rows(self, name: str, schema: T.StructType | str) -> DataFrame:
+        """A folder's rows; one that is not there is empty."""
+        if path_exists(self.spark, self._path(name)):
+            return self.spark.read.schema(schema).parquet(self._path(name))
+        return self.spark.createDataFrame([], schema)
+
+    def stored(self, name: str, parts: Sequence[str] | None = None) -> DataFrame:
+        """Rows of a stored table with their part; ``parts`` limits the folders that are read."""
+        rows = self._rows(name, T.StructType([*_STORED[name].fields, T.StructField(PART, S.STR)]))
+        return rows if parts is None else rows.where(F.col(PART).isin(list(parts)))
+
+    def read(self, table: str, columns: Sequence[str] | None = None, parts: Sequence[str] | None = None) -> DataFrame:
+        """A table of the catalogue, or a log; ``parts`` are chapters."""
+        if table in LOGS:
+            rows = self._rows(table, LOGS[table])
+        elif table in LEVELS:
+            parent, code = LEVELS[table]
+            top = [TOP] if table in ("sections", "chapters") else None if parts is None else {p[0] for p in parts}
+            rows = self.stored(NODES, top).where(F.col("level") == table)
+            rows = rows.withColumnsRenamed({"code": code, **({"parent_id": parent} if parent else {})})
+        else:
+            rows = self.stored(table, parts)
+        names = (TABLES.get(table) or LOGS[table]).fieldNames()
+        return rows.select(*(columns or names))
+
+    def insert(self, name: str, rows: DataFrame, by: Sequence[str] = (PART,)) -> None:
+        """Put whole partitions in the place of those of the same name; the others stay."""
+        out = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by)
+        out.parquet(self._path(name))
+
+    def prepare(self, name: str, rows: DataFrame) -> None:
+        """Write the whole new content of touched parts aside. Rows of a part come together, a large part in several
+        tasks, so a part that fits a task is one file."""
+        rows.hint("rebalance", PART).write.mode("overwrite").partitionBy(PART).parquet(self.pending(name))
+
+    def set_aside(self, name: str, rows: DataFrame) -> None:
+        """Write a batch's rows of a log aside."""
+        rows.write.mode("overwrite").parquet(self.pending(name))
+
+    def _one_row(self, **values: str | int) -> DataFrame:
+        columns = [F.lit(v).cast("string" if isinstance(v, str) else "long").alias(k) for k, v in values.items()]
+        return self.spark.range(1).coalesce(1).select(*columns)
+
+    def _mark(self) -> tuple[str, int] | None:
+        if not path_exists(self.spark, self.pending("mark/_SUCCESS")):
+            return None
+        return tuple(self.spark.read.schema("source string, batch long").parquet(self.pending("mark")).first())
+
+    def commit(self, source: str, batch: int) -> None:
+        """Let what was prepared count, and put it back."""
+        self._one_row(source=source, batch=batch).write.mode("overwrite").parquet(self.pending("mark"))
+        self.recover()
+
+    def recover(self) -> None:
+        """Finish a batch that was lost after its mark, and clear one that was lost before."""
+        mark = self._mark()
+        if mark:
+            source, batch = mark
+            for name in (NODES, "hs_products"):
+                replace_folders(self.spark, self.pending(name), self._path(name), f"{PART}=")
+            for name in LOGS:
+                if path_exists(self.spark, self.pending(name)):
+                    rows = self.spark.read.schema(LOGS[name]).parquet(self.pending(name))
+                    marked = rows.withColumns({"source": F.lit(source), "batch": F.lit(batch)})
+                    self.insert(name, marked, ["source", "batch"])
+            first, last = self._batches(source) or (batch, batch)
+            self.insert("loaded", self._one_row(source=source, first=min(first, batch), last=max(last, batch)), ["source"])
+        remove_path(self.spark, self._path("pending"))
+
+    def _batches(self, source: str) -> tuple[int, int] | None:
+        """First and last loaded batch of a source."""
+        row = self._rows("loaded", _LOADED).where(F.col("source") == source).select("first", "last").first()
+        return tuple(row) if row else None
 
     def has(self, source: str, batch: int) -> bool:
         """True if this batch of this source is loaded. A source's batches come one after the other, from any first
         number on; one before the first, or beyond the next, raises, so that none is ever left out unseen."""
-        known = [e.batch for e in self.entries() if e.kind == "batch" and e.source == source]
-        if not known or batch == max(known) + 1:
+        known = self._batches(source)
+        if not known or batch == known[1] + 1:
             return False
-        if min(known) <= batch <= max(known):
+        if known[0] <= batch <= known[1]:
             return True
-        raise ValueError(f"batch {batch} of {source} does not follow batches {min(known)} to {max(known)}")
-
-    def fresh_path(self, table: str, version: int, kind: str = "delta") -> str:
-        """A path that no other writer uses, so a lost or parallel run never touches committed files."""
-        return f"{self.root}/{table}/entry={kind}-{version:012d}-{uuid.uuid4().hex[:12]}"
-
-    def write(self, table: str, df: DataFrame, version: int, kind: str = "delta") -> Entry:
-        """Write the rows of one version; not visible to readers before ``commit``."""
-        path = self.fresh_path(table, version, kind)
-        if kind == "delta":
-            df = df.withColumn("_version", F.lit(version).cast("bigint"))
-        if table in PART_OF:
-            df.withColumn(PART, F.substring(PART_OF[table], 1, 2)).write.partitionBy(PART).parquet(path)
-        else:
-            df.write.parquet(path)
-        return Entry(version, table, kind, path, "", -1, -1)
-
-    def commit(self, version: int, written: Sequence[Entry], source: str, batch: int) -> None:
-        """Make the written tables of a batch visible, all at once. Raises if another writer took the version."""
-        self._entries = None
-        if version != self.last_version() + 1:
-            raise RuntimeError(f"version {version} was taken by another writer; run the batch again")
-        self._append(version, [*written, Entry(version, "", "batch", "", source, batch, -1)])
-
-    def _append(self, version: int, rows: Sequence[Entry], kind: str = "commit") -> None:
-        path = f"{self._manifest}/{kind}-{version:012d}"
-        # a second writer of the same version fails here
-        self.spark.createDataFrame([astuple(r) for r in rows], MANIFEST_SCHEMA).coalesce(1).write.mode("error").parquet(path)
-        self._entries = None
-
-    def _live(self, table: str) -> list[Entry]:
-        return [e for e in self.entries() if e.table == table and e.kind in ("delta", "fold", "base")]
-
-    def read(
-        self, table: str, columns: Sequence[str] | None = None, parts: Sequence[str] | None = None, only: DataFrame | None = None
-    ) -> DataFrame:
-        """Current rows of a table: the newest version of each key.
-
-        Versions are compared on the keys alone; ``parts`` (of a table in parts) limits the directories that are read, and
-        ``only`` the keys that are compared.
-        """
-        columns = list(columns or self._schema(table).fieldNames())
-        return self._newest(table, [e.path for e in self._live(table)], parts, only).select(*columns)
-
-    def _schema(self, table: str) -> T.StructType:
-        return TABLES[table][0] if table in TABLES else LOGS[table]
-
-    def _newest(self, table: str, paths: list[str], parts=None, only: DataFrame | None = None) -> DataFrame:
-        schema, keys = self._schema(table), TABLES[table][1] if table in TABLES else ()
-        stored = T.StructType([*schema.fields, T.StructField("_version", T.LongType())])
-        if not paths:
-            return self.spark.createDataFrame([], stored)
-        if table in PART_OF:
-            stored = T.StructType([*stored.fields, T.StructField(PART, T.StringType())])
-        rows = self.spark.read.schema(stored).option("basePath", f"{self.root}/{table}").parquet(*paths).drop("entry")
-        if parts is not None and table in PART_OF:
-            rows = rows.where(F.col(PART).isin(list(parts)))
-        if only is not None:
-            rows = rows.join(only, list(keys), "left_semi")
-        if not keys or len(paths) == 1:
-            return rows
-        newest = rows.groupBy(*keys).agg(F.max("_version").alias("_version"))
-        return rows.join(newest, [*keys, "_version"], "left_semi")
-
-    def compact(self) -> None:
-        """Fold what was written since the last fold into one file set per table, and every ``FOLDS`` folds the whole
-        table. Files that the fold before this one replaced are removed, so a reader has the time between two folds.
-        The manifest becomes one snapshot."""
-        version = self.last_version()
-        kept: list[Entry] = []
-        removed = [e.path for e in self.entries() if e.kind == "old"]
-        for table in [*TABLES, *LOGS]:
-            live = self._live(table)
-            folds = [e for e in live if e.kind == "fold"]
-            whole = len(folds) >= FOLDS or not any(e.kind == "base" for e in live)
-            chosen = live if whole else [e for e in live if e.kind == "delta"]
-            if len(chosen) > 1:
-                made = self._newest(table, [e.path for e in chosen]).drop(PART)
-                kept.append(self.write(table, made, version, "base" if whole else "fold"))
-                kept += [Entry(e.version, table, "old", e.path, "", -1, -1) for e in chosen]
-                kept += [e for e in live if e not in chosen]
-            else:
-                kept += live
-        batches: dict[str, list[Entry]] = {}
-        for e in self.entries():
-            if e.kind == "batch":
-                batches.setdefault(e.source, []).append(e)
-        # the first and the last batch of a source say which are loaded
-        ends = {edge(own, key=lambda e: e.batch) for own in batches.values() for edge in (min, max)}
-        snapshot = [Entry(e.version, e.table, e.kind, e.path, e.source, e.batch, version) for e in [*kept, *ends]]
-        old_manifests = self._list(self._manifest)
-        self._append(version, snapshot, f"fold-{uuid.uuid4().hex[:8]}")
-        for path in [*removed, *old_manifests]:
-            self.remove(path)
-
-    def _list(self, path: str) -> list[str]:
-        where, fs = self._hadoop(path)
-        return [s.getPath().toString() for s in fs.listStatus(where)] if fs.exists(where) else []
-
-    def remove(self, path: str) -> None:
-        where, fs = self._hadoop(path)
-        fs.delete(where, True)
-
-    def _hadoop(self, path: str):
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return where, where.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        raise ValueError(f"batch {batch} of {source} does not follow batches {known[0]} to {known[1]}")

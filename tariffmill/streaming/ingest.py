@@ -9,9 +9,11 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tariffmill.operators.delta import delta_anti_join, keys_to_skip
 from tariffmill.patterns import DEFAULT_RULES, Rules
-from tariffmill.plans.sync import sync_batch
-from tariffmill.schemas import RAW_SCHEMA
+from tariffmill.plans.records import records_from_pages, visits
+from tariffmill.plans.sync import LoadCounts, sync_batch
+from tariffmill.schemas import LANDED_SCHEMA, RAW_SCHEMA
 from tariffmill.sources.store import CatalogueStore
 
 
@@ -24,6 +26,17 @@ def read_landing(spark: SparkSession, landing: str, max_files: int = 100) -> Dat
     return spark.readStream.schema(RAW_SCHEMA).option("maxFilesPerTrigger", max_files).json(landing)
 
 
+def read_landed_pages(spark: SparkSession, landing: str, max_files: int = 100) -> DataFrame:
+    """New files of landed pages, one JSON page per line, oldest first."""
+    return spark.readStream.schema(LANDED_SCHEMA).option("maxFilesPerTrigger", max_files).json(landing)
+
+
+def stream_records(pages: DataFrame, late: str = "1 hour") -> DataFrame:
+    """A stream of landed pages as a stream of raw records, one per visit, whose pages may come in any files, more than once
+    and late by so much. Its output mode is append."""
+    return records_from_pages(visits(pages, late))
+
+
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
     """The id Spark gave the stream when its checkpoint was made; it stays over restarts."""
     return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
@@ -35,23 +48,32 @@ def stream_ingest(
     checkpoint: str,
     rules: Rules = DEFAULT_RULES,
     clock: Callable[[], datetime] = utc_now,
-    compact_every: int = 50,
+    skip_days: int | None = None,
+    on_load: Callable[[LoadCounts], None] | None = None,
 ) -> StreamingQuery:
     """Merge a stream of raw records into the store under ``root``; ends when all landed files are done.
 
     A batch is known by the stream's id, which its checkpoint holds, and its number there. After a crash the stream
     runs its last batch again, which then is found loaded or is loaded anew; another landing folder, or a new
-    checkpoint, is another source and adds to the store. After every ``compact_every`` batches the store is folded.
+    checkpoint, is another source and adds to the store.
+
+    With ``skip_days`` codes that the store holds as refreshed in so many days are left out of a batch before anything of them
+    is parsed; the skip set is the store's at the start of each batch, so it also holds what was loaded before a crash, and
+    by other streams. ``on_load`` is told what each loaded batch has seen.
     """
-    stores: list[CatalogueStore] = []
+    sources: list[str] = []
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        if not stores:
-            stores.append(CatalogueStore(batch.sparkSession, root))
-        store = stores[0]
-        if sync_batch(batch, store, stream_id(batch.sparkSession, checkpoint), batch_id, clock(), rules):
-            if (store.last_version() + 1) % compact_every == 0:
-                store.compact()
+        spark = batch.sparkSession
+        if not sources:
+            sources.append(stream_id(spark, checkpoint))
+        store, now = CatalogueStore(spark, root), clock()
+        if skip_days is not None:
+            store.recover()
+            batch = delta_anti_join(batch, keys_to_skip(store, now, skip_days))
+        counts = sync_batch(batch, store, sources[0], batch_id, now, rules)
+        if counts and on_load:
+            on_load(counts)
 
     return (
         raw.writeStream.foreachBatch(load)

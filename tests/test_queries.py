@@ -9,7 +9,9 @@ from bindings.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 READS_TABLES = {"extract_tables", "records_from_pages"}
-SLOW = {"stream_ingest", "stream_resume", "stream_equals_batch", "run_pipeline"}
+SLOW = {
+    "stream_ingest", "stream_resume", "stream_equals_batch", "run_pipeline", "stream_visits", "stream_skips_loaded", "load_counts",
+}
 
 
 @pytest.fixture(scope="module")
@@ -40,7 +42,7 @@ def test_query(spark, con, name):
     assert ("Python" in text or "InPandas" in text) == (name in READS_TABLES)
 
 
-@pytest.mark.parametrize("name", ["stream_resume", "run_pipeline"])
+@pytest.mark.parametrize("name", ["stream_resume", "run_pipeline", "stream_visits", "stream_skips_loaded", "load_counts"])
 def test_slow_query(spark, con, name):
     outcome, _ = compare.compare(spark, con, name, queries()[name], oracle_sql()[name], SF)
     assert outcome.startswith("ok "), outcome

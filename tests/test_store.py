@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tariffmill import patterns as P
 from tariffmill.plans.sync import sync_batch
 from tariffmill.schemas import RAW_SCHEMA
+from tariffmill.sources import store as store_module
 from tariffmill.sources.readers import src_raw_json
 from tariffmill.sources.store import TABLES, CatalogueStore
 from tariffmill.streaming.ingest import read_landing, stream_ingest
@@ -105,7 +106,7 @@ def test_sync(spark, tmp_path):
     assert natural(CatalogueStore(spark, store.root)) == before
     sync_batch(second, store, "tests", 2, T3)  # the same records again change no hash and no time
     assert natural(store) == before
-    store.compact()
+    store.recover()  # nothing is pending
     assert natural(CatalogueStore(spark, store.root)) == before
 
 
@@ -124,6 +125,23 @@ def test_lost_batch_leaves_no_trace(spark, tmp_path, monkeypatch):
     assert [(r[0], r[3]) for r in again] == [("0101210000", T2), ("0201100000", T2)]
 
 
+def test_batch_lost_after_its_mark_is_finished(spark, tmp_path, monkeypatch):
+    """Lost with its nodes put back and its products not: the next batch of any source finishes it first."""
+    store = CatalogueStore(spark, str(tmp_path / "cat"))
+    sync_batch(raw(spark, record("0101210000"), record("0102210000")), store, "tests", 0, T1)
+    batch = raw(spark, record("0101210000", rate="9 %"), record("0201100000", chap="02 - V"), record("12"))
+    move = store_module.replace_folders
+    with monkeypatch.context() as patch:
+        patch.setattr(store_module, "replace_folders", lambda spark, source, *a: (_ for _ in ()).throw(OSError("lost")) if "hs_products" in source else move(spark, source, *a))
+        with pytest.raises(OSError, match="lost"):
+            sync_batch(batch, store, "tests", 1, T2)
+    again = CatalogueStore(spark, store.root)
+    assert sync_batch(batch, again, "tests", 1, T3) is None
+    assert [(r[0], r[3]) for r in natural(again)["hs_products"]] == [("0101210000", T2), ("0102210000", T1), ("0201100000", T2)]
+    assert again.read("audit_logs").count() == 5 and again.read("quarantine").count() == 1
+    assert not os.path.exists(f"{store.root}/pending")
+
+
 def test_same_key_twice_in_a_batch(spark, tmp_path):
     store = CatalogueStore(spark, str(tmp_path / "cat"))
     sync_batch(raw(spark, record("0101210000")), store, "tests", 0, T1)
@@ -146,7 +164,7 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
 
     def run():
         stream_ingest(
-            read_landing(spark, str(landing), max_files=1), root, str(tmp_path / "checkpoint"), clock=lambda: T1, compact_every=2
+            read_landing(spark, str(landing), max_files=1), root, str(tmp_path / "checkpoint"), clock=lambda: T1
         ).awaitTermination()
 
     for part in parts[:2]:
@@ -167,23 +185,36 @@ def test_batches_are_known_by_source(spark, tmp_path):
     assert not sync_batch(raw(spark, record("0909090909")), store, "b", 0, T2)
     with pytest.raises(ValueError, match="does not follow"):
         sync_batch(raw(spark, record("0909090909")), store, "a", 5, T2)
-    store.compact()
     again = CatalogueStore(spark, store.root)
     assert again.has("a", 0) and again.has("b", 0) and not again.has("c", 0) and not again.has("a", 1)
 
 
-def test_replays_do_not_grow_the_store(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("tariffmill.sources.store.FOLDS", 1)  # every third fold is one of whole tables
+def files_of(store, *without):
+    return [f"{d}/{f}" for d, _, names in os.walk(store.root) for f in names if f.startswith("part-") and not any(w in d for w in without)]
+
+
+def test_replays_do_not_grow_the_store(spark, tmp_path):
     store = CatalogueStore(spark, str(tmp_path / "cat"))
-    batch = raw(spark, record("0101210000"))
+    batch = raw(spark, record("0101210000"), record("0201100000", chap="02 - V"))
     sizes = []
-    for i in range(7):
+    for i in range(5):
         sync_batch(batch, store, "a", i, T1)
-        store.compact()
-        files = [f for d, _, names in os.walk(store.root) if "audit_logs" not in d for f in names if f.startswith("part-")]
-        sizes.append(len(files))
-    assert sizes[6] <= sizes[3]
-    assert not os.listdir(f"{store.root}/staging")
+        sizes.append(len(files_of(store, "audit_logs")))
+    # one file per chapter of products, one of nodes by first digit, one of sections and chapters, one of loaded batches
+    assert sizes == [5] * 5
+    assert not os.path.exists(f"{store.root}/pending")
+
+
+def test_a_batch_writes_its_own_chapters(spark, tmp_path):
+    store = CatalogueStore(spark, str(tmp_path / "cat"))
+    sync_batch(raw(spark, *[record(f"{c:02d}01210000", chap=f"{c:02d} - C") for c in range(1, 9)]), store, "a", 0, T1)
+    before = set(files_of(store, "audit_logs", "loaded", "nodes"))
+    assert len(before) == 8
+    counts = sync_batch(raw(spark, record("0301210000", chap="03 - C", rate="9 %"), record("9901210000", chap="99 - C"), record("1")), store, "a", 1, T2)
+    assert (counts.processed, counts.quarantined, counts.warned) == (3, 1, 0)
+    after = set(files_of(store, "audit_logs", "loaded", "nodes", "quarantine"))
+    assert {f.split("part=")[1][:2] for f in before ^ after} == {"03", "99"} and len(after) == 9
+    assert store.read("hs6_nodes", ["hs6"]).count() == 9
 
 
 def test_a_batch_reads_its_own_chapters(spark, tmp_path):
@@ -192,3 +223,83 @@ def test_a_batch_reads_its_own_chapters(spark, tmp_path):
     plan = store.read("hs_products", ["hs10"], ["02"])._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "part" in plan.split("PartitionFilters")[1][:80]
     assert [r["hs10"] for r in store.read("hs_products", ["hs10"], ["02"]).collect()] == ["0201100000"]
+
+
+def test_restart_parses_no_loaded_code(spark, tmp_path):
+    """After a crash, here one that also lost the checkpoint, records of loaded codes are left out before parsing."""
+    landing, root, seen = tmp_path / "landing", str(tmp_path / "cat"), []
+
+    def run(checkpoint, clock):
+        stream_ingest(
+            read_landing(spark, str(landing), max_files=1), root, str(tmp_path / checkpoint), clock=lambda: clock, skip_days=25, on_load=seen.append
+        ).awaitTermination()
+
+    write(landing, record("0101210000"), record("0201100000", chap="02 - V"), record("77"))
+    run("one", T1)
+    write(landing, record("0101210000", at="2026-01-05", rate="9 %"), record("0301110000", chap="03 - P"))
+    run("two", T1)
+    # the first file again: only the record that failed; the second file: the code that is not loaded
+    assert [(c.processed, c.quarantined) for c in seen] == [(3, 1), (1, 1), (1, 0)]
+    assert {r[0]: r[3] for r in natural(CatalogueStore(spark, root))["hs_products"]} == dict.fromkeys(["0101210000", "0201100000", "0301110000"], T1)
+    run("three", datetime(2026, 3, 1))  # by then all are due again
+    assert sum(c.processed for c in seen[3:]) == 5
+
+
+def test_unreadable_store_starts_afresh(spark, tmp_path):
+    from tariffmill.operators.delta import keys_to_skip
+
+    store = CatalogueStore(spark, str(tmp_path / "cat"))
+    sync_batch(raw(spark, record("0101210000")), store, "a", 0, T1)
+    assert [r[0] for r in keys_to_skip(store, T1).collect()] == ["0101210000"]
+    (broken,) = [f for f in files_of(store) if "hs_products" in f]
+    with open(broken, "r+b") as f:
+        f.truncate(20)
+    for crc in (tmp_path / "cat").rglob("*.crc"):
+        crc.unlink()
+    assert keys_to_skip(store, T1).collect() == []
+
+
+def page(code, at, section, text, order=0, error=None):
+    html = None if text is None else f"<p>{text}</p>"
+    return {"hs_code": code, "scraped_at": at, "kind": "section" if section else "main", "section_name": section, "order": order, "html": html, "error": error}
+
+
+def test_visits_over_files(spark, tmp_path):
+    """Pages of a visit in several files, late and repeated, give the batch's record; its state goes when it is closed."""
+    from tariffmill.plans.records import records_from_pages
+    from tariffmill.schemas import LANDED_SCHEMA
+    from tariffmill.streaming.ingest import read_landed_pages, stream_records
+
+    a, b, c = "2026-01-01T10:00:00", "2026-01-01T10:30:00", "2026-01-01T12:00:00"
+    files = [
+        [page("1", a, None, "main"), page("1", a, "S1", "old", 0), page("2", b, None, None, error="timed out")],
+        [page("1", a, "S2", "two", 1), page("3", c, None, "other")],
+        [page("1", a, "S1", "new", 2), page("1", a, "S2", "two", 1), page("1", None, "S3", "no time")],
+        [page("4", "2026-01-02T00:00:00", None, "closes the others")],
+        [page("1", a, "S9", "too late"), page("5", "2026-01-03T00:00:00", None, "closes the one before")],
+    ]
+    landing, out = tmp_path / "landing", tmp_path / "out"
+
+    def run():
+        stream = stream_records(read_landed_pages(spark, str(landing), 1), late="3 hours").writeStream.format("parquet")
+        query = stream.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start(str(out))
+        query.awaitTermination()
+        states = [p["stateOperators"] for p in query.recentProgress if p["stateOperators"]]
+        return states[-1][-1]["numRowsTotal"], sum(s["numRowsDroppedByWatermark"] for ops in states for s in ops)
+
+    def rows(df):
+        return sorted(json.dumps(r.asDict(recursive=True), sort_keys=True) for r in df.collect())
+
+    for rows_ in files[:3]:
+        write(landing, *rows_)
+    run()
+    write(landing, *files[3])
+    run()
+    write(landing, *files[4])
+    left, dropped = run()
+    whole = spark.createDataFrame([json.dumps(p) for f in files[:3] for p in f if p["scraped_at"]], "string")
+    whole = whole.select(F.from_json("value", LANDED_SCHEMA).alias("p")).select("p.*")
+    got = spark.read.schema(RAW_SCHEMA).parquet(str(out))
+    assert rows(got.where("hs_code < '4'")) == rows(records_from_pages(whole))
+    assert got.where("hs_code = '4'").count() == 1 and got.where("hs_code = '5'").count() == 0
+    assert left <= 2 and dropped >= 1

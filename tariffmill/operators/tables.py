@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -9,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tariffmill.functions.markup import one_pass
 from tariffmill.schemas import TABLE_TYPE
 
 _TABLE_TAG = "(?i)<table"
@@ -25,6 +27,7 @@ class _TableReader(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.tables: list[list[list[tuple[str, list[str]]]]] = []
         self.open: list[str] = []
+        self.counts: Counter[str] = Counter()
         # What an open tag of a kind adds to, innermost last.
         self.held: dict[str, list[list]] = {"table": [], "tr": [], "td": [], "th": []}
         self.hidden = 0
@@ -33,6 +36,7 @@ class _TableReader(HTMLParser):
         if tag in _VOID:
             return
         self.open.append(tag)
+        self.counts[tag] += 1
         self.hidden += tag in _HIDDEN
         if tag not in self.held:
             return
@@ -47,10 +51,11 @@ class _TableReader(HTMLParser):
         self.held[tag].append(added)
 
     def handle_endtag(self, tag):
-        if tag not in self.open:
+        if not self.counts[tag]:
             return
         while True:
             closed = self.open.pop()
+            self.counts[closed] -= 1
             self.hidden -= closed in _HIDDEN
             if closed in self.held:
                 self.held[closed].pop()
@@ -98,7 +103,7 @@ def read_tables(page: str | None) -> list[tuple[list[str], list[dict], list[dict
     if not page:
         return []
     reader = _TableReader()
-    reader.feed(page)
+    reader.feed(one_pass(page))
     reader.close()
     return [found for found in map(_read_table, reader.tables) if found]
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -10,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tariffmill.functions.markup import one_pass
 from tariffmill.llm.common import map_batches
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -20,6 +22,9 @@ BLOCKS = frozenset(
 )
 #: Elements whose text is never main text, wherever they stand.
 SILENT = frozenset("script style noscript template head title iframe object svg canvas audio video math select textarea button".split())
+#: Silent elements that are often left open.
+SOFT = frozenset("iframe object canvas audio video select button".split())
+_SOFT_START, _SOFT_END = (re.compile(rf"(?i)<{slash}({'|'.join(sorted(SOFT))})(?=[\s/>])") for slash in ("", "/"))
 ASIDE = frozenset("nav footer aside form menu dialog header".split())
 LANDMARK = frozenset(("article", "main"))
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
@@ -45,12 +50,29 @@ class LineParser(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, bool, bool]] = []  # tag, set aside, landmark
+        self.counts: Counter[str] = Counter()  # of open tags
+        self.blocks: list[int] = []  # where open blocks stand in ``open``
+        self.inline: list[Counter[str]] = [Counter()]  # open tags that are no blocks, within each open block
+        self.sought: dict[str, int] = {}  # blocks in which an element to be ended by a start tag was sought in vain
+        self.unended: frozenset[str] = frozenset()
+        self.muted = False
         self.beside = self.landmarks = self.headings = self.silent = self.met = 0
         self.lines: list[tuple[str, int, int, bool, int, bool]] = []  # text, tags, characters in links, beside, landmark or 0, heading
         self.parts: list[str] = []
         self.tags = self.linked = self.in_link = 0
 
+    def read(self, page: str) -> list[tuple[str, int, int, bool, int, bool]]:
+        """The lines of a whole page. A silent element that lacks end tags somewhere on the page is silent up to the next
+        block only, as it would take all that follows for its own."""
+        starts, ends = (Counter(m[1].lower() for m in re.finditer(p, page)) for p in (_SOFT_START, _SOFT_END))
+        self.unended = frozenset(tag for tag in SOFT if starts[tag] > ends[tag])
+        self.feed(one_pass(page))
+        self.close()
+        self.flush()
+        return self.lines
+
     def flush(self) -> None:
+        self.muted = False
         text = SPACE.sub(" ", "".join(self.parts)).strip()
         if text:
             self.lines.append((text, self.tags, self.linked, self.beside > 0, self.met if self.landmarks else 0, self.headings > 0))
@@ -66,6 +88,9 @@ class LineParser(HTMLParser):
             self.parts.append(" ")
         if tag in VOID:
             return
+        if tag in self.unended:
+            self.muted = True
+            return
         marks = " ".join(v for k, v in attrs if v and k in ("class", "id", "role", "aria-label"))
         hidden = any(k == "hidden" or (k == "aria-hidden" and v == "true") or (k == "style" and v and "display:none" in v.replace(" ", "")) for k, v in attrs)
         landmark = tag in LANDMARK or "role" in dict(attrs) and dict(attrs)["role"] in ("main", "article")
@@ -73,6 +98,12 @@ class LineParser(HTMLParser):
         beside = tag in SILENT or hidden or (tag in ASIDE and not in_heading)
         if not beside and marks and not landmark and tag not in ("body", "html") and MARKED.search(marks) and not in_heading:
             beside = not BODY_MARK.search(marks)
+        if tag in BLOCKS:
+            self.blocks.append(len(self.open))
+            self.inline.append(Counter())
+        else:
+            self.inline[-1][tag] += 1
+        self.counts[tag] += 1
         # an article within a part set aside, such as one comment, is not main text
         self.open.append((tag, beside, landmark))
         self.beside += beside
@@ -91,16 +122,14 @@ class LineParser(HTMLParser):
         self.tags += 1
         if tag in BLOCKS:
             self.flush()
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                self._pop(i)
-                break
-            # an end tag out of place does not reach beyond its block, unless it is a block's own
-            if tag not in BLOCKS and self.open[i][0] in BLOCKS:
-                break
+        if tag in self.unended:
+            self.muted = False
+        # an end tag out of place does not reach beyond its block, unless it is a block's own
+        if self.counts[tag] if tag in BLOCKS else self.inline[-1][tag]:
+            self._pop(next(i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] == tag))
 
     def handle_data(self, data):
-        if self.silent:
+        if self.silent or self.muted:
             return
         self.parts.append(data)
         if self.in_link:
@@ -108,7 +137,16 @@ class LineParser(HTMLParser):
 
     def _pop(self, at: int) -> None:
         self.flush() if any(t in BLOCKS for t, _, _ in self.open[at:]) else None
-        for tag, beside, landmark in self.open[at:]:
+        first = len(self.open)  # the outermost block that is closed
+        while self.blocks and self.blocks[-1] >= at:
+            first = self.blocks[-1]
+            self.blocks.pop()
+            self.inline.pop()
+        self.sought = {tag: min(n, len(self.blocks)) for tag, n in self.sought.items()}
+        for i, (tag, beside, landmark) in enumerate(self.open[at:], at):
+            self.counts[tag] -= 1
+            # the counts within a closed block went with it
+            self.inline[-1][tag] -= i < first
             self.beside -= beside
             self.landmarks -= landmark
             self.headings -= tag in HEADINGS
@@ -119,18 +157,16 @@ class LineParser(HTMLParser):
     def _close_implied(self, tag: str) -> None:
         """End tags that HTML lets authors leave out."""
         limits = ENDS_SAME.get(tag)
-        for i in range(len(self.open) - 1, -1, -1):
-            name = self.open[i][0]
+        # blocks looked through before need no second look while they are open
+        for n in range(len(self.blocks) - 1, self.sought.get(tag, 0) - 1 if limits else -1, -1):
+            name = self.open[self.blocks[n]][0]
             if name == "p" or (limits and name == tag):
-                self._pop(i)
-                return
-            if name in BLOCKS and not (limits and name not in limits):
+                self._pop(self.blocks[n])
                 return
-
-    def done(self) -> list[tuple[str, int, int, bool, int, bool]]:
-        self.close()
-        self.flush()
-        return self.lines
+            if not limits or name in limits:
+                break
+        if limits:
+            self.sought[tag] = len(self.blocks)
 
 
 def smoothed(values: np.ndarray, radius: int = 2) -> np.ndarray:
@@ -196,9 +232,7 @@ def main_text(html: str | None) -> str:
     """The main text of one page; null, empty and text-free pages give an empty string."""
     if not html:
         return ""
-    parser = LineParser()
-    parser.feed(html)
-    lines = parser.done()
+    lines = LineParser().read(html)
     return "\n".join(t[0] for t, keep in zip(lines, content_lines(lines), strict=True) if keep)
 
 

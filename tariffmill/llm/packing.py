@@ -163,10 +163,12 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return bins, offsets, np.asarray(fills, np.int64)
 
 
-def _pack_group(capacity: int, last: bool, full: float):
-    """Pack one group; bins that are settled are numbered, the documents of the others go back with no bin.
+def _pack_group(capacity: int):
+    """Pack one group and say which of its bins are settled.
 
-    A group that meets its bound is settled but for its open bins, which another group's documents may fill.
+    A group that meets its bound is certified: no packing of it has fewer bins. All of them are settled but for the emptiest,
+    whose room may serve other groups' documents. A group with a gap opens its emptiest bins, as many as have, all together,
+    the room of the bins it has too many: with less room none of these can be saved.
     """
     import pandas as pd
 
@@ -174,56 +176,68 @@ def _pack_group(capacity: int, last: bool, full: float):
         pdf = pdf.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], ignore_index=True)
         lengths = pdf["length"].to_numpy(np.int64)
         bins, offsets, fills = best_fit_decreasing(lengths, capacity)
-        bound = lower_bound(np.bincount(lengths, minlength=capacity + 1), capacity)
-        settled = fills >= full * capacity
-        if last:
-            settled[:] = True
-        done = settled[bins]
-        pdf["bin"] = np.where(done, bins, -1)
-        pdf["offset"] = np.where(done, offsets, -1)
-        pdf["over_bound"] = len(fills) - bound
-        return pdf
+        gap = len(fills) - lower_bound(np.bincount(lengths, minlength=capacity + 1), capacity)
+        emptiest = np.argsort(fills, kind="stable")
+        room = np.cumsum(capacity - fills[emptiest])
+        opened = 1 + int(np.searchsorted(room, gap * capacity)) if gap else 1
+        settled = np.ones(len(fills), bool)
+        settled[emptiest[:opened]] = fills[emptiest[:opened]] == capacity
+        return pdf.assign(bin=bins, offset=offsets, over_bound=gap, settled=settled[bins])
 
     return run
 
 
-def pack(
-    pieces: DataFrame, capacity: int = 1024, group_rows: int = 20_000, rounds: int = 6, full: float = 1.0
-) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 1024, group_rows: int = 20_000) -> DataFrame:
     """Give each piece ``(doc_id, piece, length, ...)`` a sequence and an offset, in as few sequences as can be.
 
     Pieces that fill a sequence alone take one each. The rest is dealt to groups of about ``group_rows`` and packed best
-    fit decreasing; a dual-feasible bound certifies each group's number of bins. Bins that are not full are opened again,
-    and their documents are exchanged between groups, of which there are fewer each round, until one group is left or
-    every group meets its bound with only its last bin open; that round keeps all bins. Rows keep their other columns and get ``sequence_id``,
-    ``offset`` and ``over_bound`` (bins of its group beyond the bound, an upper limit of what was lost there).
+    fit decreasing; a dual-feasible bound certifies each group's number of bins. Certified groups are settled but for one
+    bin each; groups with a gap open their emptiest bins. What is not settled is exchanged: dealt anew to fewer groups,
+    and packed again. This ends with a single group, or when a round does not lower the number of bins that its pieces had
+    before it; then these keep the bins they had. Rows keep their other columns and get ``sequence_id``, ``offset`` and
+    ``over_bound`` (bins of its group beyond the bound, an upper limit of what was lost there).
     Equal rows are packed one by one; an empty input gives an empty result. Lengths must be 1 to ``capacity``.
     """
-    base = [c for c in pieces.columns if c not in ("bin", "offset", "over_bound", "sequence_id", "g")]
+    base = [c for c in pieces.columns if c not in ("bin", "offset", "over_bound", "sequence_id", "settled", "g")]
     pieces = pieces.select(*base)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    packed_schema = f"{schema}, g long, bin long, offset long, over_bound long"
+    packed_schema = f"{schema}, g long, bin long, offset long, over_bound long, settled boolean"
     # a number for each full piece, without a shuffle: the row number Spark gives within the partition
     done = [
         pieces.where(F.col("length") == capacity).select(
             *base, F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(0).cast("long").alias("over_bound")
         )
     ]
-    left = pieces.where(F.col("length") < capacity)
-    for step in range(rounds):
-        n = left.count()
+
+    def numbered(rows: DataFrame, step: int) -> DataFrame:
+        # ids of rounds are kept apart below zero: round, group, bin
+        place = -(((F.lit(step).cast("long") * (1 << 30) + F.col("g")) * (1 << 29)) + F.col("bin") + 1)
+        return rows.select(*base, place.alias("sequence_id"), "offset", "over_bound")
+
+    left, n, step = pieces.where(F.col("length") < capacity), None, 0
+    kept: DataFrame | None = None  # the pieces that are left, with the bins they had
+    bins_before = 0
+    while True:
+        n = left.count() if n is None else n
         if not n:
             break
         groups = max(1, round(n / group_rows))
-        last = groups == 1 or step == rounds - 1
         dealt = left.withColumn("g", F.pmod(F.xxhash64(F.lit(step), "doc_id", "piece"), F.lit(groups)))
-        tried = keep(dealt.groupBy("g").applyInPandas(_pack_group(capacity, last, full), packed_schema), "bins")
-        # ids of rounds are kept apart below zero: round, group, bin
-        place = -(((F.lit(step).cast("long") * (1 << 30) + F.col("g")) * (1 << 29)) + F.col("bin") + 1)
-        done.append(tried.where("bin >= 0").select(*base, place.alias("sequence_id"), "offset", "over_bound"))
-        left = tried.where("bin < 0").select(*base)
-        if last:
+        tried = keep(dealt.groupBy("g").applyInPandas(_pack_group(capacity), packed_schema), "bins")
+        # per group its bins, and the pieces and bins that are not settled; only the sums go to the driver
+        open_bin = F.when(~F.col("settled"), F.col("bin"))
+        sums = tried.groupBy("g").agg(
+            (F.max("bin") + 1).alias("bins"), F.count(open_bin).alias("rows"), F.count_distinct(open_bin).alias("open_bins")
+        ).agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("bins", "rows", "open_bins")]).first()
+        if kept is not None and sums[0] >= bins_before:
+            done.append(numbered(kept, step - 1))
+            break
+        if groups == 1:
+            done.append(numbered(tried, step))
             break
+        done.append(numbered(tried.where("settled"), step))
+        kept = tried.where("not settled")
+        left, n, bins_before, step = kept.select(*base), sums[1], sums[2], step + 1
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)

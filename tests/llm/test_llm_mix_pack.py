@@ -86,6 +86,52 @@ def test_lower_bound_and_best_fit():
     assert packing.lower_bound(np.bincount([34] * 6, minlength=101), 100) == 3
 
 
+def group(sizes):
+    import pandas as pd
+
+    return pd.DataFrame({"doc_id": range(len(sizes)), "piece": 0, "length": sizes, "g": 0})
+
+
+def test_the_bound_decides_what_is_repacked():
+    run = packing._pack_group(100)
+    # no bin is full, but three bins are certified: two are settled, one stays open for others
+    sure = run(group([34, 34] * 3))
+    assert sure["over_bound"].eq(0).all() and sure[sure["settled"]]["bin"].nunique() == 2
+    # a bin more than the bound: bins with a bin's room together are opened, the fuller ones are settled
+    gap = run(group([56, *[44] * 8, *[38] * 3, *[24] * 3, *[20] * 4, 16]))
+    fills = gap.groupby("bin")["length"].sum()
+    opened = fills[sorted(set(gap[~gap["settled"]]["bin"]))]
+    assert gap["over_bound"].eq(1).all() and (100 - opened).sum() >= 100 > (100 - opened.sort_values(ascending=False)[1:]).sum()
+    assert opened.max() <= fills[sorted(set(gap[gap["settled"]]["bin"]))].min()
+
+
+def sequences(rows, capacity):
+    own = defaultdict(list)
+    for r in rows:
+        own[r["sequence_id"]].append(r)
+    for items in own.values():
+        items.sort(key=lambda r: r["offset"])
+        at = 0
+        for r in items:
+            assert r["offset"] == at
+            at += r["length"]
+        assert at <= capacity
+    return own
+
+
+def test_exchange_lowers_the_bins(spark):
+    """Small groups alone leave a bin open each; exchanged, all pieces take few more bins than their volume."""
+    rng = np.random.default_rng(11)
+    for sizes in (rng.integers(1, 100, 900), rng.choice([34, 35, 30], 700), np.full(500, 51), rng.integers(20, 60, 800)):
+        rows = spark.createDataFrame([(i, 0, int(n)) for i, n in enumerate(sizes)], "doc_id long, piece int, length long")
+        got = packing.pack(rows, capacity=100, group_rows=50).collect()
+        assert sorted(r["doc_id"] for r in got) == list(range(len(sizes)))
+        bins = len(sequences(got, 100))
+        bound = packing.lower_bound(np.bincount(sizes, minlength=101), 100)
+        alone = sum(len(packing.best_fit_decreasing(part, 100)[2]) for part in np.array_split(sizes, len(sizes) // 50))
+        assert bound <= bins <= min(alone, 1.04 * bound + 2)
+
+
 @pytest.mark.parametrize("text", ["", "a", " a", "a  b", "a b ", "x<|endoftext|> y", "é z 12 it's", "\n\n a\tb", "x" * 5000, "a\x00 b", " "])
 def test_tokens_equal_the_tokenizer(text):
     known = packing.TokenBytes(tokenizer_path())

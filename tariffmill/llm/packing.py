@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import re
 import zlib
 from array import array
 from bisect import bisect_left, insort
@@ -20,8 +19,6 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 #: How byte-level tokenizers of this family split text before merging (fixed value).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: A blank that is not between two non-blank characters.
-LOOSE_BLANK = re.compile(r"\s | \s|^ | $")
 
 
 def merge_ranks(vocabulary: dict[str, int], merges: list) -> dict[bytes, int] | None:
@@ -36,17 +33,14 @@ def merge_ranks(vocabulary: dict[str, int], merges: list) -> dict[bytes, int] |
     return {bytes(byte_of[c] for c in token): i for token, i in vocabulary.items() if token in made}
 
 
-class TokenBytes(dict):
-    """Token ids of a stretch of text as little-endian 32-bit numbers, remembered up to a fixed number of stretches.
+class TokenBytes:
+    """Token ids of a whole text as little-endian 32-bit numbers.
 
     The tokenizer's own file is read; where its merges allow, its table is handed to a faster byte-pair encoder, and
-    stretches that hold one of its added tokens go to the tokenizer itself.
+    texts that hold one of its added tokens go to the tokenizer itself.
     """
 
-    limit = 400_000
-
     def __init__(self, path: str):
-        super().__init__()
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
@@ -54,32 +48,16 @@ class TokenBytes(dict):
         described = json.loads(tokenizer.to_str())
         self.added = [t["content"] for t in described["added_tokens"]]
         before = described["pre_tokenizer"] or {}
-        # texts may be cut at blanks only if nothing before the merges looks across them
-        self.cut = before.get("type") == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"] and not described["normalizer"]
-        ranks = self.cut and merge_ranks(described["model"]["vocab"], described["model"]["merges"])
+        plain = before.get("type") == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"] and not described["normalizer"]
+        ranks = plain and merge_ranks(described["model"]["vocab"], described["model"]["merges"])
         if ranks:
             import tiktoken
 
             self.encode = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
-    def __missing__(self, text: str) -> bytes:
-        if len(self) >= self.limit:
-            self.clear()
+    def __call__(self, text: str) -> bytes:
         encode = self.exact if any(t in text for t in self.added) else self.encode
-        value = array("I", encode(text)).tobytes()
-        if len(text) <= 64:
-            self[text] = value
-        return value
-
-
-def token_bytes(text: str, known: TokenBytes) -> bytes:
-    """Ids of a whole text. No token starts with a non-blank character and holds a blank, so a text can be cut
-    before each blank between two non-blank ones; a text with other blanks or control characters goes in whole."""
-    if not text:
-        return b""
-    if not known.cut or "\x00" in text or LOOSE_BLANK.search(text):
-        return known[text]
-    return b"".join(map(known.__getitem__, text.replace(" ", "\x00 ").split("\x00")))
+        return array("I", encode(text)).tobytes()
 
 
 _LOADED: dict[str, TokenBytes] = {}
@@ -95,7 +73,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> D
         known, end = _LOADED[tokenizer], np.asarray([end_id], "<u4").tobytes()
         rows: list[tuple] = []
         for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-            ids = token_bytes(text or "", known) + end
+            ids = known(text or "") + end
             n = len(ids) // 4
             first = n % capacity or capacity
             cuts = [0, *range(first, n + 1, capacity)]

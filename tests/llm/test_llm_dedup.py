@@ -256,7 +256,7 @@ def test_stretches_equal_brute_force():
         h = compact.mixed(g ^ np.uint64(f)) | np.uint64(1)
         h[ends] = 0
         hashes.append(h)
-    key, first, last = compact.stretches(hashes, least, ends)
+    key, first, last = compact.stretches(hashes, least)
     got = {int(i): int(k) for k, s, e in zip(key, first, last, strict=True) for i in range(s, e + 1) if not (ends[(ends >= i)][:1] < i + least).any()}
     want = {}
     for i in range(len(g) - least + 1):

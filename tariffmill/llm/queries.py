@@ -213,7 +213,7 @@ URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1
 @query("op5_url_filters")
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
-    return judged.select("page_id", "host", "path", "rule", "verdict", "blocked")
+    return judged.select("page_id", "host", "path", "rule", "verdict", "blocked", "probability", "held_out")
 
 
 @query("op6_minhash_near_dedup")

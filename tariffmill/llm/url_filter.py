@@ -14,6 +14,8 @@ from tariffmill.llm.common import keep
 MAX_ROWS = 20_000
 #: The seed of the trees, and their number and depth.
 SEED, TREES, DEPTH = 7, 20, 4
+#: Labelled urls fall into this many folds by their hash; statistics leave out a url's own fold, the trees the first one.
+FOLDS = 5
 
 FEATURES = [
     "f_length", "f_host", "f_path", "f_dots", "f_depth", "f_digits", "f_digit_runs", "f_hyphens", "f_params", "f_query",
@@ -81,9 +83,22 @@ def lexical(df: DataFrame) -> DataFrame:
     })
 
 
-def suffix_statistics(labelled: DataFrame, key: str, name: str, strength: float = 20.0) -> DataFrame:
-    """Per value of ``key`` the share of blocked labelled rows, drawn towards one half where rows are few."""
-    return labelled.groupBy(key).agg(((F.sum("label") + strength / 2) / (F.count("*") + strength)).alias(name))
+def suffix_statistics(labelled: DataFrame, key: str, folds: int = FOLDS) -> DataFrame:
+    """Per value of ``key`` the number of blocked and of all labelled rows in each fold, as arrays ``ones`` and ``rows``."""
+    ones = [F.sum(F.when(F.col("fold") == i, F.col("label")).otherwise(0.0)) for i in range(folds)]
+    rows = [F.count(F.when(F.col("fold") == i, 1)) for i in range(folds)]
+    return labelled.groupBy(key).agg(F.array(*ones).alias("ones"), F.array(*rows).alias("rows"))
+
+
+def blocked_share(strength: float = 20.0) -> Column:
+    """The share of blocked rows among those of a key, drawn towards one half where rows are few. A labelled row's own fold
+    is left out, so that no url's label, its own or that of a repeated row, is in its features."""
+    own = F.when(F.col("label").isNotNull(), F.col("fold"))
+    ones, rows = (
+        F.coalesce(F.aggregate(c, F.lit(0.0), lambda a, n: a + n), F.lit(0.0)) - F.coalesce(F.get(c, own), F.lit(0.0))
+        for c in ("ones", "rows")
+    )
+    return (ones + strength / 2) / (rows + strength)
 
 
 def judge(
@@ -92,33 +107,42 @@ def judge(
     """page_id, host, path, rule and verdict of every url of ``pages (page_id, url, ...)``.
 
     ``rules`` are pairs of a rule like ``example.org/en/`` and ``allow`` or ``block``. URLs that a rule covers are the
-    labelled ones: suffix statistics are counted over all of them, and at most ``max_rows`` of them, chosen by a hash of
-    the url, grow the trees. The trees judge the others: block from a probability of one half. With labels of one kind
+    labelled ones: suffix statistics are counted over all of them, without a labelled url's own fold, and at most
+    ``max_rows`` of those beyond the first fold, chosen by a hash of the url, grow the trees. Labelled urls of the first fold
+    are marked ``held_out``: their ``probability`` tells how well the trees do. The trees judge the others: block from a probability of one half. With labels of one kind
     only, that kind is the verdict; with none, all are allowed.
 
     A null url, or one without ``://``, has an empty host and path and is judged by the trees; repeated rows are judged
-    alike; other columns are ignored. Column ``blocked`` has the trees' probability, null where a rule decides.
+    alike; other columns are ignored. Column ``probability`` has the trees' for every url, ``blocked`` that of urls without a
+    rule; both are null without trees.
     """
     verdicts = dict(rules)
     ruled = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string")).withColumns({"host": host_of(F.coalesce("url", F.lit(""))), "path": path_of(F.coalesce("url", F.lit("")))})
     ruled = ruled.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
     known = F.create_map(*[F.lit(x) for pair in verdicts.items() for x in pair])[F.col("rule")]
     base = keep(lexical(ruled).withColumn("label", F.when(known == "block", 1.0).when(known == "allow", 0.0)), "urls")
+    base = base.withColumn("fold", F.pmod(F.xxhash64("url", F.lit(SEED)), F.lit(FOLDS)).cast("int"))
+    held_out = (F.col("label").isNotNull() & (F.col("fold") == 0)).alias("held_out")
     labelled = base.where("label is not null")
     kinds = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count("*").alias("n")).collect()}
     by_rule = F.when(F.col("label") == 1, "block").when(F.col("label") == 0, "allow")
     if len(kinds) < 2:
         other = "block" if 1.0 in kinds else "allow"
-        return base.select("page_id", "host", "path", "rule", F.coalesce(by_rule, F.lit(other)).alias("verdict"), F.lit(None).cast("double").alias("blocked"))
+        return base.select("page_id", "host", "path", "rule", F.coalesce(by_rule, F.lit(other)).alias("verdict"), *[F.lit(None).cast("double").alias(c) for c in ("blocked", "probability")], held_out)
     for key, name in (("suffix", "f_suffix"), ("host_suffix", "f_host_suffix"), ("first_part", "f_first_part")):
-        base = base.join(suffix_statistics(labelled, key, name), key, "left").withColumn(name, F.coalesce(name, F.lit(0.5)))
+        base = base.join(suffix_statistics(labelled, key), key, "left").withColumn(name, blocked_share()).drop("ones", "rows")
     base = keep(base, "features")
     vector = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    sample = base.where("label is not null").orderBy(F.xxhash64("url"), "url", "page_id").limit(max_rows)
+    # with few labelled urls the other folds may lack a label; then all of them grow the trees
+    grown = base.where("label is not null and fold <> 0")
+    if grown.select("label").distinct().count() < 2:
+        grown, held_out = base.where("label is not null"), F.lit(False).alias("held_out")
+    sample = grown.orderBy(F.xxhash64("url"), "url", "page_id").limit(max_rows)
     sample = keep(vector.transform(sample).select("features", "label").repartition(8, F.xxhash64("features")), "sample")
     model = GBTClassifier(labelCol="label", maxIter=trees, maxDepth=depth, seed=SEED, stepSize=0.3).fit(sample)
-    judged = model.transform(vector.transform(base)).withColumn("blocked", vector_to_array("probability")[1])
-    by_trees = F.when(F.col("blocked") >= 0.5, "block").otherwise("allow")
+    judged = model.transform(vector.transform(base)).withColumn("probability", vector_to_array("probability")[1])
+    by_trees = F.when(F.col("probability") >= 0.5, "block").otherwise("allow")
     return judged.select(
-        "page_id", "host", "path", "rule", F.coalesce(by_rule, by_trees).alias("verdict"), F.when(F.col("rule").isNull(), F.col("blocked")).alias("blocked")
+        "page_id", "host", "path", "rule", F.coalesce(by_rule, by_trees).alias("verdict"), F.when(F.col("rule").isNull(), F.col("probability")).alias("blocked"),
+        "probability", held_out,
     )

@@ -124,6 +124,18 @@ def rule_by_hand(url):
     return host, path, max(fits, key=len, default=None)
 
 
+def test_url_statistics_leave_out_the_own_fold(spark):
+    rng = random.Random(4)
+    rows = [(i, rng.choice("abc"), rng.choice((0.0, 1.0, None)), rng.randrange(url_filter.FOLDS)) for i in range(300)]
+    rows += [(900, "rare", 1.0, 2), (901, "new", None, 1), (902, None, 1.0, 0)]
+    df = spark.createDataFrame(rows, "i int, suffix string, label double, fold int")
+    counted = url_filter.suffix_statistics(df.where("label is not null"), "suffix")
+    got = {r["i"]: r["share"] for r in df.join(counted, "suffix", "left").withColumn("share", url_filter.blocked_share()).collect()}
+    for i, suffix, label, fold in rows:
+        others = [b for _, s, b, f in rows if s is not None and s == suffix and b is not None and (label is None or f != fold)]
+        assert got[i] == pytest.approx((sum(others) + 10) / (len(others) + 20))
+
+
 def test_url_filter(spark):
     rng = random.Random(8)
     urls = [None, "", "no-scheme", "http://", "https://EXAMPLE.org", "http://a.example.org/es/x?q#f", "x://org/", "http://norg/", "http://b.org?x=/"]
@@ -141,6 +153,10 @@ def test_url_filter(spark):
     free = [(i, u) for i, u in enumerate(urls) if i > 9 and ".net/" in u]
     right = np.mean([got[i]["verdict"] == ("block" if "/de/" in u else "allow") for i, u in free if "/de/" in u or "/fr/" in u])
     assert right > 0.8
+    # urls of the first fold grew no tree, and no fold is in its own statistics
+    held = [r for r in got.values() if r["held_out"]]
+    assert len(held) > 30 and all(r["rule"] for r in held)
+    assert np.mean([(r["probability"] >= 0.5) == (r["verdict"] == "block") for r in held]) > 0.9
     assert url_filter.judge(df.limit(0), URL_RULES).count() == 0
     assert {r["verdict"] for r in url_filter.judge(df.where("url like '%.net%'"), URL_RULES).collect()} == {"allow"}
 

@@ -13,8 +13,9 @@ from tariffmill.llm.common import encoded, keep, map_batches, mixed
 
 #: Length of the strings whose hashes choose how windows are grouped.
 GRAM = 24
-#: A group with more different stretches than this is split by whole windows.
+#: A group with more different stretches, or more bytes in them, than this is split by whole windows.
 MOST_STRETCHES = 4_000
+MOST_BYTES = 16 << 20
 BLOCK_BYTES = 1 << 18
 ROWS = "key long, content long, doc_id long, start int, size int, looped boolean, done boolean"
 SPANS = "doc_id long, start int, size int"
@@ -373,19 +374,21 @@ def _whole(raw: bytes, start: int, end: int) -> list[int]:
     return [start, end]
 
 
-def repeated_spans(docs: DataFrame, length: int = 100, most: int = MOST_STRETCHES, carry: tuple[str, ...] = ()) -> DataFrame:
+def repeated_spans(
+    docs: DataFrame, length: int = 100, most: int = MOST_STRETCHES, carry: tuple[str, ...] = (), most_bytes: int = MOST_BYTES
+) -> DataFrame:
     """Stretches ``(doc_id, start, size)`` of bytes whose every ``length``-byte string also starts earlier.
 
     Earlier is a smaller doc_id, or an earlier start in the same text. Windows are grouped by the least hash of their grams, so
     equal ones always meet. Of stretches of equal content all but the first are covered at once, before and after the
     shuffle, so a passage that a third of all documents share is a row per batch and key. Different stretches of a
-    group go through the transform, in blocks of whole groups; a group of over ``most`` different stretches is split
-    into single windows, which are keyed by their content.
+    group go through the transform, in blocks of whole groups; a group of over ``most`` different stretches, or of over
+    ``most_bytes`` bytes, is split into single windows, which are keyed by their content.
     """
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *carry).where("doc_id is not null")
     met = keep(_met(map_batches(texts.select("doc_id", "text"), _first_of_batch(length), ROWS, 500)), "met")
     hard = met.where("hard")
-    full = hard.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > most)
+    full = hard.groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).where((F.col("n") > most) | (F.col("bytes") > most_bytes))
     full = keep(full.select("key"), "full")
     marked = hard.join(full.withColumn("full", F.lit(True)), "key", "left")
     by_doc = marked.groupBy("doc_id", F.coalesce("full", F.lit(False)).alias("full")).agg(

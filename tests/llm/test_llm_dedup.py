@@ -133,8 +133,8 @@ def removed(docs, length):
     return out
 
 
-@pytest.mark.parametrize("most", [4000, 2])
-def test_repeats_equal_brute_force(spark, monkeypatch, most):
+@pytest.mark.parametrize(("most", "most_bytes"), [(4000, 1 << 24), (2, 1 << 24), (4_000, 2_000)])
+def test_repeats_equal_brute_force(spark, monkeypatch, most, most_bytes):
     rng = random.Random(5)
     shared = "".join(rng.choice("abcdé ") for _ in range(400))
     docs = []
@@ -142,7 +142,7 @@ def test_repeats_equal_brute_force(spark, monkeypatch, most):
         own = "".join(rng.choice("ab") for _ in range(rng.choice((0, 5, 99, 100, 300))))
         i = rng.randrange(250)
         docs.append((d, own + rng.choice(("", shared[i : i + 140], "xyz" * 60, "q" * 130)) + own[:50]))
-    monkeypatch.setattr(suffix.repeated_spans, "__defaults__", (100, most, ()))
+    monkeypatch.setattr(suffix.repeated_spans, "__defaults__", (100, most, (), most_bytes))
     got = {r["doc_id"]: r for r in suffix.drop_repeats(frame(spark, docs), 100).collect()}
     want = removed([(d, t.encode()) for d, t in docs], 100)
     assert {d: bytes(r["kept"]) for d, r in got.items()} == want

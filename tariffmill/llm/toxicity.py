@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tariffmill.llm.common import keep, map_batches
 
 #: Bounds of what is learned: labelled rows, lexicon terms, and words known to be harmless.
-MAX_ROWS, MAX_TERMS, MAX_HARMLESS = 30_000, 2_000, 20_000
+MAX_ROWS = 30_000
 STEM = range(4, 9)
 QUOTES = "\"'“”„«»‹›‘’`"
 OPENERS, CLOSERS = set("“„«‹‘"), set("”»›’")
@@ -253,7 +253,7 @@ def _word_counts(rows: DataFrame) -> DataFrame:
 
 
 def _lexicon(counts: DataFrame, n_pos: int, n_neg: int, least: int) -> dict[str, float]:
-    """Words and stems that are far likelier in labelled texts (log odds over 2.5, stems over 4.5), beyond chance: the strongest ``MAX_TERMS``.
+    """Words and stems that are far likelier in labelled texts (log odds over 2.5, stems over 4.5), beyond chance: all that the evidence holds for.
 
     Stems are beginnings shared by several words whose texts are labelled almost throughout; words that a stem
     of the lexicon covers, and stems within a shorter stem, are left out.
@@ -273,7 +273,7 @@ def _lexicon(counts: DataFrame, n_pos: int, n_neg: int, least: int) -> dict[str,
     heads = heads.where("head is not null").groupBy("head").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.count("*").alias("forms"))
     stems = heads.where((F.col("forms") >= 4) & (F.col("pos") >= 4 * least) & (odds > 4.5)).where(strong)
     stems = stems.select(F.concat("head", F.lit("*")).alias("term"), "pos", odds.alias("odds"))
-    found = stems.orderBy(F.length("term"), *order).limit(MAX_TERMS).collect()
+    found = stems.orderBy(F.length("term"), *order).collect()
     out: dict[str, float] = {}
     # a stem gives way to a longer one that has nearly all of its texts
     held = {r["term"][:-1]: r["pos"] for r in found}
@@ -283,7 +283,7 @@ def _lexicon(counts: DataFrame, n_pos: int, n_neg: int, least: int) -> dict[str,
         if stem not in longer and not any(stem.startswith(s[:-1]) for s in out):
             out[r["term"]] = r["odds"]
     stem_list = [s[:-1] for s in out]
-    for r in words.orderBy(*order).limit(MAX_TERMS).collect():
+    for r in words.orderBy(*order).collect():
         if not any(r["term"].startswith(s) for s in stem_list):
             out[r["term"]] = r["odds"]
     return {t: min(w, 8.0) / 8.0 for t, w in out.items()}
@@ -315,7 +315,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 30)
 
 def learn(labelled: DataFrame, max_rows: int = MAX_ROWS, least: int = 5) -> Model:
     """A model from ``labelled (doc_id, text, label)`` rows with label 0 or 1, at most ``max_rows`` of them, chosen by a
-    hash of doc_id. Words are counted on Spark; the terms and the features of the sample, both bounded, are collected.
+    hash of doc_id. Words are counted on Spark. Terms, the harmless words within their reach, cue words and the features are
+    collected: all of them that pass their tests, whose number the bounded sample bounds.
     Without rows of both labels the model gives every text the same low score."""
     rows = labelled.where("label in (0, 1)").select("doc_id", "text", F.col("label").cast("int"))
     # only ids are sorted; their number is bounded, so that side of the join is small
@@ -361,10 +362,10 @@ def _harmless(counts: DataFrame, model: Model, n_pos: int, n_neg: int) -> list[s
 
     clean = counts.where((F.col("neg") > 0) & (F.col("pos") * n_neg < F.col("neg") * n_pos * 8))
     near = clean.select("word", "neg").mapInArrow(run, "word string")
-    return [r["word"] for r in near.orderBy("word").limit(MAX_HARMLESS).collect()]
+    return [r["word"] for r in near.collect()]
 
 
-def _cues(rows: DataFrame, model: Model, most: int = 500) -> dict[str, float]:
+def _cues(rows: DataFrame, model: Model) -> dict[str, float]:
     """Words near hits that tell labelled from other texts, such as those that introduce a quotation."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -383,7 +384,7 @@ def _cues(rows: DataFrame, model: Model, most: int = 500) -> dict[str, float]:
     )
     odds = F.log(F.col("pos") + 1.0) - F.log(F.col("neg") + 1.0)
     # only what also stands near hits in clean texts says anything
-    told = near.where("neg >= 5 and word <> ''").select("word", odds.alias("odds")).orderBy(F.asc("odds"), "word").limit(most).collect()
+    told = near.where("neg >= 5 and word <> ''").select("word", odds.alias("odds")).collect()
     return {r["word"]: max(-3.0, min(3.0, r["odds"])) for r in told}
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tariffmill.llm.common import keep, map_batches
 
-#: Bounds of what is learned: labelled rows, lexicon terms, and words known to be harmless.
+#: The bound of what is learned from: labelled rows.
 MAX_ROWS = 30_000
 STEM = range(4, 9)
 QUOTES = "\"'“”„«»‹›‘’`"
@@ -156,7 +157,7 @@ class Scorer(dict):
     def __init__(self, model: Model):
         super().__init__()
         self.model = model
-        self.matcher = Matcher(model.terms) if model.terms else None
+        self.matcher = matcher_of(model.terms) if model.terms else None
         self.dead: set[str] = set()
 
     def __missing__(self, token: str) -> float:
@@ -221,6 +222,29 @@ class Scorer(dict):
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
+_KEPT: dict[str, tuple[str, object]] = {}
+
+
+def _reused(kind: str, parts: object, make):
+    """What ``make`` gives, kept by the Python worker for its next tasks as long as it is made of the same parts."""
+    key = hashlib.sha256(repr(parts).encode()).hexdigest()
+    if _KEPT.get(kind, ("",))[0] != key:
+        _KEPT[kind] = (key, make())
+    return _KEPT[kind][1]
+
+
+def matcher_of(terms: dict[str, float]) -> Matcher:
+    """The matcher of these terms, with the states that earlier tasks of this worker met."""
+    return _reused("matcher", sorted(terms), lambda: Matcher(dict(terms)))
+
+
+def scorer_of(model: Model) -> Scorer:
+    """The model's scorer, with the tokens that earlier tasks of this worker met; these depend on terms and harmless words."""
+    scorer = _reused("scorer", (sorted(model.terms.items()), sorted(model.harmless)), lambda: Scorer(model))
+    scorer.model = model
+    return scorer
+
+
 def quoted_positions(tokens: list[str], found: list[tuple[int, float]]) -> list[bool]:
     """Which hits stand within quotation marks: marked themselves on both sides, or between an opening and a closing
     mark at most ``WINDOW`` tokens away on either side."""
@@ -346,7 +370,7 @@ def _feature_batch(model: Model):
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         if not scorer:
-            scorer.append(Scorer(model))
+            scorer.append(scorer_of(model))
         values = [scorer[0].features(t) for t in batch["text"].to_pylist()]
         return pa.RecordBatch.from_arrays([batch["label"].cast(pa.int32()), pa.array(values, pa.list_(pa.float64()))], names=["label", "features"])
 
@@ -355,7 +379,7 @@ def _feature_batch(model: Model):
 
 def _harmless(counts: DataFrame, model: Model, n_pos: int, n_neg: int) -> list[str]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(model.terms)
+        matcher = matcher_of(model.terms)
         for batch in batches:
             words = [w for w in batch["word"].to_pylist() if w not in model.terms and matcher.match(w)]
             yield pa.RecordBatch.from_pydict({"word": pa.array(words, pa.string())})
@@ -369,7 +393,7 @@ def _cues(rows: DataFrame, model: Model) -> dict[str, float]:
     """Words near hits that tell labelled from other texts, such as those that introduce a quotation."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model)
+        scorer = scorer_of(model)
         for batch in batches:
             words, labels = [], []
             for text, label in zip(batch["text"].to_pylist(), batch["label"].to_pylist(), strict=True):
@@ -395,7 +419,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         if not scorer:
-            scorer.append(Scorer(model))
+            scorer.append(scorer_of(model))
         values = [scorer[0].score(t) for t in batch["text"].to_pylist()]
         return pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(values, pa.float64())], names=["doc_id", "score"])
 

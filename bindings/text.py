@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from bindings.registry import query, spread_table, table
 from bindings.render import joined, page
-from tariffmill.functions import html, lines, text
+from tariffmill.functions import compose, html, lines, text
 from tariffmill.operators.tables import extract_tables
 from tariffmill.patterns import Rules
 from tariffmill.sources.readers import src_pages
@@ -47,6 +47,15 @@ def normalize_text(spark, d):
     return _documents(spark, d, clean=text.normalize_text(F.col("text")))
 
 
+@query("compose_unicode", """
+  SELECT doc_id, nfc_normalize(replace(replace(replace(text, 'e', 'e' || chr(769)), 'o', 'o' || chr(770) || chr(803)), 'x', chr(8491))) AS composed
+  FROM documents""")
+def compose_unicode(spark, d):
+    """Documents whose letters come apart: marks behind letters, in any order, and a sign that has another form."""
+    apart = F.replace(F.replace(F.col("text"), F.lit("e"), F.lit("e\u0301")), F.lit("o"), F.lit("o\u0302\u0323"))
+    return _documents(spark, d, composed=compose.compose_unicode(F.replace(apart, F.lit("x"), F.lit("\u212b"))))
+
+
 @query("regex_rules", r"""
   SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '[0-9]+', '#', 'g'), '([a-z]+)\.', '\1!', 'g'), '[,;]', '', 'g') AS ruled
   FROM documents""")

@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tariffmill import patterns as P
+from tariffmill.functions.bind import fixed_map, let
+from tariffmill.functions.compose import compose_unicode
 from tariffmill.patterns import DEFAULT_RULES, Rules
 
 # All characters Python calls white space; Java's \s and Spark's trim know only the ASCII ones.
@@ -38,20 +40,6 @@ _CONTROLS = "".join(f"\\x{i:02x}" for i in [*range(0x09), *range(0x0E, 0x1C), *r
 _UNUSUAL = f"[{_CONTROLS}ÂÃÅ\\x{{180}}-\\x{{10ffff}}]|â[€‚]"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Bind a value to a name inside an expression, so that it is computed once per row.
-
-    Needed where a computed value is used inside a lambda: Spark would compute it again per element.
-    """
-    return F.element_at(F.transform(F.array(value), lambda bound: body(bound)), 1)
-
-
-def fixed_map(values: dict[str, str]) -> Column:
-    """Literal map; written as one text, which the optimizer folds, as hundreds of literals are slow to plan."""
-    pairs = "\x02".join(f"{k}\x03{v}" for k, v in values.items())
-    return F.str_to_map(F.lit(pairs), F.lit("\x02"), F.lit("\x03"))
-
-
 def either(conditions: Sequence[Column]) -> Column:
     """OR of a short fixed list of conditions; false for none."""
     return reduce(lambda a, b: a | b, conditions, F.lit(False))
@@ -95,11 +83,11 @@ def fix_characters(text: Column) -> Column:
 
 
 def normalize_text(text: Column) -> Column:
-    """Repair the encoding, normalise characters, collapse white space; empty becomes NULL."""
+    """Repair the encoding, normalise and compose characters, collapse white space; empty becomes NULL."""
     repaired = let(
-        text, lambda t: F.when(F.rlike(t, F.lit(_UNUSUAL)), fix_characters(fix_mojibake(t))).otherwise(t)
+        text, lambda t: F.when(F.rlike(t, F.lit(_UNUSUAL)), compose_unicode(fix_characters(fix_mojibake(t)))).otherwise(t)
     )
-    return blank_to_null(collapse_whitespace(repaired))
+    return let(collapse_whitespace(repaired), blank_to_null)
 
 
 def regex_rules(text: Column, rules: Sequence[tuple[str, str]]) -> Column:

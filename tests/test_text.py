@@ -1,8 +1,13 @@
+import random
+import time
+import unicodedata
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tariffmill.functions import compose
 from tariffmill.functions import text as X
 from tariffmill.patterns import Rules
 
@@ -23,6 +28,7 @@ def T():
         ("lâ€™eau â€“ fin", "l'eau – fin"),
         ("Âge d'or", "Âge d'or"),
         ("ﬁn ＡＢ", "fin AB"),
+        ("e\u0301te\u0301", "été"),
     ],
 )
 def test_normalize(value, raw, clean):
@@ -86,3 +92,35 @@ def test_whitespace_like_python(spark):
         assert got == [(t.strip(), " ".join(t.split())) for t in texts]
 
     check()
+
+
+def _composed(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    return [r.c for r in df.select("i", compose.compose_unicode(T()).alias("c")).sort("i").collect()]
+
+
+def test_composition_of_latin_letters_and_marks(spark):
+    letters = [chr(i) for i in [*range(0x41, 0x250), *range(0x1E00, 0x1F00)] if chr(i).isalpha()]
+    texts = ["x".join(b + chr(m) for m in range(0x300, 0x370)) for b in letters]
+    assert _composed(spark, texts) == [unicodedata.normalize("NFC", t) for t in texts]
+
+
+def test_composition_like_python(spark):
+    rng = random.Random(3)
+    odd = [chr(i) for i in range(0x300, 0x30000) if not unicodedata.is_normalized("NFC", chr(i))]
+    marks = [chr(i) for i in range(0x300, 0x20000) if unicodedata.category(chr(i)) in ("Mn", "Mc")]
+    whole = [chr(i) for i in range(0xC0, 0x12000) if unicodedata.decomposition(chr(i))]
+    korean = [chr(i) for i in [*range(0x1100, 0x1113), *range(0x1161, 0x1176), *range(0x11A7, 0x11C4), 0xAC00, 0xAC01]]
+    kinds = [odd, marks, whole, korean, list("ae\n "), ["\U0001f600"]]
+    texts = ["".join(rng.choice(rng.choice(kinds)) for _ in range(rng.randint(0, 12))) for _ in range(5000)]
+    texts += ["".join(rng.choice(korean) for _ in range(12)) for _ in range(2000)] + odd + whole
+    texts += [unicodedata.normalize("NFD", t) for t in whole]
+    assert _composed(spark, texts) == [unicodedata.normalize("NFC", t) for t in texts]
+    assert _composed(spark, [None, "", "plain"]) == [None, "", "plain"]
+
+
+@pytest.mark.parametrize("text", ["e" + "\u0301" * 500_000, "e\u0301" * 100_000, "\u09be" * 300_000, "\u4e00" * 300_000])
+def test_composition_is_linear(spark, text):
+    began = time.monotonic()
+    assert _composed(spark, [text]) == [unicodedata.normalize("NFC", text)]
+    assert time.monotonic() - began < 15

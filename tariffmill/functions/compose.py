@@ -11,12 +11,12 @@ import sys
 import unicodedata
 from collections import defaultdict
 from collections.abc import Iterable
+from functools import cache
 
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tariffmill.functions.bind import fixed_map, let
-
 # Hangul syllables compose by arithmetic: lead, vowel and tail consonants.
 _SYLLABLE, _LEAD, _VOWEL, _TAIL = 0xAC00, 0x1100, 0x1161, 0x11A7
 _LEADS, _VOWELS, _TAILS = 19, 21, 28
@@ -74,106 +74,88 @@ _FIRSTS = {second: "".join(found) for second, found in _BY_SECOND.items()}
 _COMPOSED = {second: "".join(found.values()) for second, found in _BY_SECOND.items()}
 
 
-def _characters(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+# The expression is written as SQL and kept, as it would take long to build anew for each use.
+def _lit(text: str) -> str:
+    return f"r'{text}'"
+
+
+def _let(name: str, value: str, body: str) -> str:
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
 
+def _map(values: dict[str, str]) -> str:
+    return f"str_to_map({_lit(';'.join(f'{k}:{v}' for k, v in values.items()))}, ';', ':')"
 
-def _decomposed(char: Column) -> Column:
-    first, *others = (F.translate(char, _WHOLE, place) for place in _PLACES)
-    return F.when(first == char, char).otherwise(F.concat(first, *others))
 
+def _decomposed(c: str) -> str:
+    first, *others = (f"translate({c}, {_lit(_WHOLE)}, {_lit(place)})" for place in _PLACES)
+    return _let("d", first, f"if(d = {c}, {c}, concat(d, {', '.join(others)}))")
 
-def _combining_class(char: Column) -> Column:
-    shown = F.translate(char, "".join(_MARKS), "".join(chr(_CLASS_BASE + unicodedata.combining(c)) for c in _MARKS))
-    return F.when(shown == char, 0).otherwise(F.ascii(shown) - _CLASS_BASE)
 
+def _combining_class(c: str) -> str:
+    ranks = "".join(chr(_CLASS_BASE + unicodedata.combining(m)) for m in _MARKS)
+    shown = f"translate({c}, {_lit(''.join(_MARKS))}, {_lit(ranks)})"
+    return _let("d", shown, f"if(d = {c}, 0, ascii(d) - {_CLASS_BASE})")
 
-def _syllable(first: Column, second: Column) -> Column:
+
+def _syllable(first: str, second: str) -> str:
     """Hangul lead and vowel, or syllable without tail and tail; else NULL."""
-    a, b = F.ascii(first), F.ascii(second)
-    lead_vowel = a.between(_LEAD, _LEAD + _LEADS - 1) & b.between(_VOWEL, _VOWEL + _VOWELS - 1)
-    open_syllable = a.between(_SYLLABLE, _SYLLABLE + _LEADS * _VOWELS * _TAILS - 1) & ((a - _SYLLABLE) % _TAILS == 0)
-    tail = b.between(_TAIL + 1, _TAIL + _TAILS - 1)
-    code = F.when(lead_vowel, _SYLLABLE + ((a - _LEAD) * _VOWELS + b - _VOWEL) * _TAILS).when(
-        open_syllable & tail, a + b - _TAIL
-    )
-    return F.decode(F.unhex(F.hex(code)), "UTF-16BE")
+    a, b = f"ascii({first})", f"ascii({second})"
+    last = _SYLLABLE + _LEADS * _VOWELS * _TAILS - 1
+    code = f"""CASE
+      WHEN {a} BETWEEN {_LEAD} AND {_LEAD + _LEADS - 1} AND {b} BETWEEN {_VOWEL} AND {_VOWEL + _VOWELS - 1}
+        THEN {_SYLLABLE} + (({a} - {_LEAD}) * {_VOWELS} + {b} - {_VOWEL}) * {_TAILS}
+      WHEN {a} BETWEEN {_SYLLABLE} AND {last} AND ({a} - {_SYLLABLE}) % {_TAILS} = 0
+        AND {b} BETWEEN {_TAIL + 1} AND {_TAIL + _TAILS - 1} THEN {a} + {b} - {_TAIL} END"""
+    return f"decode(unhex(hex({code})), 'UTF-16BE')"
 
 
-def _joined(first: Column, second: Column) -> Column:
+def _joined(first: str, second: str) -> str:
     """The one character two compose to; else NULL."""
-    place = F.position(first, F.try_element_at(fixed_map(_FIRSTS), second))
-    found = F.when(place > 0, F.substr(F.try_element_at(fixed_map(_COMPOSED), second), place, F.lit(1)))
-    return F.when(first != "", F.coalesce(found, _syllable(first, second)))
+    place = f"position({first}, try_element_at({_map(_FIRSTS)}, {second}))"
+    found = f"if(p > 0, substr(try_element_at({_map(_COMPOSED)}, {second}), p, 1), NULL)"
+    return f"if({first} = '', NULL, coalesce({_let('p', place, found)}, {_syllable(first, second)}))"
+
 
+def _state(n: str, at: str, starter: str, last: str, edits: str) -> str:
+    return f"named_struct('n', {n}, 'at', {at}, 'starter', {starter}, 'last', {last}, 'edits', {edits})"
 
-def _compose_cluster(cluster: Column) -> Column:
+
+def _edited(at: str, text: str) -> str:
+    return f"concat(s.edits, array(named_struct('at', {at}, 'text', {text})))"
+
+
+def _compose_cluster(cluster: str) -> str:
     """Decompose, order and compose one cluster.
 
     The fold keeps the current starter and the few places that change, not the text, so long runs of marks stay linear.
     """
-    apart = F.array_join(F.transform(_characters(cluster), _decomposed), "")
-    ordered = F.flatten(
-        F.transform(
-            F.regexp_extract_all(apart, F.lit(_SEGMENT), F.lit(0)),
-            lambda segment: F.array_sort(
-                F.transform(
-                    _characters(segment),
-                    lambda c, i: F.struct(_combining_class(c).alias("rank"), i.alias("i"), c.alias("c")),
-                )
-            ),
-        )
+    apart = f"array_join(transform(regexp_extract_all({cluster}, r'(?s).', 0), c -> {_decomposed('c')}), '')"
+    ranked = f"(c, i) -> named_struct('rank', {_combining_class('c')}, 'i', i, 'c', c)"
+    ordered = f"""flatten(transform(regexp_extract_all({apart}, {_lit(_SEGMENT)}, 0),
+      segment -> array_sort(transform(regexp_extract_all(segment, r'(?s).', 0), {ranked}))))"""
+    step = _let(
+        "whole",
+        f"if(s.last < 0 OR s.last < x.rank, {_joined('s.starter', 'x.c')}, NULL)",
+        f"""CASE WHEN whole IS NOT NULL THEN {_state('s.n + 1', 's.at', 'whole', 's.last', _edited('s.n', "''"))}
+          WHEN x.rank = 0 THEN {_state('s.n + 1', 's.n', 'x.c', '-1', _edited('s.at', 's.starter'))}
+          ELSE {_state('s.n + 1', 's.at', 's.starter', 'x.rank', 's.edits')} END""",
     )
+    begin = _state("0", "-1", "''", "-1", "cast(array() AS array<struct<at:int,text:string>>)")
+    edits = f"aggregate(parts, {begin}, (s, x) -> {step}, s -> {_edited('s.at', 's.starter')})"
+    shown = "transform(parts, (x, i) -> coalesce(get(filter(edits, e -> e.at = i), 0).text, x.c))"
+    return _let("parts", ordered, _let("edits", edits, f"array_join({shown}, '')"))
 
-    def edit(at: Column, text: Column) -> Column:
-        return F.array(F.struct(at.alias("at"), text.alias("text")))
-
-    def state(n: Column, at: Column, starter: Column, last: Column, edits: Column) -> Column:
-        return F.struct(
-            n.alias("n"), at.alias("at"), starter.alias("starter"), last.alias("last"), edits.alias("edits")
-        )
-
-    def step(s: Column, x: Column) -> Column:
-        free = (s["last"] < 0) | (s["last"] < x["rank"])
-        n = s["n"] + 1
-        return let(
-            F.when(free, _joined(s["starter"], x["c"])),
-            lambda whole: F.when(
-                whole.isNotNull(),
-                state(n, s["at"], whole, s["last"], F.concat(s["edits"], edit(s["n"], F.lit("")))),
-            )
-            .when(
-                x["rank"] == 0,
-                state(n, s["n"], x["c"], F.lit(-1), F.concat(s["edits"], edit(s["at"], s["starter"]))),
-            )
-            .otherwise(state(n, s["at"], s["starter"], x["rank"], s["edits"])),
-        )
-
-    def rewritten(parts: Column) -> Column:
-        begin = state(
-            F.lit(0), F.lit(-1), F.lit(""), F.lit(-1), F.lit([]).cast("array<struct<at:int,text:string>>")
-        )
-        edits = F.aggregate(parts, begin, step, lambda s: F.concat(s["edits"], edit(s["at"], s["starter"])))
-        return let(
-            edits,
-            lambda e: F.array_join(
-                F.transform(
-                    parts, lambda x, i: F.coalesce(F.get(F.filter(e, lambda d: d["at"] == i), 0)["text"], x["c"])
-                ),
-                "",
-            ),
-        )
-
-    return let(ordered, rewritten)
+
+@cache
+def _body(context: SparkContext) -> Column:
+    """The lambda from a text to its composed form; kept once per context."""
+    changeable = _lit(_CHANGEABLE)
+    pieces = f"regexp_extract_all(t, {_lit(_PIECE)}, 0)"
+    composed = f"transform({pieces}, piece -> if(rlike(piece, {changeable}), {_compose_cluster('piece')}, piece))"
+    return F.expr(f"t -> if(rlike(t, {changeable}), array_join({composed}, ''), t)")
 
 
 def compose_unicode(text: Column) -> Column:
     """The text in Unicode's composed normal form (NFC); NULL stays NULL."""
-
-    def composed(t: Column) -> Column:
-        pieces = F.regexp_extract_all(t, F.lit(_PIECE), F.lit(0))
-        return F.array_join(
-            F.transform(pieces, lambda p: F.when(F.rlike(p, F.lit(_CHANGEABLE)), _compose_cluster(p)).otherwise(p)), ""
-        )
-
-    return let(text, lambda t: F.when(F.rlike(t, F.lit(_CHANGEABLE)), composed(t)).otherwise(t))
+    return F.element_at(F.call_function("transform", F.array(text), _body(SparkContext.getOrCreate())), 1)

@@ -2,7 +2,8 @@
 
 The tables come from the character database of Python's standard library, by rule. A text without combining
 characters passes after one scan. In others only the clusters that may change are taken apart, their marks put in
-the order of their combining classes, and composed again; all steps are linear in the text, also for endless marks.
+the order of their combining classes, and composed again, each different cluster of a text once; all steps are linear in the
+text, also for endless marks.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ _SYLLABLE, _LEAD, _VOWEL, _TAIL = 0xAC00, 0x1100, 0x1161, 0x11A7
 _LEADS, _VOWELS, _TAILS = 19, 21, 28
 # Private characters that stand for combining classes.
 _CLASS_BASE = 0xE000
+# Different clusters of a text that are composed once each and then looked up.
+_MANY = 1000
 
 
 def _canonical(char: str) -> str:
@@ -58,8 +61,13 @@ _M, _S, _X = _char_class(_LOOSE), _char_class(_SECONDS), _char_class(_UNSTABLE)
 # All of them lie beyond Latin letters, which one cheap test lets pass.
 _CHANGEABLE = rf"(?=[\x{{300}}-\x{{10ffff}}])[{_M}{_S}{_X}]"
 _NO_MARK = rf"[\x00-\x{{2ff}}[^{_M}]]"
-_CLUSTER = rf"{_NO_MARK}(?:[{_S}]{{1,2}}[{_M}]*+|[{_M}]++)|[{_X}]|[{_M}]++"
-_PIECE = rf"{_CLUSTER}|[\x00-\x{{2ff}}[^{_M}{_S}{_X}]]+(?![{_M}{_S}])|{_NO_MARK}"
+# A class of many ranges asks each of them, so the scan over a whole text asks for the block of a character first. All
+# characters up to U+034E are marks.
+_MARK = rf"[\x{{300}}-\x{{34e}}[\x{{350}}-\x{{10ffff}}&&[{_M}]]]"
+_SECOND = rf"[\x{{370}}-\x{{10ffff}}&&[{_S}]]"
+_CLUSTER = rf"{_NO_MARK}(?:{_SECOND}{{1,2}}{_MARK}*+|{_MARK}++)|(?=[\x{{300}}-\x{{10ffff}}])[{_X}]|{_MARK}++"
+_PLAIN = rf"[\x00-\x{{2ff}}[\x{{370}}-\x{{10ffff}}&&[^{_M}{_S}{_X}]]]+(?!{_MARK}|{_SECOND})"
+_PIECE = rf"{_CLUSTER}|{_PLAIN}|{_NO_MARK}"
 _SEGMENT = rf"{_NO_MARK}[{_M}]*+|[{_M}]++"
 
 # Longest decompositions first: translate drops characters that its second list is too short for.
@@ -151,9 +159,15 @@ def _compose_cluster(cluster: str) -> str:
 def _body(context: SparkContext) -> Column:
     """The lambda from a text to its composed form; kept once per context."""
     changeable = _lit(_CHANGEABLE)
-    pieces = f"regexp_extract_all(t, {_lit(_PIECE)}, 0)"
-    composed = f"transform({pieces}, piece -> if(rlike(piece, {changeable}), {_compose_cluster('piece')}, piece))"
-    return F.expr(f"t -> if(rlike(t, {changeable}), array_join({composed}, ''), t)")
+    different = f"filter(array_distinct(pieces), piece -> rlike(piece, {changeable}))"
+    formed = f"transform(keys, piece -> if(rlike(piece, {changeable}), {_compose_cluster('piece')}, piece))"
+    found = _let("known", "map_from_arrays(keys, formed)", "transform(pieces, piece -> coalesce(try_element_at(known, piece), piece))")
+    # a look-up passes over the whole map, so a text of very many different clusters has each of its pieces composed
+    whole = _let("formed", formed, f"array_join(if(many, formed, {found}), '')")
+    keyed = _let("keys", "if(many, pieces, different)", whole)
+    chosen = _let("different", different, _let("many", f"size(different) > {_MANY}", keyed))
+    composed = _let("pieces", f"regexp_extract_all(t, {_lit(_PIECE)}, 0)", chosen)
+    return F.expr(f"t -> if(rlike(t, {changeable}), {composed}, t)")
 
 
 def compose_unicode(text: Column) -> Column:

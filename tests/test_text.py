@@ -124,3 +124,18 @@ def test_composition_is_linear(spark, text):
     began = time.monotonic()
     assert _composed(spark, [text]) == [unicodedata.normalize("NFC", text)]
     assert time.monotonic() - began < 15
+
+
+def test_composition_of_few_and_of_very_many_different_clusters(spark):
+    syllables = [unicodedata.normalize("NFD", chr(0xAC00 + 28 * i)) for i in range(0, 390)]
+    latin = [b + chr(m) for b in "aeiou" for m in range(0x300, 0x314)]
+    many = " x".join(syllables + latin + [s + "\u11a8" for s in syllables] + [s + "\u11ab" for s in syllables]) * 3
+    texts = [many, " x".join(latin) * 50, "".join(syllables[:5]) * 200, ("mot e\u0301te\u0301 o\u0302\u0323 " * 50).strip()]
+    assert _composed(spark, texts) == [unicodedata.normalize("NFC", t) for t in texts]
+
+
+def test_composition_forms_each_cluster_of_a_text_once(spark):
+    text = " ".join("a" + "\u0301\u0323\u0300"[: 1 + i % 3] + "o\u0302" for i in range(400_000))
+    began = time.monotonic()
+    assert _composed(spark, [text]) == [unicodedata.normalize("NFC", text)]
+    assert time.monotonic() - began < 25

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tariffmill import patterns as P
 from tariffmill.functions.text import (
+    WS_AHEAD,
     WS_CLASS,
     clean_label,
     contains_any,
@@ -29,13 +30,13 @@ _BREAK = r"[\n\x0b\f\r\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 _INLINE_WS = rf"[\s\x1c-\x1f&&[^{_BREAK[1:-1]}]]"
 _OTHER_BREAK = _BREAK.replace(r"\n", "")
 # White space that splitting at \n would leave in: doubled, at the ends, or another kind of break.
-_UNTIDY = rf"(?U){WS_CLASS}(?:{WS_CLASS}|\z|(?<={_OTHER_BREAK}))|\A{WS_CLASS}"
+_UNTIDY = rf"(?U){WS_AHEAD}(?:{WS_CLASS}(?:{WS_CLASS}|\z|(?<={_OTHER_BREAK}))|\A{WS_CLASS})"
 # A white-space run with a line break in it, or at an end. The look-behind admits only starts of runs,
 # so that a long run of blanks is looked at once.
 _LINE_END = (
-    rf"(?U){_BREAK}{WS_CLASS}*+"
-    rf"|{_INLINE_WS}(?<!{WS_CLASS}{{2}}){_INLINE_WS}*+(?:{_BREAK}{WS_CLASS}*+|\z)"
-    rf"|\A{_INLINE_WS}++"
+    rf"(?U){WS_AHEAD}(?:(?![ \n][!-~])(?:{_BREAK}{WS_CLASS}*+"
+    rf"|{_INLINE_WS}(?<!{WS_CLASS}{{2}}){_INLINE_WS}*+(?:{_BREAK}{WS_CLASS}*+|\z))"
+    rf"|\A{_INLINE_WS}++)"
 )
 
 # Patterns on joined lines: ^ and $ are line ends, and only \n breaks lines.

@@ -18,8 +18,10 @@ from tariffmill.patterns import DEFAULT_RULES, Rules
 WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 # As a regex class it is one table look-up per character under (?U), plus four separators.
 WS_CLASS = r"[\s\x1c-\x1f]"
+# All of them lie here; letters and digits fail this look ahead at once, before the dearer classes are asked.
+WS_AHEAD = r"(?=[\x00-\x20\x{85}\x{a0}\x{1680}-\x{3000}])"
 # Runs that are not a single blank already, so that plain text passes without a copy per word.
-_WS_RUN = rf"(?U)[\s\x1c-\x1f&&[^ ]]{WS_CLASS}*+| {WS_CLASS}++"
+_WS_RUN = rf"(?U){WS_AHEAD}(?:[\s\x1c-\x1f&&[^ ]]{WS_CLASS}*+| {WS_CLASS}++)"
 
 _HALF_WIDTH = "".join(chr(i) for i in range(0x21, 0x7F))
 _FULL_WIDTH = "".join(chr(i - 0x21 + 0xFF01) for i in range(0x21, 0x7F))

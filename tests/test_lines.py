@@ -1,6 +1,7 @@
 """Line parsers on hand-traced cases, and against sequential loops on random text."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -179,3 +180,12 @@ def test_long_text_is_linear(value):
     assert len(value(L.parse_documents(F.col("t")), t=docs)) == 60_000
     countries = text(*[f"Pays {i}" for i in range(60_000)])
     assert len(value(L.parse_agreements(F.col("t")), t=countries)) == 60_000
+
+
+def test_white_space_is_sought_only_where_it_can_be():
+    from tariffmill.functions import lines as L
+    from tariffmill.functions import text as T
+
+    assert all(re.match(r"[\x00-\x20\x85\xa0 -　]", c) for c in T.WHITESPACE)
+    for pattern in (L._UNTIDY, L._LINE_END, T._WS_RUN):
+        assert pattern.startswith(f"(?U){T.WS_AHEAD}(?:")

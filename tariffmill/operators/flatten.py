@@ -75,7 +75,11 @@ def build_rag_chunks(products: DataFrame, topics: dict[str, Column], key: str =
 
 
 def containing_item(products: DataFrame, items: str, wanted: dict[str, str]) -> DataFrame:
-    """Products with an item in which all the wanted fields have the wanted values."""
+    """Products with an item in which all the wanted fields have the wanted values.
+
+    Spark moves a plain filter on items that are not stored yet down to the scan, where few tasks compute them, and once more
+    per use; it does not move a test that is exploded.
+    """
 
     def matches(item: Column) -> Column:
         test = F.lit(True)
@@ -83,7 +87,8 @@ def containing_item(products: DataFrame, items: str, wanted: dict[str, str]) ->
             test = test & (item[field] == value)
         return test
 
-    return products.where(F.exists(F.col(items), matches))
+    tested = products.select("*", F.explode_outer(F.array(F.exists(F.col(items), matches))).alias("_contains"))
+    return tested.where("_contains").drop("_contains")
 
 
 def dedupe_items(items: DataFrame, keys: Sequence[str], position: Sequence[str]) -> DataFrame:

@@ -192,3 +192,16 @@ def test_chosen_pages_of_a_visit(spark):
     assert got["scrape_status"] == "success"
     assert [s["content"]["raw_text"] for s in got["sections"]] == ["good"]
     assert got["main_content"]["raw_text"].startswith("Main") and len(got["main_content"]["tables"]) == 1
+
+
+def test_containing_item_is_tested_above_the_shuffle(spark):
+    """The test of an item stays above the shuffle that spreads its rows."""
+    from tariffmill.operators.flatten import containing_item
+
+    rows = spark.range(20).repartition(3)
+    items = F.array(F.struct(F.col("id").cast("string").alias("code")))
+    made = rows.select("id", F.transform(items, lambda i: F.struct(F.concat(i["code"], F.lit("x")).alias("code"))).alias("items"))
+    found = containing_item(made, "items", {"code": "7x"})
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "exists" in plan and plan.index("exists") < plan.index("Repartition")
+    assert [r["id"] for r in found.collect()] == [7] and found.columns == ["id", "items"]

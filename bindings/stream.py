@@ -157,7 +157,7 @@ def load_counts(spark, d):
 def run_pipeline(spark, d):
     """Two runs of one day over the same landed pages: the second skips what the first has loaded, not
     visits that failed or records whose text names no section."""
-    part = table(spark, d, "part")
+    part = spread_table(spark, d, "part")
     pages, root, out = R.landed_pages(part), shared_dir(spark, "catalogue"), shared_dir(spark, "export")
     codes = R.part_facts(part).select(F.col("hs10").alias("hs_code"), F.col("p_partkey").alias("input_pos"))
     found = []

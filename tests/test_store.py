@@ -303,3 +303,28 @@ def test_visits_over_files(spark, tmp_path):
     assert rows(got.where("hs_code < '4'")) == rows(records_from_pages(whole))
     assert got.where("hs_code = '4'").count() == 1 and got.where("hs_code = '5'").count() == 0
     assert left <= 2 and dropped >= 1
+
+
+def _parts(spark, tmp_path, n):
+    """A folder with a part table of one file."""
+    folder = tmp_path / "tables"
+    rows = spark.range(n).selectExpr(
+        "id AS p_partkey", "concat('n', id) AS p_name", "'Brand#1' AS p_brand", "'ECONOMY' AS p_type", "cast(id % 50 + 1 AS int) AS p_size"
+    )
+    rows.coalesce(1).write.parquet(str(folder / "part.parquet"))
+    return str(folder)
+
+
+def test_a_run_renders_its_pages_on_all_cores(spark, tmp_path, monkeypatch):
+    from bindings import stream
+
+    seen = []
+
+    def refresh(codes, pages, *rest, **named):
+        seen.append(pages.rdd.getNumPartitions())
+        raise StopIteration
+
+    monkeypatch.setattr(stream, "refresh", refresh)
+    with pytest.raises(StopIteration):
+        stream.run_pipeline(spark, _parts(spark, tmp_path, 40))
+    assert seen == [spark.sparkContext.defaultParallelism]

@@ -15,7 +15,7 @@ from tariffmill.plans.records import records_from_pages
 from tariffmill.plans.sync import LoadCounts, sync_batch
 from tariffmill.schemas import RAW_SCHEMA
 from tariffmill.session import shared_dir
-from tariffmill.sources.readers import src_raw_json
+from tariffmill.sources.readers import spread, src_raw_json
 from tariffmill.sources.sinks import read_csv_export
 from tariffmill.sources.store import CatalogueStore
 from tariffmill.streaming.ingest import read_landed_pages, read_landing, stream_id, stream_ingest, stream_records
@@ -27,14 +27,24 @@ _LOADED = f"""{_FACTS}
     TIMESTAMP '2026-02-01' AS updated_at FROM (SELECT *, sec AS section_code, chap AS chapter_code FROM ({R.SQL_PART_ITEMS}))"""
 
 
-def _land(spark, d, parts: int, landing: str, keep=None) -> None:
-    """Write part records as JSON files into a landing folder."""
-    raw = R.raw_records(table(spark, d, "part"))
-    (raw if keep is None else raw.where(keep)).repartition(parts).write.mode("append").json(landing)
+def _files(spark) -> int:
+    """Files of one landing, and so of one micro-batch: all cores write them, however large the table is."""
+    return spark.sparkContext.defaultParallelism
 
 
-def _run_stream(spark, landing: str, root: str, files: int = 1, checkpoint: str = "checkpoint", skip_days=None) -> list[LoadCounts]:
-    raw, counts = read_landing(spark, landing, max_files=files), []
+def _land(spark, d, parts: int, landing: str, keep=None) -> None:
+    """Write part records as JSON files into a landing folder, dealt row by row to so many micro-batches. Only the narrow rows
+    of the table pass through few tasks; records are rendered and written by all cores."""
+    part = table(spark, d, "part")
+    dealt = part if parts == 1 else part.repartition(parts).withColumn("batch", F.spark_partition_id())
+    for batch in range(parts):
+        rows = dealt if parts == 1 else dealt.where(F.col("batch") == batch).drop("batch")
+        raw = R.raw_records(spread(rows, _files(spark)))
+        (raw if keep is None else raw.where(keep)).write.mode("append").json(landing)
+
+
+def _run_stream(spark, landing: str, root: str, checkpoint: str = "checkpoint", skip_days=None) -> list[LoadCounts]:
+    raw, counts = read_landing(spark, landing, max_files=_files(spark)), []
     stream_ingest(raw, root, f"{root}/{checkpoint}", clock=lambda: AS_OF, skip_days=skip_days, on_load=counts.append).awaitTermination()
     return counts
 
@@ -106,16 +116,16 @@ def _sum(counts: list[LoadCounts]) -> tuple[int, int, int]:
 
 @query("stream_visits", RECORDS_SQL)
 def stream_visits(spark, d):
-    """Landed pages as a stream of visits: a visit's pages lie in three files, those of one file come once more after all
+    """Landed pages as a stream of visits: a visit's pages lie in three landings, those of one come once more after all
     others, and a page of a later visit closes what is open. The stream stops and starts again in between."""
-    pages = R.landed_pages(table(spark, d, "part"))
+    pages = R.landed_pages(spread(table(spark, d, "part"), _files(spark)))
     landing, out = shared_dir(spark, "landing"), shared_dir(spark, "records")
 
     def land(rows):
-        rows.coalesce(1).write.mode("append").json(landing)
+        rows.write.mode("append").json(landing)
 
     def run():
-        records = stream_records(read_landed_pages(spark, landing, max_files=1)).writeStream.format("parquet")
+        records = stream_records(read_landed_pages(spark, landing, max_files=_files(spark))).writeStream.format("parquet")
         records.option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start(f"{out}/rows").awaitTermination()
 
     for third in range(3):

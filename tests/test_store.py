@@ -315,6 +315,16 @@ def _parts(spark, tmp_path, n):
     return str(folder)
 
 
+def test_landings_are_written_and_read_by_all_cores(spark, tmp_path):
+    from bindings import stream
+
+    folder, cores = _parts(spark, tmp_path, 400), spark.sparkContext.defaultParallelism
+    landing = str(tmp_path / "landing")
+    stream._land(spark, folder, 2, landing)
+    assert len(list((tmp_path / "landing").glob("part-*.json"))) == 2 * cores
+    assert len(stream._run_stream(spark, landing, str(tmp_path / "root"))) == 2
+
+
 def test_a_run_renders_its_pages_on_all_cores(spark, tmp_path, monkeypatch):
     from bindings import stream
 

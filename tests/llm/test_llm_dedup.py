@@ -228,6 +228,52 @@ def test_near_passages_link_exact_passages_of_common_sentences(spark):
     assert not any(r["doc_id"] < 1000 and r["other_id"] < 1000 for r in rows)
 
 
+def test_near_passages_link_variants_of_common_sentences(spark):
+    """Pairs share two of twelve common sentences but for a word between them, so that the first documents of all their keys hold
+    something else and no run of fifty words is equal."""
+    rng = random.Random(9)
+    common = [words_of(rng, 30, 4000) for _ in range(12)]
+    orders = [(i, j) for i in range(12) for j in range(12) if i != j]
+    rng.shuffle(orders)
+    docs, planted = [], []
+    for d in range(300):
+        w = []
+        for i in rng.sample(range(12), 3):
+            w += words_of(rng, rng.randrange(20, 30), 4000) + common[i] + words_of(rng, rng.randrange(20, 30), 4000)
+        docs.append((d, " ".join(w)))
+    for k, (i, j) in enumerate(orders[:40]):
+        for d, first in ((1000 + k, common[j][0]), (2000 + k, f"edit{k}")):
+            docs.append((d, " ".join(words_of(rng, 20, 4000) + common[i] + [first] + common[j][1:] + words_of(rng, 20, 4000))))
+        planted.append((1000 + k, 2000 + k))
+    rows = compact.near_passages(frame(spark, docs)).collect()
+    sets = groups_of([(r["doc_id"], r["other_id"]) for r in rows], [d for d, _ in docs])
+    assert sum(sets[a] == sets[b] for a, b in planted) >= 0.9 * len(planted)
+    assert not any(r["doc_id"] < 1000 and r["other_id"] < 1000 for r in rows)
+
+
+def test_stretches_of_large_groups_meet_in_parts(spark, monkeypatch):
+    """All pairs of different groups meet, once each, however the stretches of a key are dealt."""
+    monkeypatch.setattr(compact, "HELD", 3)
+    monkeypatch.setattr(compact, "STREAMED", 7)
+    rng = random.Random(2)
+    rows = [(key, d, 0, 0, min(rng.randrange(9), 5)) for key in (1, 2) for d in range(40)]
+    grouped = spark.createDataFrame(rows, "key long, doc_id long, s int, e int, group long")
+    sketches = spark.createDataFrame([(d, d, 0, 0, 46, bytearray(b"\xff" * 128)) for d in range(40)], "content long, doc_id long, s int, e int, least_different int, sketch binary")
+    got = [(r["a"], r["b"]) for r in compact._alike_pairs(grouped, sketches, 46, 0.8).collect()]
+    want = {(a, b) for k, a, _, _, g in rows for l, b, _, _, h in rows if k == l and a < b and g != h}
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_open_runs_of_rows_that_share_an_id(spark):
+    """A longer and a shorter text of one doc_id: places in the one may lie behind the end of the other."""
+    rng = random.Random(6)
+    phrase = words_of(rng, 30, 4000)
+    around = lambda n: words_of(rng, n, 10**6)
+    docs = [(1, " ".join(around(300) + phrase + around(60))), (1, " ".join(phrase + around(40)))]
+    docs += [(d, " ".join(around(40) + phrase + around(40))) for d in range(2, 12)]
+    assert compact.near_passages(frame(spark, docs)).collect() == []
+
+
 def test_near_passages_recall_and_stretches(spark):
     """Passages edited to a similarity of 0.8 to 0.85, each pair with words of its own: nine in ten are linked at least."""
     rng = random.Random(5)

@@ -264,6 +264,23 @@ def test_stretches_of_large_groups_meet_in_parts(spark, monkeypatch):
     assert len(got) == len(want) and set(got) == want
 
 
+def test_op8_lists_every_document_of_a_passage(spark, tmp_path):
+    from tariffmill.llm import queries
+
+    rng = random.Random(4)
+    passage = words_of(rng, 60, 5000)
+    docs = [(d, " ".join(words_of(rng, 20, 5000) + passage + words_of(rng, 20, 5000))) for d in range(12)]
+    docs += [(20 + d, " ".join(words_of(rng, 90, 5000))) for d in range(5)] + [(30, docs[0][1])]
+    frame(spark, docs).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = queries.QUERIES["op8_substring_dedup"](spark, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in rows} == {*range(12), 30}
+    texts = {d: t.split() for d, t in docs}
+    for r in rows:
+        assert texts[r["doc_id"]][r["start"] : r["end"]] == texts[r["other_id"]][r["other_start"] : r["other_end"]]
+    links = {(r["kind"], r["doc_id"], r["start"], r["other_id"], r["other_start"]) for r in rows}
+    assert links == {(kind, other, at, doc, start) for kind, doc, start, other, at in links}
+
+
 def test_open_runs_of_rows_that_share_an_id(spark):
     """A longer and a shorter text of one doc_id: places in the one may lie behind the end of the other."""
     rng = random.Random(6)

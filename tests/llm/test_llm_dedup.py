@@ -264,6 +264,18 @@ def test_stretches_of_large_groups_meet_in_parts(spark, monkeypatch):
     assert len(got) == len(want) and set(got) == want
 
 
+def test_wide_rows_go_to_python_in_batches_of_bounded_bytes(spark):
+    from tariffmill.llm.common import BATCH_BYTES, keep
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.nbytes], pa.int64())})
+
+    wide = spark.range(3000, numPartitions=1).selectExpr("repeat('x', 10000) AS text")
+    assert max(r["n"] for r in keep(wide.mapInArrow(sizes, "n long")).collect()) < 2 * BATCH_BYTES
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None
+
+
 def test_op8_lists_every_document_of_a_passage(spark, tmp_path):
     from tariffmill.llm import queries
 

@@ -264,6 +264,37 @@ def test_stretches_of_large_groups_meet_in_parts(spark, monkeypatch):
     assert len(got) == len(want) and set(got) == want
 
 
+def test_pieces_of_large_groups_give_few_pairs(spark):
+    """Of a narrow key each piece meets two others at most, and only where signatures agree; the groups still come together."""
+    n, length = 500, compact.NARROW_BANDS * compact.NARROW_WIDTH
+    rows = [(7, d, 3, 5, d, bytearray([1] * length)) for d in range(n)]
+    rows += [(7, 2 * n, 0, 1, 2 * n, bytearray(range(2, 2 + length)))]
+    pieces = spark.createDataFrame(rows, "key long, doc_id long, s int, e int, group long, signature binary")
+    got = compact._near_pieces(pieces, 46).collect()
+    assert len(got) <= 2 * n and all(r["a"] < r["b"] for r in got)
+    groups = groups_of([(r["a"], r["b"]) for r in got], [*range(n), 2 * n])
+    assert {groups[d] for d in range(n)} == {0} and groups[2 * n] == 2 * n
+
+
+def test_pieces_equal_brute_force():
+    g = np.random.default_rng(3).integers(0, 2**63, 200).astype(np.uint64)
+    at = np.concatenate([np.arange(5, 40), np.arange(60, 90)])
+    low = np.asarray([compact.mixed(g[i : i + 46] ^ compact._SEEDS[:, None]).min(1) for i in at])
+    got = list(zip(*compact._pieces(g, at, 46), strict=True))
+    assert sum(int(last - first) + 1 for _, first, last, _ in got) == len(at) * compact.NARROW_BANDS
+    want = {}
+    for band in range(compact.NARROW_BANDS):
+        own = low[:, band * compact.NARROW_WIDTH : (band + 1) * compact.NARROW_WIDTH]
+        for place, hashes in zip(at.tolist(), own.tolist(), strict=True):
+            want.setdefault((band, *hashes), []).append(place)
+    assert len({int(key) for key, *_ in got}) == len(want)
+    for _, first, last, signature in got:
+        middle = (np.searchsorted(at, first) + np.searchsorted(at, last)) // 2
+        byte = low[middle].astype(np.uint8)
+        assert any((np.roll(byte, -(band + 1) * compact.NARROW_WIDTH) == signature).all() for band in range(compact.NARROW_BANDS))
+        assert [*range(first, last + 1)] in [[p for p in places if first <= p <= last] for places in want.values()]
+
+
 def test_wide_rows_go_to_python_in_batches_of_bounded_bytes(spark):
     from tariffmill.llm.common import BATCH_BYTES, keep
 

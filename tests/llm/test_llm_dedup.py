@@ -276,6 +276,50 @@ def test_pieces_of_large_groups_give_few_pairs(spark):
     assert {groups[d] for d in range(n)} == {0} and groups[2 * n] == 2 * n
 
 
+def test_pieces_of_a_key_stay_in_one_task(spark):
+    """The join below becomes a broadcast as it runs; pieces of a key that lie in several input partitions still meet."""
+    length = compact.NARROW_BANDS * compact.NARROW_WIDTH
+    rows = [(key, 10 * key + d, 3, 5, 10 * key + d, bytearray([d] + [1] * (length - 1))) for d in range(6) for key in range(300)]
+    rows += [(1000 + k, 10**6 + k, 3, 5, 10**6 + k, bytearray([1] * length)) for k in range(2000)]
+    pieces = spark.createDataFrame(rows, "key long, doc_id long, s int, e int, group long, signature binary").repartition(16, "doc_id")
+    whole = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(whole, "false")
+    try:
+        pairs = {(r["a"], r["b"]) for r in compact._near_pieces(pieces, 46).collect()}
+    finally:
+        spark.conf.unset(whole)
+    assert pairs == {(10 * key + i, 10 * key + j) for key in range(300) for j in range(1, 6) for i in {0, j - 1}}
+
+
+def test_links_of_a_document_leave_its_task_as_one(spark, tmp_path, monkeypatch):
+    """Of twenty links of each document nearly all are contracted before the first join, however many tasks there are."""
+    from tariffmill.llm import common
+
+    written = []
+    real = common.keep
+    monkeypatch.setattr(common, "keep", lambda df, name="part": written.append(real(df, name)) or written[-1])
+    links = [(a, b, 1.0) for b in range(100, 1100) for a in range(20)]
+    whole = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(whole, "false")
+    try:
+        groups = compact._groups(spark.createDataFrame(links, "doc_id long, other_id long, similarity double").repartition(64)).collect()
+    finally:
+        spark.conf.unset(whole)
+    groups = {r["node"]: r["component"] for r in groups}
+    assert groups == {d: 0 for d in [*range(20), *range(100, 1100)]}
+    assert written[0].count() <= 1000 + 20 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_run_hashes_and_counts_equal_brute_force():
+    rng = np.random.default_rng(4)
+    for n, values, least in ((60, 4, 5), (200, 30, 46), (46, 3, 46), (90, 2**62, 7), (9, 2, 1)):
+        g = rng.integers(0, values, n).astype(np.uint64)
+        runs = [tuple(g[i : i + least].tolist()) for i in range(n - least + 1)]
+        hashes = compact._run_hashes(g, least).tolist()
+        assert len(set(hashes)) == len(set(runs)) == len(set(zip(hashes, runs, strict=True)))
+        assert compact._different(g, least).tolist() == [len(set(r)) for r in runs]
+
+
 def test_pieces_equal_brute_force():
     g = np.random.default_rng(3).integers(0, 2**63, 200).astype(np.uint64)
     at = np.concatenate([np.arange(5, 40), np.arange(60, 90)])

@@ -1,6 +1,7 @@
 """Near duplicates, repeated passages and near passages against brute force, and their behaviour on odd rows."""
 
 import inspect
+import itertools
 import random
 import re
 from collections import defaultdict
@@ -264,6 +265,56 @@ def test_stretches_of_large_groups_meet_in_parts(spark, monkeypatch):
     assert len(got) == len(want) and set(got) == want
 
 
+def test_all_stretches_of_a_large_key_are_compared(spark):
+    """Variants of one passage, of which few are alike: whatever two stretches of a key hold similar passages, their documents come
+    together, in keys of many stretches too."""
+    rng = random.Random(12)
+    base, docs = words_of(rng, 60, 10**6), []
+    for family in range(150):
+        own = list(base)
+        for at in rng.sample(range(2, 58), 2):
+            own[at] = f"family{family}"
+        for member in range(2):
+            w = list(own)
+            w[rng.randrange(2, 58)] = f"member{family}x{member}"
+            docs.append((2 * family + member, " ".join(words_of(rng, 20, 10**6) + w + words_of(rng, 20, 10**6))))
+    texts = [t.encode().split() for _, t in docs]
+    key, doc, s, e = (x.tolist() for x in compact.text_stretches([d for d, _ in docs], texts, 5, 46, 3, 2))
+    shingles = dict(zip([d for d, _ in docs], compact._sequences(iter(texts), 5), strict=True))
+    met = {}
+    for k, d, low, high in zip(key, doc, s, e, strict=True):
+        met.setdefault(k, []).append((d, shingles[d][low : high + 46]))
+    alike = set()
+    for rows in met.values():
+        for (a, x), (b, y) in itertools.combinations(sorted(rows, key=lambda r: r[0]), 2):
+            if a // 2 == b // 2 and a < b and compact.verified(x, y, 46, 0.8):
+                alike.add((a, b))
+    assert max(len(rows) for rows in met.values()) > compact.FEW and len(alike) > 50
+    sets = groups_of([(r["doc_id"], r["other_id"]) for r in compact.near_passages(frame(spark, docs)).collect()], [d for d, _ in docs])
+    assert [(a, b) for a, b in sorted(alike) if sets[a] != sets[b]] == []
+
+
+def test_pairs_looked_at_together_are_those_verified():
+    rng = np.random.default_rng(1)
+    x, before, y = [], [], []
+    for _ in range(300):
+        vocabulary = rng.integers(1, 2**62, rng.integers(20, 120)).astype(np.uint64)
+        g = rng.choice(vocabulary, rng.integers(46, 240)) if rng.random() < 0.5 else vocabulary
+        other = g.copy()
+        for at in rng.integers(0, len(g), rng.integers(0, 6)).tolist():
+            other[at : at + int(rng.integers(1, 8))] = rng.integers(1, 2**62)
+        seen, last = {}, []
+        for at, v in enumerate(g.tolist()):
+            last.append(seen.get(v, -1))
+            seen[v] = at
+        x.append(g)
+        before.append(np.asarray(last, np.int32))
+        y.append(other[rng.integers(0, 8) :])
+    want = [k for k in range(300) if compact.verified(x[k], y[k], 46, 0.8)]
+    assert 20 < len(want) < 280
+    assert sorted(compact._alike_sequences(x, before, y, [np.sort(v) for v in y], 46, 0.8)) == want
+
+
 def test_pieces_of_large_groups_give_few_pairs(spark):
     """Of a narrow key each piece meets two others at most, and only where signatures agree; the groups still come together."""
     n, length = 500, compact.NARROW_BANDS * compact.NARROW_WIDTH

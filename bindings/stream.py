@@ -18,7 +18,7 @@ from tariffmill.session import shared_dir
 from tariffmill.sources.readers import spread, src_raw_json
 from tariffmill.sources.sinks import read_csv_export
 from tariffmill.sources.store import CatalogueStore
-from tariffmill.streaming.ingest import read_landed_pages, read_landing, stream_id, stream_ingest, stream_records
+from tariffmill.streaming.ingest import read_landed_pages, read_landing, stream_id, stream_ingest, stream_records, write_records
 
 AS_OF = datetime(2026, 2, 1)
 _FACTS = f"WITH facts AS ({R.SQL_PART_FACTS})"
@@ -125,8 +125,8 @@ def stream_visits(spark, d):
         rows.write.mode("append").json(landing)
 
     def run():
-        records = stream_records(read_landed_pages(spark, landing, max_files=_files(spark))).writeStream.format("parquet")
-        records.option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start(f"{out}/rows").awaitTermination()
+        records = stream_records(read_landed_pages(spark, landing, max_files=_files(spark)))
+        write_records(records, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
 
     for third in range(3):
         land(pages.where(F.pmod(F.col("order"), F.lit(3)) == third))

@@ -305,6 +305,21 @@ def test_visits_over_files(spark, tmp_path):
     assert left <= 2 and dropped >= 1
 
 
+def test_state_of_open_visits_lies_on_disk(spark, tmp_path, monkeypatch):
+    """The query of visits keeps its state in stores on local disk, and leaves the session's settings as they were."""
+    from bindings import stream
+    from tariffmill.streaming import ingest
+
+    queries, write_records, provider = [], ingest.write_records, next(iter(ingest.STATE))
+    before = spark.conf.get(provider, None)
+    monkeypatch.setattr(stream, "write_records", lambda *a: queries.append(write_records(*a)) or queries[-1])
+    assert stream.stream_visits(spark, _parts(spark, tmp_path, 30)).count() == 30
+    assert spark.conf.get(provider, None) == before
+    operators = [s for q in queries for p in q.recentProgress for s in p["stateOperators"]]
+    assert max(s["numRowsTotal"] for s in operators) > 30
+    assert all(any(name.startswith("rocksdb") for name in s["customMetrics"]) for s in operators)
+
+
 def _parts(spark, tmp_path, n):
     """A folder with a part table of one file."""
     folder = tmp_path / "tables"

@@ -17,6 +17,8 @@ GRAM = 24
 MOST_STRETCHES = 4_000
 MOST_BYTES = 16 << 20
 BLOCK_BYTES = 1 << 18
+#: Bytes whose intervals are expanded together.
+EXPANDED = 1 << 20
 ROWS = "key long, content long, doc_id long, start int, size int, looped boolean, done boolean"
 SPANS = "doc_id long, start int, size int"
 
@@ -194,12 +196,24 @@ def sorted_suffixes(text: np.ndarray, depth: int) -> np.ndarray:
             return order
         rank = np.empty(n, np.uint64)
         rank[order] = np.cumsum(fresh).astype(np.uint64) + np.uint64(1)
-        second = np.zeros(n, np.uint64)
-        second[: max(n - have, 0)] = rank[have:]
-        key = rank * np.uint64(n + 2) + second
+        del order, ranked
+        key = rank * np.uint64(n + 2)
+        key[: max(n - have, 0)] += rank[have:]
         have *= 2
 
 
+def _expanded(low: np.ndarray, width: np.ndarray, letter: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The intervals of ``cw`` for each interval of a string ``w`` and each byte ``c`` before its suffixes."""
+    owner = np.repeat(np.arange(len(width), dtype=np.int32), width)
+    at = np.arange(len(owner), dtype=np.int32) + (low - (np.cumsum(width) - width).astype(np.int32))[owner]
+    code = owner * np.int32(256) + letter[at] if len(width) < 1 << 23 else owner * np.int64(256) + letter[at]
+    del owner
+    by = np.argsort(code, kind="stable")
+    to, code = step[at[by]], code[by]
+    cut = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+    return np.minimum.reduceat(to, cut), np.maximum.reduceat(to, cut) + np.int32(1)
+
+
 def long_prefix_groups(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted suffixes, and numbers of the groups that share a prefix of ``length`` or more.
 
@@ -209,31 +223,29 @@ def long_prefix_groups(text: np.ndarray, length: int) -> tuple[np.ndarray, np.nd
     ``length`` rounds the borders still unknown are those whose neighbours share ``length`` bytes or more.
     """
     n = len(text)
-    order = sorted_suffixes(text, length + 1)
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
-    before = order - 1
-    before[before < 0] = n - 1
-    letter = text[before].astype(np.int64)
-    step = place[before]
+    order = sorted_suffixes(text, length + 1).astype(np.int32)
+    place = np.empty(n, np.int32)
+    place[order] = np.arange(n, dtype=np.int32)
+    # before the first byte stands the last
+    letter, step = text[order - 1], place[order - 1]
+    del place
     known = np.zeros(n + 1, bool)
     known[0] = known[n] = True
-    low, high = np.asarray([0]), np.asarray([n])
+    low, high = np.asarray([0], np.int32), np.asarray([n], np.int32)
     for _ in range(length):
         width = high - low
         single = width == 1
         new_low = [step[low[single]]]
-        new_high = [new_low[0] + 1]
-        if not single.all():
-            wide_low, wide = low[~single], width[~single]
-            owner = np.repeat(np.arange(len(wide)), wide)
-            at = np.arange(len(owner)) - np.repeat(np.cumsum(wide) - wide, wide) + np.repeat(wide_low, wide)
-            code = owner * 256 + letter[at]
-            by = np.argsort(code, kind="stable")
-            code, to = code[by], step[at][by]
-            cut = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
-            new_low.append(np.minimum.reduceat(to, cut))
-            new_high.append(np.maximum.reduceat(to, cut) + 1)
+        new_high = [new_low[0] + np.int32(1)]
+        wide_low, wide = low[~single], width[~single]
+        # so many bytes at a time, or one interval that is wider
+        part = np.cumsum(wide, dtype=np.int64) // EXPANDED
+        edges = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(wide)]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            if a < b:
+                lows, highs = _expanded(wide_low[a:b], wide[a:b], letter, step)
+                new_low.append(lows)
+                new_high.append(highs)
         low, high = np.concatenate(new_low), np.concatenate(new_high)
         unknown = ~known[high]
         low, high = low[unknown], high[unknown]
@@ -246,14 +258,19 @@ def long_prefix_groups(text: np.ndarray, length: int) -> tuple[np.ndarray, np.nd
 def repeated_starts(parts: list[tuple[int, int, bytes]], length: int) -> tuple[np.ndarray, np.ndarray]:
     """Places (document, start) of the windows of ``length`` bytes of ``parts`` that also start earlier in ``parts``."""
     text = np.frombuffer(b"\xff".join(p[2] for p in parts) + b"\xff", np.uint8)
-    sizes = np.asarray([len(p[2]) + 1 for p in parts])
-    offset = np.arange(len(text)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    whole = offset + length < np.repeat(sizes, sizes)
+    sizes = np.asarray([len(p[2]) + 1 for p in parts], np.int32)
+    begin = (np.cumsum(sizes) - sizes).astype(np.int32)
     order, group = long_prefix_groups(text, length)
-    pick = whole[order]
-    order, group = order[pick], group[pick]
-    doc = np.repeat(np.asarray([p[0] for p in parts], np.int64), sizes)[order]
-    start = (np.repeat(np.asarray([p[1] for p in parts], np.int64), sizes) + offset)[order]
+    part = np.repeat(np.arange(len(parts), dtype=np.int32), sizes)[order]
+    # windows that lie within their part, of groups that hold several
+    pick = order - begin[part] + length < sizes[part]
+    order, group, part = order[pick], group[pick], part[pick]
+    pair = np.flatnonzero(group[1:] == group[:-1])
+    pick = np.zeros(len(group), bool)
+    pick[pair] = pick[pair + 1] = True
+    order, group, part = order[pick], group[pick], part[pick]
+    doc = np.asarray([p[0] for p in parts], np.int64)[part]
+    start = np.asarray([p[1] for p in parts], np.int64)[part] + (order - begin[part])
     by = np.lexsort((start, doc, group))
     group, doc, start = group[by], doc[by], start[by]
     if not len(group):

@@ -4,6 +4,7 @@ import inspect
 import itertools
 import random
 import re
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -265,6 +266,36 @@ def test_stretches_of_large_groups_meet_in_parts(spark, monkeypatch):
     assert len(got) == len(want) and set(got) == want
 
 
+def repetitive_parts(seed, n):
+    rng = random.Random(seed)
+    phrase = bytes(rng.choices(range(97, 122), k=300))
+    pieces = lambda: (phrase[: rng.randrange(150, 300)] if rng.random() < 0.7 else bytes(rng.choices(range(97, 122), k=50)) for _ in range(30))
+    return [(d, rng.randrange(50), b"".join(pieces())[:4000]) for d in range(n)]
+
+
+def test_transform_memory_in_proportion_to_a_large_block():
+    """A block of a large group takes under 80 bytes a byte at most, so that one of ``MOST_BYTES`` fits beside another."""
+    parts = repetitive_parts(3, 250)
+    tracemalloc.start()
+    try:
+        doc, _ = suffix.repeated_starts(parts, 100)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(doc) > 100_000 and peak < 80 * sum(len(p[2]) for p in parts)
+
+
+def test_intervals_expanded_in_parts_give_the_same_places(monkeypatch):
+    parts = repetitive_parts(4, 6)
+    monkeypatch.setattr(suffix, "EXPANDED", 300)
+    doc, start = suffix.repeated_starts(parts, 100)
+    seen, want = set(), set()
+    for d, s, raw in parts:
+        for i in range(len(raw) - 99):
+            (want.add((d, s + i)) if raw[i : i + 100] in seen else seen.add(raw[i : i + 100]))
+    assert want and set(zip(doc.tolist(), start.tolist(), strict=True)) == want
+
+
 def test_all_stretches_of_a_large_key_are_compared(spark):
     """Variants of one passage, of which few are alike: whatever two stretches of a key hold similar passages, their documents come
     together, in keys of many stretches too."""
